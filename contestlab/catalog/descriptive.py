@@ -20,7 +20,7 @@ from contestlab.operators.columns import dedupe_columns
 from contestlab.operators.names import normalize_names, split_pair
 from contestlab.operators.place import current_homes, with_neutral_flag
 from contestlab.sources.scratch import scratch_path
-from contestlab.sources.tables import TYPES, clean_headers, read_table, typed
+from contestlab.sources.tables import conform, read_table
 
 SIDES = ["batting_team", "bowling_team"]
 
@@ -69,7 +69,7 @@ def normalize_delivery_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="clean_headers",
 )
 def clean_ball_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    balls = typed(clean_headers(fx.raw_balls(spark, sf_dir)), TYPES["ball_by_ball"])
+    balls = conform(fx.raw_balls(spark, sf_dir), "ball_by_ball")
     return normalize_names(balls, SIDES, fx.NAMES)
 
 
@@ -153,11 +153,11 @@ def draw_winner_is_a_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed(fx.player_deliveries(spark, sf_dir), TYPES["deliveries"])
+    return conform(fx.player_deliveries(spark, sf_dir), "deliveries")
 
 
 def _balls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed(clean_headers(fx.raw_ball_scores(spark, sf_dir)), TYPES["ball_by_ball"])
+    return conform(fx.raw_ball_scores(spark, sf_dir), "ball_by_ball")
 
 
 @registered(
@@ -189,9 +189,7 @@ def over_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="split_pair",
 )
 def split_pair_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    perf = typed(fx.team_performance(spark, sf_dir), TYPES["team_performance"])
-    renamed = perf.withColumnRenamed("Teams", "Team")
-    return split_pair(renamed).drop("Second_Innings_Score")
+    return split_pair(fx.performance(spark, sf_dir)).drop("Second_Innings_Score")
 
 
 @registered(

@@ -7,12 +7,16 @@ other joins are left to Spark, which sees the file sizes.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contestlab.columns import CONTEST
 from contestlab.operators.names import normalize_names
 from contestlab.plans.recommend import request_rows
+from contestlab.sources.scratch import written
+from contestlab.sources.tables import conform
 
 # Former name -> current name in the derived tables.
 NAMES = {
@@ -85,8 +89,12 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def current_names(contests: DataFrame) -> DataFrame:
+    return normalize_names(contests, CONTEST.names, NAMES)
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize_names(raw_matches(spark, sf_dir), CONTEST.names, NAMES)
+    return current_names(raw_matches(spark, sf_dir))
 
 
 def _runs() -> Column:
@@ -165,7 +173,7 @@ def raw_ball_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(*_ball_columns())
 
 
-def team_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_performance(spark: SparkSession, sf_dir: str, sides: DataFrame) -> DataFrame:
     """One pairing text per contest with deliveries, and both innings' runs."""
     first = F.col("l_linenumber") <= 4
     runs = _runs().cast("double")
@@ -177,13 +185,33 @@ def team_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.when(~first, runs)).alias("Second_Innings_Score"),
         )
     )
-    return scores.join(sides_by_match(spark, sf_dir), "match_id").select(
+    return scores.join(sides.select("match_id", "team1", "team2"), "match_id").select(
         F.concat("team1", F.lit(" vs "), "team2").alias("Teams"),
         F.col("First_Innings_Score").cast("string").alias("First_Innings_Score"),
         F.col("Second_Innings_Score").cast("string").alias("Second_Innings_Score"),
     )
 
 
+def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sides = sides_by_match(spark, sf_dir)
+    return conform(raw_performance(spark, sf_dir, sides), "team_performance")
+
+
+@dataclass(frozen=True)
+class History:
+    """Contests and scores for queries that read them several times: the
+    contests are joined together and written once."""
+
+    matches: DataFrame
+    performance: DataFrame
+
+
+def history(spark: SparkSession, sf_dir: str) -> History:
+    contests = written(raw_matches(spark, sf_dir), "contests")
+    scores = raw_performance(spark, sf_dir, contests)
+    return History(current_names(contests), conform(scores, "team_performance"))
+
+
 def homes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Home cities: each nation but every fifth is at home in its region."""
     region = table(spark, sf_dir, "region")

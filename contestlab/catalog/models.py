@@ -20,6 +20,12 @@ from contestlab.plans import models, recommend
 from contestlab.plans.features import AVERAGES, RATES, categorical, with_outcomes
 from contestlab.sources.scratch import scratch_path
 
+
+
+def _split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.split_table(smart_table(fx.history(spark, sf_dir)))
+
+
 TRAIN = f"{train_bucket('match_id')} < 80"
 REQUEST_TRAIN = f"{train_bucket('match_id')} < 70"
 
@@ -182,7 +188,7 @@ _train_tables, _train_joins, _train_outputs = _index_parts(
 )
 def assembled_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature vectors of both splits, one column per slot."""
-    prepared = models.prepare(smart_table(spark, sf_dir))
+    prepared = models.prepare(_split_features(spark, sf_dir))
     indexes = [models.indexed_name(c) for c in categorical()]
     rows = prepared.train.unionByName(prepared.test).withColumn("v", vector_to_array("features"))
     slots = [
@@ -216,7 +222,7 @@ _abc_smart, _abc_smart_joins, _abc_smart_outputs = _index_parts(
 )
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inputs of the request model, centred and scaled as on its training rows."""
-    _, matrix = recommend.request_matrix(smart_table(spark, sf_dir))
+    _, matrix = recommend.request_matrix(smart_table(fx.history(spark, sf_dir)))
     vectors = recommend.assembler().transform(matrix)
     train = vectors.where("is_train")
     scaled = recommend.scaling(train, train.count()).transform(vectors)
@@ -320,7 +326,7 @@ def recommend_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _predictions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Test contests scored by one classifier on the smart features."""
-    prepared = models.prepare(smart_table(spark, sf_dir))
+    prepared = models.prepare(_split_features(spark, sf_dir))
     estimator = models.classifiers(prepared)[name]
     fitted = models.fit_models(prepared, {name: estimator})
     return models.score_models(prepared.test, fitted, ["match_id", "label"])
@@ -353,7 +359,7 @@ def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.compare_models(smart_table(spark, sf_dir))
+    return models.compare_models(smart_table(fx.history(spark, sf_dir)))
 
 
 @registered()
@@ -368,13 +374,13 @@ def model_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved and loaded again: both pipelines' probabilities side by side."""
-    features = smart_table(spark, sf_dir)
-    prepared = models.prepare(features)
+    table = _split_features(spark, sf_dir)
+    prepared = models.prepare(table)
     estimator = models.classifiers(prepared)["logistic_regression"]
     pipeline = models.pipeline_model(prepared, estimator.fit(prepared.train))
     path = scratch_path(spark, "saved-model")
     models.save_model(pipeline, path)
-    test = features.where(~in_training("match_id"))
+    test = table.where("NOT is_train")
 
     def scored(model, name: str) -> DataFrame:
         p = F.get(vector_to_array("probability"), F.lit(1)).alias(name)
@@ -387,7 +393,7 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out accuracy of the request model."""
-    model = recommend.fit_request_model(smart_table(spark, sf_dir))
+    model = recommend.fit_request_model(smart_table(fx.history(spark, sf_dir)))
     held_out = model.scorer.transform(model.vectors.where("NOT is_train"))
     rates = metrics.classification_rates(metrics.confusion(held_out))
     return rates.select("tp", "tn", "fp", "fn", "accuracy")
@@ -395,5 +401,6 @@ def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = recommend.fit_request_model(smart_table(spark, sf_dir))
-    return recommend.score_requests(request_features(spark, sf_dir), model)
+    past = fx.history(spark, sf_dir)
+    model = recommend.fit_request_model(smart_table(past))
+    return recommend.score_requests(request_features(spark, sf_dir, past), model)

@@ -11,12 +11,6 @@ from contestlab.catalog.twins import train_bucket, twin
 from contestlab.operators import rates
 from contestlab.plans import features as plans
 from contestlab.plans import recommend
-from contestlab.sources.tables import TYPES, typed
-
-
-def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    perf = typed(fx.team_performance(spark, sf_dir), TYPES["team_performance"])
-    return perf.withColumnRenamed("Teams", "Team")
 
 
 def _six_digits(df: DataFrame, *columns: str) -> DataFrame:
@@ -32,7 +26,7 @@ def _six_digits(df: DataFrame, *columns: str) -> DataFrame:
     )
 )
 def score_rows_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rates.score_rows(performance(spark, sf_dir), fx.NAMES)
+    return rates.score_rows(fx.performance(spark, sf_dir), fx.NAMES)
 
 
 _AVERAGES = """SELECT team AS "Team", round(avg_first, 6) AS avg_first_innings_score,
@@ -42,7 +36,7 @@ _AVERAGES = """SELECT team AS "Team", round(avg_first, 6) AS avg_first_innings_s
 
 @registered(twin(_AVERAGES, "averages"))
 def team_score_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = rates.team_score_averages(performance(spark, sf_dir), fx.NAMES)
+    table = rates.team_score_averages(fx.performance(spark, sf_dir), fx.NAMES)
     return _six_digits(table, "avg_first_innings_score", "avg_second_innings_score")
 
 
@@ -58,7 +52,7 @@ def team_score_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def team_score_averages_before_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names looked up before the split, so former names stay."""
-    table = rates.team_score_averages(performance(spark, sf_dir), fx.NAMES, "before_split")
+    table = rates.team_score_averages(fx.performance(spark, sf_dir), fx.NAMES, "before_split")
     return _six_digits(table, "avg_first_innings_score", "avg_second_innings_score")
 
 
@@ -119,7 +113,7 @@ _ROUNDED_AVERAGES = """round(team1_avg_runs, 6) AS team1_avg_runs,
     twin(f"SELECT match_id, team1, team2, {_ROUNDED_AVERAGES} FROM base", "base")
 )
 def attach_score_avgs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    averages = rates.team_score_averages(performance(spark, sf_dir), fx.NAMES)
+    averages = rates.team_score_averages(fx.performance(spark, sf_dir), fx.NAMES)
     rows = plans.attach_score_averages(fx.matches(spark, sf_dir), averages)
     return _six_digits(rows.select("match_id", "team1", "team2", *plans.AVERAGES), *plans.AVERAGES)
 
@@ -157,19 +151,19 @@ def _feature_columns(df: DataFrame, numbers: list[str]) -> DataFrame:
 
 @registered(twin(f"SELECT {_CATEGORIES}, {_ROUNDED_AVERAGES} FROM base", "base"))
 def base_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = plans.base_features(fx.matches(spark, sf_dir), performance(spark, sf_dir), fx.NAMES)
+    past = fx.history(spark, sf_dir)
+    rows = plans.base_features(past.matches, past.performance, fx.NAMES)
     return _feature_columns(rows, plans.AVERAGES)
 
 
-def smart_table(spark: SparkSession, sf_dir: str, mode: str = "full") -> DataFrame:
+def smart_table(past: fx.History, mode: str = "full") -> DataFrame:
     """The smart feature table with all columns of the contests."""
-    matches, perf = fx.matches(spark, sf_dir), performance(spark, sf_dir)
-    return plans.smart_features(matches, perf, fx.NAMES, mode=mode)
+    return plans.smart_features(past.matches, past.performance, fx.NAMES, mode=mode)
 
 
 @registered(twin(f"SELECT {_CATEGORIES}, {_ROUNDED_AVERAGES}, {_RATES} FROM smart", "smart"))
 def smart_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _feature_columns(smart_table(spark, sf_dir), plans.AVERAGES + plans.RATES)
+    return _feature_columns(smart_table(fx.history(spark, sf_dir)), plans.AVERAGES + plans.RATES)
 
 
 def _rate_of(won: str, played: str) -> str:
@@ -208,7 +202,7 @@ def _rate_of(won: str, played: str) -> str:
     )
 )
 def smart_features_train_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = smart_table(spark, sf_dir, "train_only")
+    rows = smart_table(fx.history(spark, sf_dir), "train_only")
     return _feature_columns(rows, plans.AVERAGES + plans.RATES)
 
 
@@ -217,13 +211,9 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.requests(spark, sf_dir)
 
 
-def request_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recommend.matchup_features(
-        fx.requests(spark, sf_dir),
-        fx.matches(spark, sf_dir),
-        performance(spark, sf_dir),
-        fx.NAMES,
-    )
+def request_features(spark: SparkSession, sf_dir: str, past: fx.History) -> DataFrame:
+    requests = fx.requests(spark, sf_dir)
+    return recommend.matchup_features(requests, past.matches, past.performance, fx.NAMES)
 
 
 @registered(
@@ -265,4 +255,5 @@ def request_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def matchup_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _six_digits(request_features(spark, sf_dir), *plans.AVERAGES, *plans.RATES)
+    rows = request_features(spark, sf_dir, fx.history(spark, sf_dir))
+    return _six_digits(rows, *plans.AVERAGES, *plans.RATES)

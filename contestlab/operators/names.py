@@ -21,6 +21,8 @@ def normalize_names(
     A dict becomes one conditional expression per column. A table
     (old_name, new_name), unique on old_name, is joined instead.
     """
+    if not columns:
+        return df
     if isinstance(names, Mapping):
         return df.replace(dict(names), subset=list(columns)) if names else df
     table = measured(names)

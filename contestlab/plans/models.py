@@ -6,10 +6,13 @@ fitted on and scored against those files.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -26,7 +29,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contestlab.columns import CONTEST, ContestColumns
@@ -40,10 +43,11 @@ from contestlab.operators.metrics import (
     confusion,
 )
 from contestlab.plans.features import AVERAGES, RATES, categorical
-from contestlab.sources.scratch import written
+from contestlab.sources.scratch import spread, written
 
 FEATURE_SETS = {"base": AVERAGES, "smart": AVERAGES + RATES}
 HIDDEN = (10, 5)
+PARALLELISM = 5
 
 
 def indexed_name(column: str) -> str:
@@ -118,37 +122,38 @@ def preparation(
     return Pipeline(stages=[*stages, assembler])
 
 
-def prepare(
+def split_table(
     features: DataFrame,
-    feature_set: str = "smart",
-    missing: str = "skip",
     percent: int = MODEL_TRAIN_PERCENT,
     seed: int = SPLIT_SEED,
     c: ContestColumns = CONTEST,
-) -> Prepared:
-    """Split, index and assemble a feature table, and write the result."""
-    cats, numbers = categorical(c), FEATURE_SETS[feature_set]
-    # fit() reads the table more than once; the joins behind it run once.
-    table = written(
-        features.select(
-            c.key,
-            "label",
-            in_training(c.key, percent=percent, seed=seed).alias("is_train"),
-            *cats,
-            *numbers,
-        ),
-        "features",
+) -> DataFrame:
+    """Model columns of a feature table and the split, written once: fitting
+    reads them many times, the joins behind them run a single time."""
+    numbers = [n for n in FEATURE_SETS["smart"] if n in features.columns]
+    is_train = in_training(c.key, percent=percent, seed=seed).alias("is_train")
+    return written(
+        features.select(c.key, "label", is_train, *categorical(c), *numbers), "features"
     )
+
+
+def prepare(
+    table: DataFrame,
+    feature_set: str = "smart",
+    missing: str = "skip",
+    c: ContestColumns = CONTEST,
+) -> Prepared:
+    """Index and assemble a split table, and write the vectors. The stages are
+    fitted on its training rows."""
     stages = preparation(feature_set, missing, c).fit(table.where("is_train"))
-    vectors = written(
-        stages.transform(table).select(c.key, "label", "is_train", "features"), "vectors"
-    )
+    assembled = stages.transform(table).select(c.key, "label", "is_train", "features")
+    vectors = written(spread(assembled, c.key), "vectors")
     labels = stages.stages[0].labelsArray
     return Prepared(
         train=vectors.where("is_train"),
         test=vectors.where("NOT is_train"),
         stages=stages,
-        inputs=len(cats) + len(numbers),
+        inputs=len(categorical(c)) + len(FEATURE_SETS[feature_set]),
         # Each indexed column has one more category, for unseen values.
         max_bins=max([32, *[len(values) + 1 for values in labels]]),
         dropped=table.count() - vectors.count(),
@@ -182,8 +187,24 @@ def classifiers(
     }
 
 
-def fit_models(prepared: Prepared, estimators: Mapping[str, Estimator]) -> dict[str, Model]:
-    return {name: e.fit(prepared.train) for name, e in estimators.items()}
+def _at_once(
+    spark: SparkSession, work: Mapping[str, Callable[[], Any]], parallelism: int
+) -> dict[str, Any]:
+    """Run independent Spark jobs side by side; a fit's many short jobs leave
+    cores idle that the others use."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        running = {k: pool.submit(inherit(f)) for k, f in work.items()}
+        return {k: f.result() for k, f in running.items()}
+
+
+def fit_models(
+    prepared: Prepared, estimators: Mapping[str, Estimator], parallelism: int = PARALLELISM
+) -> dict[str, Model]:
+    """Fitted models by name. Each running fit caches the training rows, so
+    lower ``parallelism`` where executors cannot hold that many copies."""
+    work = {name: partial(e.fit, prepared.train) for name, e in estimators.items()}
+    return _at_once(prepared.train.sparkSession, work, parallelism)
 
 
 def pipeline_model(prepared: Prepared, model: Model) -> PipelineModel:
@@ -232,13 +253,22 @@ def score_models(
     return scored.select(*keep, F.inline(F.array(*per_model)))
 
 
-def model_metrics(scored: DataFrame, models: Sequence[str], label: str = "label") -> DataFrame:
+def model_metrics(
+    scored: DataFrame,
+    models: Sequence[str],
+    label: str = "label",
+    parallelism: int = PARALLELISM,
+) -> DataFrame:
     """(model, metric, value), values times 100. The counts of all models come
     from one pass, the areas from one sort of the scores per model."""
     rates = classification_rates(confusion(scored, ["model"], label))
-    areas = scored.sparkSession.createDataFrame(
-        [(m, area_under_roc(scored.where(F.col("model") == m), label=label)) for m in models],
-        "model string, auc double",
+    work = {
+        m: partial(area_under_roc, scored.where(F.col("model") == m), label=label)
+        for m in models
+    }
+    spark = scored.sparkSession
+    areas = spark.createDataFrame(
+        list(_at_once(spark, work, parallelism).items()), "model string, auc double"
     )
     table = rates.join(F.broadcast(areas), "model")
     return table.unpivot(["model"], [*METRICS, "auc"], "metric", "value").withColumn(
@@ -252,20 +282,22 @@ def compare_models(
     trees: int = 100,
     boosting_rounds: int = 50,
     missing: str = "skip",
+    parallelism: int = PARALLELISM,
     c: ContestColumns = CONTEST,
 ) -> DataFrame:
     """(feature_set, model, metric, value) for every model and feature set."""
-    tables = []
-    for feature_set in feature_sets:
-        prepared = prepare(features, feature_set, missing, c=c)
-        models = fit_models(prepared, classifiers(prepared, trees, boosting_rounds))
-        scored = written(score_models(prepared.test, models, [c.key, "label"]), "scored")
-        metrics = model_metrics(scored, list(models))
-        tables.append(metrics.select(F.lit(feature_set).alias("feature_set"), "*"))
-    return reduce(DataFrame.unionByName, tables)
+    split = split_table(features, c=c)
 
+    def metrics(feature_set: str) -> DataFrame:
+        prepared = prepare(split, feature_set, missing, c)
+        models = fit_models(prepared, classifiers(prepared, trees, boosting_rounds), parallelism)
+        scored = written(score_models(prepared.test, models, [c.key, "label"]), "scored")
+        table = model_metrics(scored, list(models), parallelism=parallelism)
+        return table.select(F.lit(feature_set).alias("feature_set"), "*")
 
-DOCUMENTED_INPUTS = ("city", "team1", "team2")
+    work = {name: partial(metrics, name) for name in feature_sets}
+    tables = _at_once(features.sparkSession, work, parallelism)
+    return reduce(DataFrame.unionByName, tables.values())
 
 
 def documented_table(matches: DataFrame, neutral: str, c: ContestColumns = CONTEST) -> DataFrame:

@@ -35,6 +35,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """At least one partition per core, for tables that are read many times.
+
+    A large table has more partitions than that and is left as it is. ``df``
+    must be a scan with projections, so that its partitions are known.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of a small table."""
     scratch_dir(df.sparkSession)

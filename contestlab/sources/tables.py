@@ -25,6 +25,12 @@ TYPES: dict[str, dict[str, str]] = {
     "players_info": {},
 }
 
+# Columns known under two names.
+RENAMED: dict[str, dict[str, str]] = {"team_performance": {"Teams": "Team"}}
+
+# Tables whose headers are tidied first.
+UNTIDY = {"ball_by_ball"}
+
 _WHOLE = {"int", "bigint"}
 
 
@@ -53,6 +59,16 @@ def clean_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
 
 
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """A table of text, or of other types, with the headers and types of
+    ``table``."""
+    if table in UNTIDY:
+        df = clean_headers(df)
+    for old, new in RENAMED.get(table, {}).items():
+        df = df.withColumnRenamed(old, new)
+    return typed(df, TYPES[table])
+
+
 def read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """CSV with a header, every column as text, columns known by name.
 
@@ -73,6 +89,4 @@ def read_table(
         df = read_csv(spark, path, **options)
     else:
         df = spark.read.format(fmt).options(**options).load(path)
-    if table == "ball_by_ball":
-        df = clean_headers(df)
-    return typed(df, TYPES[table])
+    return conform(df, table)
