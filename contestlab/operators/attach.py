@@ -93,17 +93,16 @@ def _attach_by_shuffle(
     )
     marked = left.join(F.broadcast(hot_rows), keys, "left")
 
-    # Rows that need no partner below (heavy or NULL key) are spread by a salt
-    # that a retried task computes again; all others carry salt 0.
-    any_null = F.lit(False)
+    # Rows with a key of their own meet by a hash of it. Rows that need no
+    # partner below (heavy or NULL key) are spread by a hash of the whole row
+    # and its partition, which a retried task computes again.
+    alone = F.col("_hot")
     for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    spread = F.pmod(F.hash(F.spark_partition_id(), *left.columns), F.lit(shares)) + 1
-    salted = marked.withColumn(
-        "_salt", F.when(F.col("_hot") | any_null, spread).otherwise(F.lit(0))
-    )
-    cold = lookup.withColumn("_salt", F.lit(0)).hint("shuffle_merge")
-    joined = salted.join(cold, [*keys, "_salt"], "left")
+        alone = alone | F.col(k).isNull()
+    own, by_row = F.hash(*keys), F.hash(F.spark_partition_id(), *left.columns)
+    spread = marked.withColumn("_spread", F.when(alone, by_row).otherwise(own))
+    cold = lookup.withColumn("_spread", own).hint("shuffle_merge")
+    joined = spread.join(cold, [*keys, "_spread"], "left")
     return joined.select(
         *left.columns,
         *[

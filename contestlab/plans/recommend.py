@@ -199,8 +199,8 @@ def score_requests(
 ) -> DataFrame:
     """Probability and recommendation for requests with matchup features.
 
-    Every request gets an answer: a side without scores takes the training
-    mean of the missing average.
+    Every request gets an answer: a side without scores takes, and shows, the
+    training mean of the missing average.
     """
     columns = requests.columns
     if c.venue not in columns:
