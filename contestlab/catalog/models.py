@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -382,12 +380,10 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     models.save_model(pipeline, path)
     test = table.where("NOT is_train")
 
-    def scored(model, name: str) -> DataFrame:
-        p = F.get(vector_to_array("probability"), F.lit(1)).alias(name)
-        return model.transform(test).select("match_id", p)
-
-    pair = [scored(pipeline, "saved"), scored(models.load_model(path), "loaded")]
-    return reduce(lambda a, b: a.join(b, "match_id"), pair)
+    p = F.get(vector_to_array("probability"), F.lit(1))
+    once = pipeline.transform(test).select(*test.columns, p.alias("saved"))
+    twice = models.load_model(path).transform(once)
+    return twice.select("match_id", "saved", p.alias("loaded"))
 
 
 @registered()

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contestlab.sources.jobs import at_once
 from contestlab.sources.scratch import checkpointed
 
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -46,6 +48,18 @@ def measured(table: DataFrame | MeasuredTable) -> MeasuredTable:
     return MeasuredTable(df, size["rows"], size["bytes"])
 
 
+def measured_at_once(
+    tables: Mapping[str, DataFrame | MeasuredTable],
+) -> dict[str, MeasuredTable]:
+    """Measure independent tables side by side."""
+    waiting = {name: t for name, t in tables.items() if isinstance(t, DataFrame)}
+    done = {name: t for name, t in tables.items() if isinstance(t, MeasuredTable)}
+    if not waiting:
+        return done
+    spark = next(iter(waiting.values())).sparkSession
+    return done | at_once(spark, {name: partial(measured, t) for name, t in waiting.items()})
+
+
 def heavy_keys(left: DataFrame, keys: list[str], shares: int) -> DataFrame:
     """Keys that hold more than 1/shares of the rows, so fewer than ``shares``."""
     counts = checkpointed(

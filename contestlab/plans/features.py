@@ -7,6 +7,7 @@ carries every row through the joins. All rates come from the cells.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +16,20 @@ from contestlab.columns import CONTEST, ContestColumns
 from contestlab.constants import MODEL_TRAIN_PERCENT, NO_HISTORY_RATE, SPLIT_SEED
 from contestlab.functions.outcome import draw_flag, first_side, label_side_a
 from contestlab.functions.split import in_training
-from contestlab.operators.attach import BROADCAST_BYTES, MeasuredTable, attach, measured
+from contestlab.operators.attach import (
+    BROADCAST_BYTES,
+    MeasuredTable,
+    attach,
+    measured,
+    measured_at_once,
+)
 from contestlab.operators.rates import (
     entity_rate,
     outcome_cells,
     pair_rate,
     team_score_averages,
 )
+from contestlab.sources.jobs import at_once
 from contestlab.sources.scratch import checkpointed
 
 AVERAGES = ["team1_avg_runs", "team2_avg_conceded"]
@@ -139,19 +147,16 @@ def base_features(
     return attach_score_averages(with_outcomes(matches, c), averages, c, broadcast_bytes)
 
 
-def attach_rates(
-    matches: DataFrame,
-    history: DataFrame,
-    c: ContestColumns = CONTEST,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Pair, season and venue rates of ``history``, from one scan of it."""
+def rate_tables(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str, MeasuredTable]:
+    """Pair, season and venue rates, from one scan of the contests."""
     cells = checkpointed(outcome_cells(history, [c.season, c.venue], c))
-    out = attach_pair_rate(matches, pair_rate(cells, c), c, broadcast_bytes)
-    form = entity_rate(cells, [c.season], "season", c)
-    out = attach_season_rate(out, form, c, broadcast_bytes)
-    venues = entity_rate(cells, [c.venue], "venue", c)
-    return attach_venue_rate(out, venues, c, broadcast_bytes=broadcast_bytes)
+    return measured_at_once(
+        {
+            "pair": pair_rate(cells, c),
+            "season": entity_rate(cells, [c.season], "season", c),
+            "venue": entity_rate(cells, [c.venue], "venue", c),
+        }
+    )
 
 
 def smart_features(
@@ -176,8 +181,16 @@ def smart_features(
     history = matches
     if mode == "train_only":
         history = matches.where(in_training(c.key, percent=percent, seed=seed))
-    base = base_features(matches, perf, names, normalize_pairs, c, broadcast_bytes)
-    out = attach_rates(base, history, c, broadcast_bytes)
+    averages = team_score_averages(perf, names, normalize_pairs)
+    made = at_once(
+        matches.sparkSession,
+        {"rates": partial(rate_tables, history, c), "averages": partial(measured, averages)},
+    )
+    rates = made["rates"]
+    out = attach_score_averages(with_outcomes(matches, c), made["averages"], c, broadcast_bytes)
+    out = attach_pair_rate(out, rates["pair"], c, broadcast_bytes)
+    out = attach_season_rate(out, rates["season"], c, broadcast_bytes)
+    out = attach_venue_rate(out, rates["venue"], c, broadcast_bytes=broadcast_bytes)
     if mode == "train_only":
         out = out.withColumns({r: F.coalesce(r, F.lit(NO_HISTORY_RATE)) for r in RATES})
     return out

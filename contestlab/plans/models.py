@@ -6,13 +6,10 @@ fitted on and scored against those files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
-from typing import Any
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -29,7 +26,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contestlab.columns import CONTEST, ContestColumns
@@ -43,11 +40,11 @@ from contestlab.operators.metrics import (
     confusion,
 )
 from contestlab.plans.features import AVERAGES, RATES, categorical
+from contestlab.sources.jobs import PARALLELISM, at_once
 from contestlab.sources.scratch import spread, written
 
 FEATURE_SETS = {"base": AVERAGES, "smart": AVERAGES + RATES}
 HIDDEN = (10, 5)
-PARALLELISM = 5
 
 
 def indexed_name(column: str) -> str:
@@ -187,24 +184,13 @@ def classifiers(
     }
 
 
-def _at_once(
-    spark: SparkSession, work: Mapping[str, Callable[[], Any]], parallelism: int
-) -> dict[str, Any]:
-    """Run independent Spark jobs side by side; a fit's many short jobs leave
-    cores idle that the others use."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        running = {k: pool.submit(inherit(f)) for k, f in work.items()}
-        return {k: f.result() for k, f in running.items()}
-
-
 def fit_models(
     prepared: Prepared, estimators: Mapping[str, Estimator], parallelism: int = PARALLELISM
 ) -> dict[str, Model]:
     """Fitted models by name. Each running fit caches the training rows, so
     lower ``parallelism`` where executors cannot hold that many copies."""
     work = {name: partial(e.fit, prepared.train) for name, e in estimators.items()}
-    return _at_once(prepared.train.sparkSession, work, parallelism)
+    return at_once(prepared.train.sparkSession, work, parallelism)
 
 
 def pipeline_model(prepared: Prepared, model: Model) -> PipelineModel:
@@ -268,7 +254,7 @@ def model_metrics(
     }
     spark = scored.sparkSession
     areas = spark.createDataFrame(
-        list(_at_once(spark, work, parallelism).items()), "model string, auc double"
+        list(at_once(spark, work, parallelism).items()), "model string, auc double"
     )
     table = rates.join(F.broadcast(areas), "model")
     return table.unpivot(["model"], [*METRICS, "auc"], "metric", "value").withColumn(
@@ -291,12 +277,13 @@ def compare_models(
     def metrics(feature_set: str) -> DataFrame:
         prepared = prepare(split, feature_set, missing, c)
         models = fit_models(prepared, classifiers(prepared, trees, boosting_rounds), parallelism)
-        scored = written(score_models(prepared.test, models, [c.key, "label"]), "scored")
+        scored = score_models(prepared.test, models, [c.key, "label"])
+        scored = written(scored, "scored", by="model")
         table = model_metrics(scored, list(models), parallelism=parallelism)
         return table.select(F.lit(feature_set).alias("feature_set"), "*")
 
     work = {name: partial(metrics, name) for name in feature_sets}
-    tables = _at_once(features.sparkSession, work, parallelism)
+    tables = at_once(features.sparkSession, work, parallelism)
     return reduce(DataFrame.unionByName, tables.values())
 
 

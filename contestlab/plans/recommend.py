@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -27,7 +28,13 @@ from contestlab.constants import (
 )
 from contestlab.functions.outcome import draw_flag_int
 from contestlab.functions.split import in_training
-from contestlab.operators.attach import BROADCAST_BYTES, attach, measured
+from contestlab.operators.attach import (
+    BROADCAST_BYTES,
+    MeasuredTable,
+    attach,
+    measured,
+    measured_at_once,
+)
 from contestlab.operators.rates import (
     outcome_cells,
     overall_rate,
@@ -37,6 +44,7 @@ from contestlab.operators.rates import (
 )
 from contestlab.plans.features import AVERAGES, RATES, attach_score_averages
 from contestlab.plans.models import alphabetical_indexer, encode_unseen, indexed_name
+from contestlab.sources.jobs import at_once
 from contestlab.sources.scratch import checkpointed, written
 
 NUMBERS = AVERAGES + RATES
@@ -64,6 +72,18 @@ def request_rows(
     ).drop(*({neutral, draw_winner} - {"neutral", "draw_winner_is_team1"}))
 
 
+def request_rates(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str, MeasuredTable]:
+    """Pair, overall and city rates, from one scan of the contests."""
+    cells = checkpointed(outcome_cells(history, [c.city], c))
+    return measured_at_once(
+        {
+            "pair": unordered_pair_rate(cells, c),
+            "overall": overall_rate(cells, c),
+            "city": place_rate(cells, c.city, c),
+        }
+    )
+
+
 def matchup_features(
     requests: DataFrame,
     matches: DataFrame,
@@ -74,25 +94,21 @@ def matchup_features(
 ) -> DataFrame:
     """Rates as known when a request is made: the pair in either order, both
     sides over all seasons, and the city. No history gives the neutral rate."""
-    cells = checkpointed(outcome_cells(matches, [c.city], c))
-    out = attach_score_averages(requests, team_score_averages(perf, names), c, broadcast_bytes)
-    out = attach(
-        out,
-        unordered_pair_rate(cells, c),
-        {"team": c.side_a, "opponent": c.side_b},
-        {"rate": "h2h_win_rate"},
-        broadcast_bytes,
-    )
-    overall = measured(overall_rate(cells, c))
-    for side, name in ((c.side_a, "team1_season_win_rate"), (c.side_b, "team2_season_win_rate")):
-        out = attach(out, overall, {"team": side}, {"rate": name}, broadcast_bytes)
-    out = attach(
-        out,
-        place_rate(cells, c.city, c),
-        {c.city: c.city, "team": c.side_a},
-        {"rate": "team1_venue_win_rate"},
-        broadcast_bytes,
+    averages = team_score_averages(perf, names)
+    made = at_once(
+        matches.sparkSession,
+        {"rates": partial(request_rates, matches, c), "averages": partial(measured, averages)},
     )
+    rates = made["rates"]
+    out = attach_score_averages(requests, made["averages"], c, broadcast_bytes)
+    lookups = [
+        ("pair", {"team": c.side_a, "opponent": c.side_b}, "h2h_win_rate"),
+        ("overall", {"team": c.side_a}, "team1_season_win_rate"),
+        ("overall", {"team": c.side_b}, "team2_season_win_rate"),
+        ("city", {c.city: c.city, "team": c.side_a}, "team1_venue_win_rate"),
+    ]
+    for table, on, name in lookups:
+        out = attach(out, rates[table], on, {"rate": name}, broadcast_bytes)
     return out.withColumns({r: F.coalesce(r, F.lit(NO_HISTORY_RATE)) for r in RATES})
 
 

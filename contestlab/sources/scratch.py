@@ -26,13 +26,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later passes and lost executors
-    start from the files, not from the lineage."""
+    start from the files, not from the lineage. Filters on ``by`` then read
+    their own files only."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -34,7 +34,7 @@ UNTIDY = {"ball_by_ball"}
 _WHOLE = {"int", "bigint"}
 
 
-def _number(name: str, kind: str) -> Column:
+def _parsed(name: str, kind: str) -> Column:
     text = F.col(f"`{name}`")
     if kind in _WHOLE:
         # "4.0" is a whole number written as a decimal; longs stay exact.
@@ -45,13 +45,16 @@ def _number(name: str, kind: str) -> Column:
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Give columns their types. A token that does not parse becomes NULL,
-    with ANSI mode left on."""
-    return df.select(
-        *[
-            _number(c, types[c]).alias(c) if c in types else F.col(f"`{c}`")
-            for c in df.columns
-        ]
-    )
+    with ANSI mode left on. A column that is not text keeps its type if it is
+    the right one, so filters on it reach the scan."""
+    columns = []
+    for name, present in df.dtypes:
+        column = F.col(f"`{name}`")
+        wanted = types.get(name, present)
+        if wanted != present:
+            column = _parsed(name, wanted) if present == "string" else column.try_cast(wanted)
+        columns.append(column.alias(name))
+    return df.select(*columns)
 
 
 def clean_headers(df: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 
+from contestlab.operators.describe import top_bowlers
 from contestlab.plans.load import load_tables
 from contestlab.sources import scratch
 from contestlab.sources.tables import clean_headers, conform, read_table, typed
-from tests.helpers import bag
+from tests.helpers import bag, physical
 
 
 def test_unusable_tokens_become_null(spark):
@@ -128,3 +129,19 @@ def test_spread_leaves_large_tables_alone(spark):
     assert scratch.spread(few, "id").rdd.getNumPartitions() == 8
     many = spark.range(0, 100, 1, 20)
     assert scratch.spread(many, "id").rdd.getNumPartitions() == 20
+
+
+def test_filter_on_a_typed_column_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    rows = [("B1", 1, "caught"), ("B2", 0, None)]
+    df = spark.createDataFrame(rows, "bowler string, is_wicket int, dismissal_kind string")
+    df.write.parquet(path)
+    plan = physical(top_bowlers(read_table(spark, path, "deliveries", fmt="parquet")))
+    assert "EqualTo(is_wicket,1)" in plan and "IsNotNull(dismissal_kind)" in plan
+
+
+def test_partitioned_scratch_table(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("b", 3, 4)], "m string, x int, y int").select("x", "m", "y")
+    out = scratch.written(df, "parts", by="m")
+    assert out.dtypes == df.dtypes and bag(out) == bag(df)
+    assert "PartitionFilters: [isnotnull(m" in physical(out.where("m = 'a'"))
