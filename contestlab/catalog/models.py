@@ -220,8 +220,7 @@ _abc_smart, _abc_smart_joins, _abc_smart_outputs = _index_parts(
 )
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inputs of the request model, centred and scaled as on its training rows."""
-    _, matrix = recommend.request_matrix(smart_table(fx.history(spark, sf_dir)))
-    vectors = recommend.assembler().transform(matrix)
+    _, vectors, _ = recommend.request_vectors(smart_table(fx.history(spark, sf_dir)))
     train = vectors.where("is_train")
     scaled = recommend.scaling(train, train.count()).transform(vectors)
     slots = scaled.withColumn("v", vector_to_array("features"))

@@ -45,7 +45,7 @@ from contestlab.operators.rates import (
 from contestlab.plans.features import AVERAGES, RATES, attach_score_averages
 from contestlab.plans.models import alphabetical_indexer, encode_unseen, indexed_name
 from contestlab.sources.jobs import at_once
-from contestlab.sources.scratch import checkpointed, written
+from contestlab.sources.scratch import checkpointed, spread, written
 
 NUMBERS = AVERAGES + RATES
 
@@ -114,6 +114,9 @@ def matchup_features(
 
 @dataclass(frozen=True)
 class RequestModel:
+    """``averages`` are the training means of the score averages; ``vectors``
+    are the written inputs of both splits."""
+
     indexer: StringIndexerModel
     scorer: PipelineModel
     averages: dict[str, float]
@@ -137,13 +140,20 @@ def scaling(train: DataFrame, rows: int) -> PipelineModel:
     return PipelineModel(stages=[scaler, rescale])
 
 
-def request_matrix(
+def assembler(c: ContestColumns = CONTEST) -> VectorAssembler:
+    return VectorAssembler(
+        inputCols=model_inputs(c), outputCol="raw_features", handleInvalid="skip"
+    )
+
+
+def request_vectors(
     features: DataFrame,
     percent: int = REQUEST_TRAIN_PERCENT,
     seed: int = SPLIT_SEED,
     c: ContestColumns = CONTEST,
-) -> tuple[StringIndexerModel, DataFrame]:
-    """Encoders fitted on all rows, and the written matrix of model inputs."""
+) -> tuple[StringIndexerModel, DataFrame, int]:
+    """Encoders fitted on all rows, the written vectors of both splits, and how
+    many rows a missing number left out."""
     table = written(
         features.select(
             c.key,
@@ -155,14 +165,10 @@ def request_matrix(
         "request-features",
     )
     indexer = alphabetical_indexer(encoded(c)).fit(table)
-    matrix = indexer.transform(table).select(c.key, "label", "is_train", *model_inputs(c))
-    return indexer, written(matrix, "request-matrix")
-
-
-def assembler(c: ContestColumns = CONTEST) -> VectorAssembler:
-    return VectorAssembler(
-        inputCols=model_inputs(c), outputCol="raw_features", handleInvalid="skip"
-    )
+    assembled = assembler(c).transform(indexer.transform(table))
+    kept = assembled.select(c.key, "label", "is_train", "raw_features")
+    vectors = written(spread(kept, c.key), "request-vectors")
+    return indexer, vectors, table.count() - vectors.count()
 
 
 def fit_request_model(
@@ -175,12 +181,8 @@ def fit_request_model(
     The penalty is written as in C * loss + |w|^2 / 2, so MLlib's parameter,
     which weighs the mean loss, is 1 / (C * training rows).
     """
-    indexer, matrix = request_matrix(features, c=c)
-    assemble = assembler(c)
-    vectors = assemble.transform(matrix).select(c.key, "label", "is_train", "raw_features")
+    indexer, vectors, dropped = request_vectors(features, c=c)
     train = vectors.where("is_train")
-    stats = matrix.where("is_train").agg(*[F.avg(n).alias(n) for n in NUMBERS]).first()
-    kept, total = vectors.count(), matrix.count()
     rows = train.count()
     scale = scaling(train, rows)
     regression = LogisticRegression(
@@ -189,13 +191,13 @@ def fit_request_model(
         elasticNetParam=0.0,
         standardization=False,
     ).fit(scale.transform(train))
-    scorer = PipelineModel(stages=[assemble, *scale.stages, regression])
+    means = dict(zip(model_inputs(c), scale.stages[0].mean))
     return RequestModel(
         indexer=indexer,
-        scorer=scorer,
-        averages={n: stats[n] for n in AVERAGES if stats[n] is not None},
-        vectors=matrix,
-        dropped=total - kept,
+        scorer=PipelineModel(stages=[*scale.stages, regression]),
+        averages={n: float(means[n]) for n in AVERAGES},
+        vectors=vectors,
+        dropped=dropped,
     )
 
 
@@ -224,7 +226,8 @@ def score_requests(
     filled = requests.withColumns(
         {n: F.coalesce(F.col(n), F.lit(mean)) for n, mean in model.averages.items()}
     )
-    scored = model.scorer.transform(encode_unseen(filled, model.indexer))
+    vectors = assembler(c).transform(encode_unseen(filled, model.indexer))
+    scored = model.scorer.transform(vectors)
     return scored.select(*columns, probability_of_win(scored).alias("p")).select(
         *columns, F.col("p").alias("probability"), recommendation("p").alias("recommendation")
     )
