@@ -9,6 +9,7 @@ from contestlab.catalog import fixtures as fx
 from contestlab.catalog.registry import registered
 from contestlab.catalog.twins import train_bucket, twin
 from contestlab.operators import rates
+from contestlab.operators.attach import attach
 from contestlab.plans import features as plans
 from contestlab.plans import recommend
 
@@ -114,7 +115,7 @@ _ROUNDED_AVERAGES = """round(team1_avg_runs, 6) AS team1_avg_runs,
 )
 def attach_score_avgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     averages = rates.team_score_averages(fx.performance(spark, sf_dir), fx.NAMES)
-    rows = plans.attach_score_averages(fx.matches(spark, sf_dir), averages)
+    rows = attach(fx.matches(spark, sf_dir), *plans.score_lookups(averages))
     return _six_digits(rows.select("match_id", "team1", "team2", *plans.AVERAGES), *plans.AVERAGES)
 
 
@@ -122,7 +123,7 @@ def attach_score_avgs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attach_pair_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = fx.matches(spark, sf_dir)
     table = rates.pair_rate(rates.outcome_cells(matches))
-    return plans.attach_pair_rate(matches, table).select("match_id", "h2h_win_rate")
+    return attach(matches, plans.pair_lookup(table)).select("match_id", "h2h_win_rate")
 
 
 @registered(
@@ -130,13 +131,14 @@ def attach_pair_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def attach_season_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     form = season_rate(spark, sf_dir)
-    rows = plans.attach_season_rate(fx.matches(spark, sf_dir), form)
+    rows = attach(fx.matches(spark, sf_dir), *plans.season_lookups(form))
     return rows.select("match_id", "team1_season_win_rate", "team2_season_win_rate")
 
 
 @registered(twin("SELECT match_id, team1_venue_win_rate FROM smart", "smart"))
 def attach_venue_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = plans.attach_venue_rate(fx.matches(spark, sf_dir), venue_rate(spark, sf_dir))
+    lookup = plans.venue_lookup(venue_rate(spark, sf_dir))
+    rows = attach(fx.matches(spark, sf_dir), lookup)
     return rows.select("match_id", "team1_venue_win_rate")
 
 

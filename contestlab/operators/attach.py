@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contestlab.sources.jobs import at_once
-from contestlab.sources.scratch import checkpointed
+from contestlab.sources.scratch import written
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 _ROW_OVERHEAD = 32
@@ -24,7 +24,7 @@ _ROW_OVERHEAD = 32
 
 @dataclass(frozen=True)
 class MeasuredTable:
-    """A checkpointed table and its measured size."""
+    """A written table and its measured size."""
 
     df: DataFrame
     rows: int
@@ -32,10 +32,10 @@ class MeasuredTable:
 
 
 def measured(table: DataFrame | MeasuredTable) -> MeasuredTable:
-    """Checkpoint ``table`` and measure it, unless that was done before."""
+    """Write ``table`` and measure it, unless that was done before."""
     if isinstance(table, MeasuredTable):
         return table
-    df = checkpointed(table)
+    df = written(table, "lookup")
     width = F.lit(_ROW_OVERHEAD)
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
@@ -60,49 +60,59 @@ def measured_at_once(
     return done | at_once(spark, {name: partial(measured, t) for name, t in waiting.items()})
 
 
-def heavy_keys(left: DataFrame, keys: list[str], shares: int) -> DataFrame:
-    """Keys that hold more than 1/shares of the rows, so fewer than ``shares``."""
-    counts = checkpointed(
-        left.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("_n"))
+def heavy_keys(left: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with more rows than an even share of the shuffle partitions, hence
+    fewer keys than partitions."""
+    shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = written(
+        left.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("_n")), "key-counts"
     )
     total = counts.agg(F.sum("_n")).first()[0] or 0
     return counts.where(F.col("_n") * shares > total).drop("_n")
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """What to add: ``on`` maps key columns of the table to columns of the
+    left side, ``values`` its value columns to their new names. The table must
+    have one row per key."""
+
+    table: DataFrame | MeasuredTable
+    on: Mapping[str, str]
+    values: Mapping[str, str]
+
+
 def attach(
-    left: DataFrame,
-    table: DataFrame | MeasuredTable,
-    on: Mapping[str, str],
-    values: Mapping[str, str],
-    broadcast_bytes: int = BROADCAST_BYTES,
+    left: DataFrame, *lookups: Lookup, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Add columns of ``table`` to every row of ``left``.
-
-    ``on`` maps key columns of the table to columns of ``left``; ``values``
-    maps its value columns to their new names. Rows without a match get NULL.
-    The table must have one row per key; then the row count is kept.
-    """
-    right = measured(table)
-    keys, names = list(on.values()), list(values.values())
+    """Add columns to every row of ``left``; its row count is kept. Rows
+    without a match get NULL, columns of the same name are replaced."""
+    names = [n for lookup in lookups for n in lookup.values.values()]
     left = left.drop(*names)
-    lookup = right.df.select(
-        *[F.col(r).alias(l) for r, l in on.items()],
-        *[F.col(r).alias(n) for r, n in values.items()],
-    ).dropna(subset=keys)
-    if right.bytes <= broadcast_bytes:
-        joined = left.join(F.broadcast(lookup), keys, "left")
-    else:
-        joined = _attach_by_shuffle(left, lookup, keys, names)
-    return joined.select(*left.columns, *names)
+    out = left
+    for lookup in lookups:
+        right = measured(lookup.table)
+        keys = list(lookup.on.values())
+        rows = right.df.select(
+            *[F.col(r).alias(l) for r, l in lookup.on.items()],
+            *[F.col(r).alias(n) for r, n in lookup.values.items()],
+        ).dropna(subset=keys)
+        if right.bytes <= broadcast_bytes:
+            out = out.join(F.broadcast(rows), keys, "left").select(
+                *out.columns, *lookup.values.values()
+            )
+        else:
+            # Heavy keys are counted before any join, not after the last one.
+            out = _attach_by_shuffle(out, rows, keys, heavy_keys(left, keys))
+    return out
 
 
 def _attach_by_shuffle(
-    left: DataFrame, lookup: DataFrame, keys: list[str], names: list[str]
+    left: DataFrame, rows: DataFrame, keys: list[str], hot: DataFrame
 ) -> DataFrame:
-    shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = heavy_keys(left, keys, shares)
+    names = [n for n in rows.columns if n not in keys]
     # The heavy keys are fewer than the shuffle partitions, so this is small.
-    hot_rows = lookup.join(F.broadcast(hot), keys, "left_semi").select(
+    hot_rows = rows.join(F.broadcast(hot), keys, "left_semi").select(
         *keys, F.lit(True).alias("_hot"), *[F.col(n).alias(f"_hot_{n}") for n in names]
     )
     marked = left.join(F.broadcast(hot_rows), keys, "left")
@@ -115,7 +125,7 @@ def _attach_by_shuffle(
         alone = alone | F.col(k).isNull()
     own, by_row = F.hash(*keys), F.hash(F.spark_partition_id(), *left.columns)
     spread = marked.withColumn("_spread", F.when(alone, by_row).otherwise(own))
-    cold = lookup.withColumn("_spread", own).hint("shuffle_merge")
+    cold = rows.withColumn("_spread", own).hint("shuffle_merge")
     joined = spread.join(cold, [*keys, "_spread"], "left")
     return joined.select(
         *left.columns,

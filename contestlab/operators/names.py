@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contestlab.constants import PAIR_SEPARATOR, TEAM_NAMES
-from contestlab.operators.attach import MeasuredTable, attach, measured
+from contestlab.operators.attach import Lookup, MeasuredTable, attach, measured
 
 
 def normalize_names(
@@ -27,7 +27,7 @@ def normalize_names(
         return df.replace(dict(names), subset=list(columns)) if names else df
     table = measured(names)
     for c in columns:
-        found = attach(df, table, {"old_name": c}, {"new_name": "_new_name"})
+        found = attach(df, Lookup(table, {"old_name": c}, {"new_name": "_new_name"}))
         df = found.withColumn(c, F.coalesce("_new_name", c)).drop("_new_name")
     return df
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contestlab.columns import CONTEST, ContestColumns
 from contestlab.constants import HOME_CITIES, TEAM_NAMES
-from contestlab.operators.attach import MeasuredTable, attach, measured
+from contestlab.operators.attach import Lookup, MeasuredTable, attach, measured
 from contestlab.operators.names import normalize_names
 
 
@@ -36,7 +36,10 @@ def with_neutral_flag(
     """0 where the city is home to either side, else 1 (unknown city included)."""
     if not isinstance(homes, MeasuredTable):
         homes = measured(homes.withColumn("is_home", F.lit(1)))
-    out = attach(df, homes, {"team": c.side_a, "city": c.city}, {"is_home": "_home_a"})
-    out = attach(out, homes, {"team": c.side_b, "city": c.city}, {"is_home": "_home_b"})
+    out = attach(
+        df,
+        Lookup(homes, {"team": c.side_a, "city": c.city}, {"is_home": "_home_a"}),
+        Lookup(homes, {"team": c.side_b, "city": c.city}, {"is_home": "_home_b"}),
+    )
     at_home = F.col("_home_a").isNotNull() | F.col("_home_b").isNotNull()
     return out.withColumn(name, (~at_home).cast("int")).drop("_home_a", "_home_b")

@@ -18,6 +18,7 @@ from contestlab.functions.outcome import draw_flag, first_side, label_side_a
 from contestlab.functions.split import in_training
 from contestlab.operators.attach import (
     BROADCAST_BYTES,
+    Lookup,
     MeasuredTable,
     attach,
     measured,
@@ -30,7 +31,7 @@ from contestlab.operators.rates import (
     team_score_averages,
 )
 from contestlab.sources.jobs import at_once
-from contestlab.sources.scratch import checkpointed
+from contestlab.sources.scratch import written
 
 AVERAGES = ["team1_avg_runs", "team2_avg_conceded"]
 RATES = [
@@ -57,80 +58,38 @@ def with_outcomes(matches: DataFrame, c: ContestColumns = CONTEST) -> DataFrame:
     )
 
 
-def attach_score_averages(
-    matches: DataFrame,
-    averages: Table,
-    c: ContestColumns = CONTEST,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def score_lookups(averages: Table, c: ContestColumns = CONTEST) -> list[Lookup]:
     """First-innings mean of side a, second-innings mean of side b."""
     table = measured(averages)
-    out = attach(
-        matches,
-        table,
-        {"Team": c.side_a},
-        {"avg_first_innings_score": "team1_avg_runs"},
-        broadcast_bytes,
-    )
-    return attach(
-        out,
-        table,
-        {"Team": c.side_b},
-        {"avg_second_innings_score": "team2_avg_conceded"},
-        broadcast_bytes,
-    )
+    return [
+        Lookup(table, {"Team": c.side_a}, {"avg_first_innings_score": "team1_avg_runs"}),
+        Lookup(table, {"Team": c.side_b}, {"avg_second_innings_score": "team2_avg_conceded"}),
+    ]
 
 
-def attach_pair_rate(
-    matches: DataFrame,
-    pairs: Table,
-    c: ContestColumns = CONTEST,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    return attach(
-        matches,
-        pairs,
-        {c.side_a: c.side_a, c.side_b: c.side_b},
-        {"h2h_win_rate": "h2h_win_rate"},
-        broadcast_bytes,
-    )
+def pair_lookup(pairs: Table, c: ContestColumns = CONTEST) -> Lookup:
+    on = {c.side_a: c.side_a, c.side_b: c.side_b}
+    return Lookup(pairs, on, {"h2h_win_rate": "h2h_win_rate"})
 
 
-def attach_season_rate(
-    matches: DataFrame,
-    form: Table,
-    c: ContestColumns = CONTEST,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def season_lookups(form: Table, c: ContestColumns = CONTEST) -> list[Lookup]:
     """The season's rate of both sides."""
     table = measured(form)
-    for side, name in ((c.side_a, "team1_season_win_rate"), (c.side_b, "team2_season_win_rate")):
-        matches = attach(
-            matches,
-            table,
-            {c.season: c.season, "team": side},
-            {"season_win_rate": name},
-            broadcast_bytes,
-        )
-    return matches
-
-
-def attach_venue_rate(
-    matches: DataFrame,
+    sides = ((c.side_a, "team1_season_win_rate"), (c.side_b, "team2_season_win_rate"))
+    return [
+        Lookup(table, {c.season: c.season, "team": side}, {"season_win_rate": name})
+        for side, name in sides
+    ]
+
+
+def venue_lookup(
     venues: Table,
     c: ContestColumns = CONTEST,
     side: str | None = None,
     name: str = "team1_venue_win_rate",
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+) -> Lookup:
     """The venue's rate of one side, the first by default."""
-    return attach(
-        matches,
-        venues,
-        {c.venue: c.venue, "team": side or c.side_a},
-        {"venue_win_rate": name},
-        broadcast_bytes,
-    )
+    return Lookup(venues, {c.venue: c.venue, "team": side or c.side_a}, {"venue_win_rate": name})
 
 
 def base_features(
@@ -144,12 +103,13 @@ def base_features(
     """The contests with outcomes and score averages. ``names`` maps the names
     in ``perf``; those of ``matches`` are expected to be normalised."""
     averages = team_score_averages(perf, names, normalize_pairs)
-    return attach_score_averages(with_outcomes(matches, c), averages, c, broadcast_bytes)
+    lookups = score_lookups(averages, c)
+    return attach(with_outcomes(matches, c), *lookups, broadcast_bytes=broadcast_bytes)
 
 
 def rate_tables(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str, MeasuredTable]:
     """Pair, season and venue rates, from one scan of the contests."""
-    cells = checkpointed(outcome_cells(history, [c.season, c.venue], c))
+    cells = written(outcome_cells(history, [c.season, c.venue], c), "cells")
     return measured_at_once(
         {
             "pair": pair_rate(cells, c),
@@ -187,10 +147,14 @@ def smart_features(
         {"rates": partial(rate_tables, history, c), "averages": partial(measured, averages)},
     )
     rates = made["rates"]
-    out = attach_score_averages(with_outcomes(matches, c), made["averages"], c, broadcast_bytes)
-    out = attach_pair_rate(out, rates["pair"], c, broadcast_bytes)
-    out = attach_season_rate(out, rates["season"], c, broadcast_bytes)
-    out = attach_venue_rate(out, rates["venue"], c, broadcast_bytes=broadcast_bytes)
+    out = attach(
+        with_outcomes(matches, c),
+        *score_lookups(made["averages"], c),
+        pair_lookup(rates["pair"], c),
+        *season_lookups(rates["season"], c),
+        venue_lookup(rates["venue"], c),
+        broadcast_bytes=broadcast_bytes,
+    )
     if mode == "train_only":
         out = out.withColumns({r: F.coalesce(r, F.lit(NO_HISTORY_RATE)) for r in RATES})
     return out

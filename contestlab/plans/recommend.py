@@ -30,6 +30,7 @@ from contestlab.functions.outcome import draw_flag_int
 from contestlab.functions.split import in_training
 from contestlab.operators.attach import (
     BROADCAST_BYTES,
+    Lookup,
     MeasuredTable,
     attach,
     measured,
@@ -42,10 +43,10 @@ from contestlab.operators.rates import (
     team_score_averages,
     unordered_pair_rate,
 )
-from contestlab.plans.features import AVERAGES, RATES, attach_score_averages
+from contestlab.plans.features import AVERAGES, RATES, score_lookups
 from contestlab.plans.models import alphabetical_indexer, encode_unseen, indexed_name
 from contestlab.sources.jobs import at_once
-from contestlab.sources.scratch import checkpointed, spread, written
+from contestlab.sources.scratch import spread, written
 
 NUMBERS = AVERAGES + RATES
 
@@ -74,7 +75,7 @@ def request_rows(
 
 def request_rates(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str, MeasuredTable]:
     """Pair, overall and city rates, from one scan of the contests."""
-    cells = checkpointed(outcome_cells(history, [c.city], c))
+    cells = written(outcome_cells(history, [c.city], c), "cells")
     return measured_at_once(
         {
             "pair": unordered_pair_rate(cells, c),
@@ -100,15 +101,18 @@ def matchup_features(
         {"rates": partial(request_rates, matches, c), "averages": partial(measured, averages)},
     )
     rates = made["rates"]
-    out = attach_score_averages(requests, made["averages"], c, broadcast_bytes)
     lookups = [
         ("pair", {"team": c.side_a, "opponent": c.side_b}, "h2h_win_rate"),
         ("overall", {"team": c.side_a}, "team1_season_win_rate"),
         ("overall", {"team": c.side_b}, "team2_season_win_rate"),
         ("city", {c.city: c.city, "team": c.side_a}, "team1_venue_win_rate"),
     ]
-    for table, on, name in lookups:
-        out = attach(out, rates[table], on, {"rate": name}, broadcast_bytes)
+    out = attach(
+        requests,
+        *score_lookups(made["averages"], c),
+        *[Lookup(rates[table], on, {"rate": name}) for table, on, name in lookups],
+        broadcast_bytes=broadcast_bytes,
+    )
     return out.withColumns({r: F.coalesce(r, F.lit(NO_HISTORY_RATE)) for r in RATES})
 
 

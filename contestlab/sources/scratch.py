@@ -47,9 +47,3 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of a small table."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from contestlab.operators.attach import attach, heavy_keys, measured
+from contestlab.operators.attach import Lookup, attach, heavy_keys, measured
 from tests.helpers import bag, physical
 
 
@@ -23,13 +23,17 @@ def lookup(spark):
     return spark.createDataFrame(rows, "team string, grp string, x double, y string")
 
 
-ON = {"team": "k", "grp": "g"}
-VALUES = {"x": "new_x", "y": "new_y"}
+def by_team(table):
+    return Lookup(table, {"team": "k", "grp": "g"}, {"x": "new_x", "y": "new_y"})
+
+
+def by_key(table):
+    return Lookup(table, {"k": "k"}, {"x": "x"})
 
 
 def test_shuffle_equals_broadcast(skewed, lookup):
-    small = attach(skewed, lookup, ON, VALUES)
-    large = attach(skewed, lookup, ON, VALUES, broadcast_bytes=0)
+    small = attach(skewed, by_team(lookup))
+    large = attach(skewed, by_team(lookup), broadcast_bytes=0)
     assert small.columns == large.columns == ["id", "k", "g", "new_x", "new_y"]
     assert small.count() == 6000
     assert bag(small) == bag(large)
@@ -47,18 +51,20 @@ def no_merging(spark):
 
 
 def test_only_a_measured_table_is_broadcast(skewed, lookup):
-    assert "SortMergeJoin" not in physical(attach(skewed, lookup, ON, VALUES))
-    large = physical(attach(skewed, lookup, ON, VALUES, broadcast_bytes=0))
+    assert "SortMergeJoin" not in physical(attach(skewed, by_team(lookup)))
+    large = physical(attach(skewed, by_team(lookup), broadcast_bytes=0))
     assert "SortMergeJoin" in large
 
 
 def test_heavy_keys_are_few(skewed):
-    hot = heavy_keys(skewed, ["k"], 8)
+    hot = heavy_keys(skewed, ["k"])
     assert [r.k for r in hot.collect()] == ["hot"]
 
 
 def test_heavy_key_is_spread_over_tasks(no_merging, skewed, lookup):
-    large = attach(skewed.drop("g"), lookup.where("grp = '0'"), {"team": "k"}, {"x": "x"}, 0)
+    large = attach(
+        skewed, Lookup(lookup.where("grp = '0'"), {"team": "k"}, {"x": "x"}), broadcast_bytes=0
+    )
     sizes = (
         large.groupBy(F.spark_partition_id().alias("p"))
         .agg(F.count_if(F.col("k") == "hot").alias("n"))
@@ -70,7 +76,7 @@ def test_heavy_key_is_spread_over_tasks(no_merging, skewed, lookup):
 def test_copies_of_one_row_are_spread(no_merging, spark):
     left = spark.range(0, 4000, 1, 16).select(F.lit("hot").alias("k"))
     table = spark.createDataFrame([("hot", 1.0)], "k string, x double")
-    out = attach(left, table, {"k": "k"}, {"x": "x"}, broadcast_bytes=0)
+    out = attach(left, by_key(table), broadcast_bytes=0)
     assert out.where("x = 1.0").count() == 4000
     sizes = out.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 4000 / 2
@@ -84,7 +90,7 @@ def test_measure_and_reuse(lookup):
 
 def test_existing_columns_are_replaced(spark, skewed, lookup):
     old = skewed.withColumn("new_x", F.lit(-1.0))
-    out = attach(old, lookup, ON, VALUES)
+    out = attach(old, by_team(lookup))
     assert out.columns == ["id", "k", "g", "new_x", "new_y"]
     assert out.where("new_x = -1.0").count() == 0
 
@@ -92,5 +98,13 @@ def test_existing_columns_are_replaced(spark, skewed, lookup):
 def test_empty_table(spark, skewed):
     empty = spark.createDataFrame([], "k string, x double")
     for limit in (0, 1 << 20):
-        out = attach(skewed, empty, {"k": "k"}, {"x": "x"}, broadcast_bytes=limit)
+        out = attach(skewed, by_key(empty), broadcast_bytes=limit)
         assert out.count() == 6000 and out.where("x IS NOT NULL").count() == 0
+
+
+def test_several_tables_by_shuffle(skewed, lookup):
+    second = Lookup(lookup.where("grp = '1'"), {"team": "k"}, {"y": "other"})
+    small = attach(skewed, by_team(lookup), second)
+    large = attach(skewed, by_team(lookup), second, broadcast_bytes=0)
+    assert small.columns == large.columns == ["id", "k", "g", "new_x", "new_y", "other"]
+    assert bag(small) == bag(large)
