@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from contestlab.columns import CONTEST
 from contestlab.operators.names import normalize_names
@@ -29,22 +30,15 @@ NAMES = {
 }
 
 
-# Columns read from the given tables; declared, so no job infers them.
-SCHEMAS = {
-    "customer": "c_custkey bigint, c_name string, c_nationkey int",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-    "l_quantity double, l_returnflag string, l_linestatus string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
-    "o_orderdate timestamp_ntz, o_orderpriority string",
-    "part": "p_partkey bigint, p_brand string, p_type string",
-    "region": "r_regionkey int, r_name string",
-    "supplier": "s_suppkey bigint, s_name string",
-}
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. Its schema is read from the files once per process."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _nations(spark: SparkSession, sf_dir: str, key: str, name: str) -> DataFrame:
