@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from contestlab.columns import CONTEST
 from contestlab.operators.names import normalize_names
+from contestlab.operators.rates import team_score_averages
 from contestlab.plans.recommend import request_rows
 from contestlab.sources.scratch import written
 from contestlab.sources.tables import conform
@@ -207,17 +208,17 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class History:
-    """Contests and scores for queries that read them several times: the
-    contests are joined together and written once."""
+    """Contests and score averages for queries that read the contests several
+    times: these are joined together and written once."""
 
     matches: DataFrame
-    performance: DataFrame
+    averages: DataFrame
 
 
 def history(spark: SparkSession, sf_dir: str) -> History:
     contests = written(raw_matches(spark, sf_dir), "contests")
-    scores = raw_performance(spark, sf_dir, contests)
-    return History(current_names(contests), conform(scores, "team_performance"))
+    perf = conform(raw_performance(spark, sf_dir, contests), "team_performance")
+    return History(current_names(contests), team_score_averages(perf, NAMES))
 
 
 def homes(spark: SparkSession, sf_dir: str) -> DataFrame:

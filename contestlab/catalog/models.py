@@ -7,21 +7,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contestlab.catalog import fixtures as fx
-from contestlab.catalog.rates import request_features, smart_table
+from contestlab.catalog.rates import smart_table
 from contestlab.catalog.registry import registered
 from contestlab.catalog.twins import train_bucket, twin
 from contestlab.functions.outcome import label_side_a
 from contestlab.functions.split import in_training, split_bucket
 from contestlab.operators import metrics
+from contestlab.operators.attach import measured
 from contestlab.operators.place import current_homes, with_neutral_flag
 from contestlab.plans import models, recommend
-from contestlab.plans.features import AVERAGES, RATES, categorical, with_outcomes
+from contestlab.plans.features import (
+    AVERAGES,
+    RATES,
+    categorical,
+    smart_features,
+    with_outcomes,
+)
 from contestlab.sources.scratch import scratch_path
 
 
 
 def _split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.split_table(smart_table(fx.history(spark, sf_dir)))
+    return models.split_table(smart_table(spark, sf_dir))
 
 
 TRAIN = f"{train_bucket('match_id')} < 80"
@@ -220,7 +227,7 @@ _abc_smart, _abc_smart_joins, _abc_smart_outputs = _index_parts(
 )
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inputs of the request model, centred and scaled as on its training rows."""
-    _, vectors, _ = recommend.request_vectors(smart_table(fx.history(spark, sf_dir)))
+    _, vectors, _ = recommend.request_vectors(smart_table(spark, sf_dir))
     train = vectors.where("is_train")
     scaled = recommend.scaling(train, train.count()).transform(vectors)
     slots = scaled.withColumn("v", vector_to_array("features"))
@@ -356,7 +363,7 @@ def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.compare_models(smart_table(fx.history(spark, sf_dir)))
+    return models.compare_models(smart_table(spark, sf_dir))
 
 
 @registered()
@@ -388,7 +395,7 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out accuracy of the request model."""
-    model = recommend.fit_request_model(smart_table(fx.history(spark, sf_dir)))
+    model = recommend.fit_request_model(smart_table(spark, sf_dir))
     held_out = model.scorer.transform(model.vectors.where("NOT is_train"))
     rates = metrics.classification_rates(metrics.confusion(held_out))
     return rates.select("tp", "tn", "fp", "fn", "accuracy")
@@ -396,6 +403,8 @@ def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    past = fx.history(spark, sf_dir)
-    model = recommend.fit_request_model(smart_table(past))
-    return recommend.score_requests(request_features(spark, sf_dir, past), model)
+    past, asked = fx.history(spark, sf_dir), fx.requests(spark, sf_dir)
+    averages = measured(past.averages)  # read by both feature tables
+    model = recommend.fit_request_model(smart_features(past.matches, averages))
+    features = recommend.matchup_features(asked, past.matches, averages)
+    return recommend.score_requests(features, model)

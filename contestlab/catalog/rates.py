@@ -154,18 +154,19 @@ def _feature_columns(df: DataFrame, numbers: list[str]) -> DataFrame:
 @registered(twin(f"SELECT {_CATEGORIES}, {_ROUNDED_AVERAGES} FROM base", "base"))
 def base_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     past = fx.history(spark, sf_dir)
-    rows = plans.base_features(past.matches, past.performance, fx.NAMES)
+    rows = plans.base_features(past.matches, past.averages)
     return _feature_columns(rows, plans.AVERAGES)
 
 
-def smart_table(past: fx.History, mode: str = "full") -> DataFrame:
+def smart_table(spark: SparkSession, sf_dir: str, mode: str = "full") -> DataFrame:
     """The smart feature table with all columns of the contests."""
-    return plans.smart_features(past.matches, past.performance, fx.NAMES, mode=mode)
+    past = fx.history(spark, sf_dir)
+    return plans.smart_features(past.matches, past.averages, mode=mode)
 
 
 @registered(twin(f"SELECT {_CATEGORIES}, {_ROUNDED_AVERAGES}, {_RATES} FROM smart", "smart"))
 def smart_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _feature_columns(smart_table(fx.history(spark, sf_dir)), plans.AVERAGES + plans.RATES)
+    return _feature_columns(smart_table(spark, sf_dir), plans.AVERAGES + plans.RATES)
 
 
 def _rate_of(won: str, played: str) -> str:
@@ -204,7 +205,7 @@ def _rate_of(won: str, played: str) -> str:
     )
 )
 def smart_features_train_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = smart_table(fx.history(spark, sf_dir), "train_only")
+    rows = smart_table(spark, sf_dir, "train_only")
     return _feature_columns(rows, plans.AVERAGES + plans.RATES)
 
 
@@ -213,11 +214,6 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.requests(spark, sf_dir)
 
 
-def request_features(spark: SparkSession, sf_dir: str, past: fx.History) -> DataFrame:
-    requests = fx.requests(spark, sf_dir)
-    return recommend.matchup_features(requests, past.matches, past.performance, fx.NAMES)
-
-
 @registered(
     twin(
         """SELECT r.request_id, r.city, r.venue, r.team1, r.team2, r.neutral,
@@ -257,5 +253,6 @@ def request_features(spark: SparkSession, sf_dir: str, past: fx.History) -> Data
     )
 )
 def matchup_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = request_features(spark, sf_dir, fx.history(spark, sf_dir))
+    past, asked = fx.history(spark, sf_dir), fx.requests(spark, sf_dir)
+    rows = recommend.matchup_features(asked, past.matches, past.averages)
     return _six_digits(rows, *plans.AVERAGES, *plans.RATES)

@@ -6,7 +6,6 @@ carries every row through the joins. All rates come from the cells.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -24,12 +23,7 @@ from contestlab.operators.attach import (
     measured,
     measured_at_once,
 )
-from contestlab.operators.rates import (
-    entity_rate,
-    outcome_cells,
-    pair_rate,
-    team_score_averages,
-)
+from contestlab.operators.rates import entity_rate, outcome_cells, pair_rate
 from contestlab.sources.jobs import at_once
 from contestlab.sources.scratch import written
 
@@ -94,15 +88,12 @@ def venue_lookup(
 
 def base_features(
     matches: DataFrame,
-    perf: DataFrame,
-    names: Mapping[str, str] | DataFrame | None = None,
-    normalize_pairs: str = "after_split",
+    averages: Table,
     c: ContestColumns = CONTEST,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The contests with outcomes and score averages. ``names`` maps the names
-    in ``perf``; those of ``matches`` are expected to be normalised."""
-    averages = team_score_averages(perf, names, normalize_pairs)
+    """The contests with outcomes and the sides' score averages, which come
+    from ``team_score_averages``. All names are expected to be normalised."""
     lookups = score_lookups(averages, c)
     return attach(with_outcomes(matches, c), *lookups, broadcast_bytes=broadcast_bytes)
 
@@ -121,9 +112,7 @@ def rate_tables(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str, Me
 
 def smart_features(
     matches: DataFrame,
-    perf: DataFrame,
-    names: Mapping[str, str] | DataFrame | None = None,
-    normalize_pairs: str = "after_split",
+    averages: Table,
     mode: str = "full",
     percent: int = MODEL_TRAIN_PERCENT,
     seed: int = SPLIT_SEED,
@@ -141,7 +130,6 @@ def smart_features(
     history = matches
     if mode == "train_only":
         history = matches.where(in_training(c.key, percent=percent, seed=seed))
-    averages = team_score_averages(perf, names, normalize_pairs)
     made = at_once(
         matches.sparkSession,
         {"rates": partial(rate_tables, history, c), "averages": partial(measured, averages)},

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import partial
 
@@ -40,10 +39,9 @@ from contestlab.operators.rates import (
     outcome_cells,
     overall_rate,
     place_rate,
-    team_score_averages,
     unordered_pair_rate,
 )
-from contestlab.plans.features import AVERAGES, RATES, score_lookups
+from contestlab.plans.features import AVERAGES, RATES, Table, score_lookups
 from contestlab.plans.models import alphabetical_indexer, encode_unseen, indexed_name
 from contestlab.sources.jobs import at_once
 from contestlab.sources.scratch import spread, written
@@ -88,14 +86,12 @@ def request_rates(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str,
 def matchup_features(
     requests: DataFrame,
     matches: DataFrame,
-    perf: DataFrame,
-    names: Mapping[str, str] | DataFrame | None = None,
+    averages: Table,
     c: ContestColumns = CONTEST,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rates as known when a request is made: the pair in either order, both
     sides over all seasons, and the city. No history gives the neutral rate."""
-    averages = team_score_averages(perf, names)
     made = at_once(
         matches.sparkSession,
         {"rates": partial(request_rates, matches, c), "averages": partial(measured, averages)},

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contestlab.functions.split import in_training
+from contestlab.operators.rates import team_score_averages
 from contestlab.plans.features import AVERAGES, RATES, base_features, categorical, smart_features
 from contestlab.plans.recommend import matchup_features
 from tests.helpers import bag, physical
@@ -32,43 +33,43 @@ def tables(spark, matches):
         [(f"{a} vs {b}", float(rng.randrange(90, 200)), None) for a in "AB" for b in "CD"],
         "Team string, First_Innings_Score double, Second_Innings_Score double",
     )
-    return rows, matches(rows), perf
+    return rows, matches(rows), team_score_averages(perf)
 
 
 def test_row_count_and_names(tables):
-    rows, df, perf = tables
-    out = smart_features(df, perf)
+    rows, df, averages = tables
+    out = smart_features(df, averages)
     assert out.count() == len(rows)
     assert len(set(out.columns)) == len(out.columns)
     assert set(df.columns + categorical() + AVERAGES + RATES + ["label"]) <= set(out.columns)
     for r in RATES:
         assert out.where(~F.col(r).between(0, 1) | F.col(r).isNull()).count() == 0
-    assert base_features(df, perf).where("team1 = 'E' AND team1_avg_runs IS NULL").count() > 0
+    assert base_features(df, averages).where("team1 = 'E' AND team1_avg_runs IS NULL").count() > 0
 
 
 def test_shuffled_joins_give_the_same_table(tables):
-    _, df, perf = tables
-    columns = smart_features(df, perf).columns
-    large = smart_features(df, perf, broadcast_bytes=0).select(columns)
-    assert bag(large) == bag(smart_features(df, perf))
+    _, df, averages = tables
+    columns = smart_features(df, averages).columns
+    large = smart_features(df, averages, broadcast_bytes=0).select(columns)
+    assert bag(large) == bag(smart_features(df, averages))
     assert physical(large).count("SortMergeJoin") >= 6
 
 
 def test_training_rates_ignore_the_test_split(tables):
-    _, df, perf = tables
+    _, df, averages = tables
     test = ~in_training("match_id")
     flipped = df.withColumn("winner", F.when(test, F.col("team1")).otherwise(F.col("winner")))
-    one = smart_features(df, perf, mode="train_only").select("match_id", *RATES)
-    two = smart_features(flipped, perf, mode="train_only").select("match_id", *RATES)
+    one = smart_features(df, averages, mode="train_only").select("match_id", *RATES)
+    two = smart_features(flipped, averages, mode="train_only").select("match_id", *RATES)
     assert bag(one) == bag(two)
-    full = smart_features(flipped, perf).select("match_id", *RATES)
-    assert bag(full) != bag(smart_features(df, perf).select("match_id", *RATES))
+    full = smart_features(flipped, averages).select("match_id", *RATES)
+    assert bag(full) != bag(smart_features(df, averages).select("match_id", *RATES))
     with pytest.raises(ValueError):
-        smart_features(df, perf, mode="test_only")
+        smart_features(df, averages, mode="test_only")
 
 
 def test_no_history_gives_the_neutral_rate(spark, matches, tables):
-    _, _, perf = tables
+    _, _, averages = tables
     history = matches(
         [
             dict(team1="A", team2="B", winner="A", city="c1"),
@@ -85,7 +86,7 @@ def test_no_history_gives_the_neutral_rate(spark, matches, tables):
         ],
         "request_id bigint, team1 string, team2 string, city string",
     )
-    out = matchup_features(requests, history, perf).orderBy("request_id").collect()
+    out = matchup_features(requests, history, averages).orderBy("request_id").collect()
     assert [tuple(round(r[n], 3) for n in RATES) for r in out] == [
         (1.0, 1.0, 0.0, 1.0),
         (0.5, 1.0, 0.0, 0.5),
