@@ -273,18 +273,22 @@ def compare_models(
 ) -> DataFrame:
     """(feature_set, model, metric, value) for every model and feature set."""
     split = split_table(features, c=c)
+    prepared = {name: prepare(split, name, missing, c) for name in feature_sets}
+    fits = {
+        (feature_set, name): partial(estimator.fit, p.train)
+        for feature_set, p in prepared.items()
+        for name, estimator in classifiers(p, trees, boosting_rounds).items()
+    }
+    fitted = at_once(features.sparkSession, fits, parallelism)
 
     def metrics(feature_set: str) -> DataFrame:
-        prepared = prepare(split, feature_set, missing, c)
-        models = fit_models(prepared, classifiers(prepared, trees, boosting_rounds), parallelism)
-        scored = score_models(prepared.test, models, [c.key, "label"])
+        models = {name: m for (fs, name), m in fitted.items() if fs == feature_set}
+        scored = score_models(prepared[feature_set].test, models, [c.key, "label"])
         scored = written(scored, "scored", by="model")
         table = model_metrics(scored, list(models), parallelism=parallelism)
         return table.select(F.lit(feature_set).alias("feature_set"), "*")
 
-    work = {name: partial(metrics, name) for name in feature_sets}
-    tables = at_once(features.sparkSession, work, parallelism)
-    return reduce(DataFrame.unionByName, tables.values())
+    return reduce(DataFrame.unionByName, [metrics(name) for name in feature_sets])
 
 
 def documented_table(matches: DataFrame, neutral: str, c: ContestColumns = CONTEST) -> DataFrame:
@@ -307,7 +311,7 @@ def fit_documented_model(
     """A perceptron over one-hot city and sides and two flags; returns the
     pipeline and the table it was fitted on."""
     table = written(documented_table(matches, neutral, c), "documented")
-    train = table.where("is_train")
+    train = spread(table.where("is_train"), c.key)
     columns = [c.city, c.side_a, c.side_b]
     encoding = one_hot(columns).fit(train)
     assembler = VectorAssembler(
