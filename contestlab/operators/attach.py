@@ -93,6 +93,7 @@ def attach(
     for lookup in lookups:
         right = measured(lookup.table)
         keys = list(lookup.on.values())
+        _check_types(left, right.df, lookup.on)
         rows = right.df.select(
             *[F.col(r).alias(l) for r, l in lookup.on.items()],
             *[F.col(r).alias(n) for r, n in lookup.values.items()],
@@ -107,6 +108,13 @@ def attach(
     return out
 
 
+def _check_types(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> None:
+    """Equal values meet by hash, so their types must be equal too."""
+    for r, l in on.items():
+        if left.schema[l].dataType != right.schema[r].dataType:
+            raise TypeError(f"key {l} is {left.schema[l].dataType}, not as {r} of the table")
+
+
 def _attach_by_shuffle(
     left: DataFrame, rows: DataFrame, keys: list[str], hot: DataFrame
 ) -> DataFrame:

@@ -108,3 +108,9 @@ def test_several_tables_by_shuffle(skewed, lookup):
     large = attach(skewed, by_team(lookup), second, broadcast_bytes=0)
     assert small.columns == large.columns == ["id", "k", "g", "new_x", "new_y", "other"]
     assert bag(small) == bag(large)
+
+
+def test_key_types_must_agree(spark, skewed):
+    table = spark.createDataFrame([(1, 1.0)], "k int, x double")
+    with pytest.raises(TypeError, match="key k"):
+        attach(skewed, by_key(table))
