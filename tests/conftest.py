@@ -28,7 +28,8 @@ def matches(spark):
     """Build contests from (team1, team2, winner, ...) rows."""
 
     def build(rows, **constant):
-        names = ["team1", "team2", "winner", "season", "venue", "city", "toss_winner", "toss_decision"]
+        names = ["team1", "team2", "winner", "season", "venue", "city"]
+        names += ["toss_winner", "toss_decision"]
         full = []
         for i, row in enumerate(rows):
             record = dict(zip(names, [None] * len(names))) | constant | row | {"match_id": i}

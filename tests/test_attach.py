@@ -9,16 +9,18 @@ from tests.helpers import bag, physical
 def skewed(spark):
     """Rows of which a third have one key and a sixth have none."""
     hot, none = F.col("id") % 3 == 0, F.col("id") % 6 == 1
+    own = F.concat(F.lit("k"), F.col("id") % 500)
     return spark.range(0, 6000, 1, 8).select(
         "id",
-        F.when(hot, "hot").when(none, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        F.when(hot, "hot").when(none, F.lit(None)).otherwise(own).alias("k"),
         (F.col("id") % 2).cast("string").alias("g"),
     )
 
 
 @pytest.fixture
 def lookup(spark):
-    keys = [("hot", "0"), ("hot", "1"), (None, "0")] + [(f"k{i}", str(i % 2)) for i in range(0, 400)]
+    keys = [("hot", "0"), ("hot", "1"), (None, "0")]
+    keys += [(f"k{i}", str(i % 2)) for i in range(400)]
     rows = [(k, g, float(i), None if i % 7 == 0 else f"v{i}") for i, (k, g) in enumerate(keys)]
     return spark.createDataFrame(rows, "team string, grp string, x double, y string")
 

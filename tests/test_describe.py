@@ -35,7 +35,8 @@ def test_wins_are_in_order(matches):
 
 
 def test_sums_ignore_missing_runs(spark):
-    df = spark.createDataFrame([(1.1, 4), (2.1, None), (17.2, 6)], "ball_no double, runs_scored int")
+    rows = [(1.1, 4), (2.1, None), (17.2, 6)]
+    df = spark.createDataFrame(rows, "ball_no double, runs_scored int")
     assert keyed(describe.runs_by_phase(df), "phase") == {
         ("Powerplay",): (4,),
         ("Death Overs",): (6,),

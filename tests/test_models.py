@@ -44,8 +44,9 @@ def planted(spark, n=1500, missing=0):
         )
     return spark.createDataFrame(
         rows,
-        "match_id bigint, team1 string, team2 string, toss_winner string, toss_decision string, "
-        "bat_first_team string, season string, label int, winner string, city string, venue string, "
+        "match_id bigint, team1 string, team2 string, toss_winner string, "
+        "toss_decision string, bat_first_team string, season string, label int, "
+        "winner string, city string, venue string, "
         + ", ".join(f"{c} double" for c in AVERAGES + RATES),
     )
 
@@ -134,7 +135,8 @@ def test_unknown_options_are_errors():
 
 def test_unseen_values_are_minus_one(spark, features):
     indexer = models.alphabetical_indexer(["team1", "city"]).fit(features)
-    df = spark.createDataFrame([("A", "c1"), ("D", "nowhere"), (None, None)], "team1 string, city string")
+    rows = [("A", "c1"), ("D", "nowhere"), (None, None)]
+    df = spark.createDataFrame(rows, "team1 string, city string")
     out = models.encode_unseen(df, indexer)
     assert [(r.team1_index, r.city_index) for r in out.collect()] == [
         (0.0, float(sorted(CITIES).index("c1"))),

@@ -54,7 +54,8 @@ def test_pair_names_before_and_after_the_split(spark):
 
 
 def test_last_of_equal_columns_stays(spark):
-    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, c int, d int").toDF("a", "b", "a", "c")
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, c int, d int")
+    df = df.toDF("a", "b", "a", "c")
     out = dedupe_columns(df)
     assert out.columns == ["b", "a", "c"] and tuple(out.first()) == (2, 3, 4)
 
