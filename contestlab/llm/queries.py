@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contestlab.llm import mixing, token_counts  # noqa: F401
+from contestlab.llm import mixing, quality, token_counts, toxicity  # noqa: F401
 from contestlab.llm.registry import QUERIES, TWINS
 
 __all__ = ["QUERIES", "TWINS"]

@@ -65,11 +65,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 @dataclass(frozen=True)
 class Words:
     """``hashes`` of all words, text by text; text i has those from
-    ``offsets[i]`` to ``offsets[i + 1]``. ``lengths`` are in bytes."""
+    ``offsets[i]`` to ``offsets[i + 1]``. ``lengths`` are in bytes. ``prefixes``
+    has hashes of the words' first bytes, 0 for words with no more than those."""
 
     hashes: np.ndarray
     offsets: np.ndarray
     lengths: np.ndarray
+    prefixes: tuple[np.ndarray, ...] = ()
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
@@ -89,20 +91,27 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of byte values, by one running sum."""
+def hash_spans(values: np.ndarray, starts: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
+    """A 64-bit hash of each span of byte values, by one running sum; one array
+    for each array of ends."""
     run = np.empty(len(values) + 1, np.uint64)
     run[0] = 0
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(values)), out=run[1:])
-    return mix((run[ends] - run[starts]) * powers(_INVERSE, len(values) + 1)[starts])
+    back, before = powers(_INVERSE, len(values) + 1)[starts], run[starts]
+    return [mix((run[e] - before) * back) for e in ends]
 
 
-def batch_words(column: pa.Array) -> Words:
+def batch_words(column: pa.Array, prefixes: tuple[int, ...] = ()) -> Words:
     data, offsets = text_bytes(column)
     values = LOWER[data]
     starts, ends = spans(values != 0, offsets)
-    hashes = hash_spans(values, starts, ends)
-    return Words(hashes, np.searchsorted(starts, offsets), ends - starts)
+    lengths = ends - starts
+    hashes = hash_spans(values, starts, ends, *[np.minimum(ends, starts + p) for p in prefixes])
+    heads = tuple(
+        np.where(lengths > p, mix(h + np.uint64(p)), np.uint64(0))
+        for p, h in zip(prefixes, hashes[1:])
+    )
+    return Words(hashes[0], np.searchsorted(starts, offsets), lengths, heads)
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
