@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from contestlab.llm import mixing, quality, token_counts, toxicity  # noqa: F401
+from contestlab.llm import (  # noqa: F401
+    chat,
+    mixing,
+    neighbours,
+    quality,
+    token_counts,
+    topk,
+    toxicity,
+)
 from contestlab.llm.registry import QUERIES, TWINS
 
 __all__ = ["QUERIES", "TWINS"]
