@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contestlab.llm import (  # noqa: F401
     chat,
+    licenses,
     mixing,
     neighbours,
     quality,
