@@ -6,6 +6,7 @@ from contestlab.llm import (  # noqa: F401
     chat,
     licenses,
     mixing,
+    near_dedup,
     neighbours,
     quality,
     token_counts,
