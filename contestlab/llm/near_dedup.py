@@ -70,6 +70,11 @@ class Setting:
     seed: int = SEED
 
 
+def text_key(words: np.ndarray) -> bytes:
+    """16 bytes that stand for the words of a text, in their order."""
+    return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
+
+
 def _runs(texts: pa.Array, width: int):
     """For each text: sorted distinct features and their counts; None without
     words. Also the keys of the texts' words."""
@@ -79,7 +84,7 @@ def _runs(texts: pa.Array, width: int):
     for i in range(len(texts)):
         own = words.hashes[words.offsets[i] : words.offsets[i + 1]]
         if len(own):
-            keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+            keys.append(text_key(own))
             features.append(np.unique(found[offsets[i] : offsets[i + 1]], return_counts=True))
         else:
             keys.append(None)
@@ -249,7 +254,7 @@ def candidate_texts(docs: DataFrame, live: DataFrame, text: str, setting: Settin
             for i in range(piece.num_rows):
                 own = found.hashes[found.offsets[i] : found.offsets[i + 1]]
                 if len(own):
-                    key = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+                    key = text_key(own)
                     bit = crc32(key) % (1 << FILTER_BITS)
                     if int(words[bit >> 6]) >> (bit & 63) & 1:
                         rows.append(i)
@@ -353,18 +358,19 @@ def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     return written(every.groupBy("key").agg(F.min("class").alias("class")), "classes")
 
 
-def near_duplicates(
-    docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(doc_id, key, class_id, n_links, n_copies): one row per row of ``docs``.
+@dataclass(frozen=True)
+class Classes:
+    """``rows``: (doc_id, key) of all rows; ``several``: (key, class_id, kept,
+    n_links, n_copies) of the texts with links or copies, where ``kept`` is the
+    key that the class keeps."""
 
-    ``key`` stands for the text's words, ``class_id`` is the smallest id of the
-    class, ``n_links`` the number of different texts found similar to this one,
-    ``n_copies`` the number of rows with exactly its words. Null and empty texts,
-    and texts without words, are each a class of their own, with null key. A
-    text of fewer than ``width`` words has one feature, all its words. A null id
-    is never the smallest unless a class has no other. Repeated rows are copies.
-    """
+    rows: DataFrame
+    several: DataFrame
+
+
+def text_classes(
+    docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text"
+) -> Classes:
     light = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     counts, n = document_frequencies(light, "text", setting)
     weights = inverse_frequencies(counts, n)
@@ -389,22 +395,38 @@ def near_duplicates(
         texts.select("key", "first_id", "n_copies")
         .join(classes, "key", "left")
         .join(ends.groupBy("key").agg(F.count("*").alias("n_links")), "key", "left")
+        .where("n_links > 0 OR n_copies > 1")
         .withColumn("class", F.coalesce("class", "key"))
     )
-    least = per_text.where("n_links > 0").groupBy("class").agg(F.min("first_id").alias("class_id"))
-    several = (
-        per_text.where("n_links > 0 OR n_copies > 1")
-        .join(least, "class", "left")
-        .select("key", F.coalesce("class_id", "first_id").alias("class_id"), "n_links", "n_copies")
-    )
-    out = attach(
-        signed.select("doc_id", F.hex("key").alias("key")),
-        Lookup(
-            several.withColumn("key", F.hex("key")),
-            {"key": "key"},
-            {c: c for c in ("class_id", "n_links", "n_copies")},
-        ),
+    # A null id is after all others.
+    order = F.struct(F.col("first_id").isNull(), "first_id", "key")
+    least = per_text.groupBy("class").agg(F.min(order).alias("least"))
+    several = per_text.join(least, "class").select(
+        F.hex("key").alias("key"),
+        F.col("least.first_id").alias("class_id"),
+        F.hex("least.key").alias("kept"),
+        "n_links",
+        "n_copies",
     )
+    return Classes(signed.select("doc_id", F.hex("key").alias("key")), several)
+
+
+def near_duplicates(
+    docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, key, class_id, n_links, n_copies): one row per row of ``docs``.
+
+    ``key`` stands for the text's words, ``class_id`` is the smallest id of the
+    class, ``n_links`` the number of different texts found similar to this one,
+    ``n_copies`` the number of rows with exactly its words. Null and empty texts,
+    and texts without words, are each a class of their own, with null key. A
+    text of fewer than ``width`` words has one feature, all its words. A null id
+    is never the smallest unless a class has no other. Repeated rows are copies.
+    No rows give no rows. Other columns are ignored.
+    """
+    found = text_classes(docs, setting, doc_id, text)
+    values = ("class_id", "n_links", "n_copies")
+    out = attach(found.rows, Lookup(found.several, {"key": "key"}, {c: c for c in values}))
     return out.select(
         "doc_id",
         "key",
@@ -414,6 +436,34 @@ def near_duplicates(
     )
 
 
+def keepers(
+    docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of ``docs`` per class, with all its columns: the row with the
+    smallest id, of rows that repeat id and words the one with the first text
+    by code point, of rows that are equal in both any. Rows without words stay.
+    """
+    found = text_classes(docs, setting, doc_id, text)
+    key, kept, least = fresh(docs.columns, "_key", "_kept", "_least")
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, text):
+            words = batch_words(piece.column(text))
+            parts = (words.hashes[a:b] for a, b in zip(words.offsets[:-1], words.offsets[1:]))
+            keys = [text_key(own).hex().upper() if len(own) else None for own in parts]
+            yield extended(piece, **{key: pa.array(keys, pa.string())})
+
+    rows = docs.mapInArrow(keyed, with_fields(docs, f"`{key}` string"))
+    out = attach(rows, Lookup(found.several, {"key": key}, {"kept": kept, "class_id": least}))
+    mine = (quoted(kept) == quoted(key)) & quoted(doc_id).eqNullSafe(quoted(least))
+    alone = quoted(kept).isNull()
+    # What is left of a class with copies is one row, or rows that repeat an id.
+    copies = out.where(mine).groupBy(key).agg(
+        F.min_by(F.struct(*map(quoted, docs.columns)), quoted(text)).alias("row")
+    )
+    return out.where(alone).select(*map(quoted, docs.columns)).unionByName(copies.select("row.*"))
+
+
 @registered("op1_near_dedup")
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read(spark, sf_dir, "documents"))

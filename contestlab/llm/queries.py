@@ -9,6 +9,7 @@ from contestlab.llm import (  # noqa: F401
     near_dedup,
     neighbours,
     quality,
+    segmentation,
     token_counts,
     topk,
     toxicity,
