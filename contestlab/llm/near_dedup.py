@@ -11,11 +11,11 @@ band are compared exactly, and those as similar as the threshold are linked.
 Exact copies (the same words in the same order) are one text from the start.
 In a bucket of a band, texts are compared with its leaders only, not with each
 other: leaders are the texts that share most with others (the hub that copies
-were made from), their number doubles every round, and rounds go on until no
-bucket has texts of different classes left that were not compared. So all
+were made from), their number grows fourfold every round, and rounds go on until
+no bucket has texts of different classes left that were not compared. So all
 candidates between classes are compared in the end, in as many rounds as the
-size of the largest bucket has binary digits, and a bucket of copies of one
-text takes one comparison each.
+size of the largest bucket has digits to base four, and a bucket of copies of
+one text takes a few comparisons each.
 """
 
 from __future__ import annotations
@@ -54,6 +54,7 @@ DRAW_BUCKETS = 1 << 16
 SEED = 1
 SALTS = 16
 PAIR_SALTS = 64
+LEADERS = 4
 FILTER_BITS = 24
 _CHUNK = 1024  # features whose draws are held at once
 
@@ -309,7 +310,7 @@ def links_and_classes(
     classes = spark.createDataFrame([], "key binary, class binary")
     links = spark.createDataFrame([], "a binary, c binary")
     tested = links
-    leaders_now = 1
+    leaders_now = LEADERS
     while True:
         labelled = live.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
         # Buckets whose texts are all of one class have nothing left to compare.
@@ -340,7 +341,7 @@ def links_and_classes(
         live = labelled.drop("class").join(
             leaders.select("bucket", F.col("a").alias("key")), ["bucket", "key"], "left_anti"
         )
-        leaders_now *= 2
+        leaders_now *= LEADERS
 
 
 def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
