@@ -9,13 +9,12 @@ being their weighted Jaccard similarity. Draws are banded; texts that share a
 band are compared exactly, and those as similar as the threshold are linked.
 
 Exact copies (the same words in the same order) are one text from the start.
-In a bucket of a band, texts are compared with its leaders only, not with each
-other: leaders are the texts that share most with others (the hub that copies
-were made from), their number grows fourfold every round, and rounds go on until
-no bucket has texts of different classes left that were not compared. So all
-candidates between classes are compared in the end, in as many rounds as the
-size of the largest bucket has digits to base four, and a bucket of copies of
-one text takes a few comparisons each.
+In a bucket of a band, texts are compared with its leaders only: the few that
+share most with others, such as the text that copies were made from. That links
+most of a group with one comparison each. Buckets that still hold several
+classes are finished by a prefix filter over all their texts, which is exact:
+it finds every pair of different classes that can reach the threshold, and
+copies of one text do not all meet in it, as its order puts rare features first.
 """
 
 from __future__ import annotations
@@ -49,12 +48,13 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS = 16
 ROWS = 4
-WEIGHT_BUCKETS = 1 << 16
+WEIGHT_BUCKETS = 1 << 12
 DRAW_BUCKETS = 1 << 16
 SEED = 1
 SALTS = 16
 PAIR_SALTS = 64
 LEADERS = 4
+ORDER_BUCKETS = 1 << 18
 FILTER_BITS = 24
 _CHUNK = 1024  # features whose draws are held at once
 
@@ -302,46 +302,114 @@ def verified(
     return both.mapInArrow(verify, "a binary, c binary")
 
 
+def open_members(live: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of buckets whose texts are not all of one class, with classes."""
+    labelled = live.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
+    ends = labelled.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    open_ = ends.where("low <> high").select("bucket")
+    return salted_join(labelled, open_, ["bucket"], SALTS)
+
+
+def pairs_with_leaders(live: DataFrame) -> DataFrame:
+    """(a, c): every text with the leaders of its buckets, the texts that share
+    most with others."""
+    slot = F.pmod(F.xxhash64("key"), F.lit(LEADERS))
+    leader = F.max(F.struct("mass", "key")).alias("leader")
+    leaders = live.groupBy("bucket", slot.alias("slot")).agg(leader)
+    leaders = leaders.select("bucket", F.col("leader.key").alias("a"))
+    met = salted_join(live.select("bucket", F.col("key").alias("c")), leaders, ["bucket"], SALTS)
+    pairs = met.where("a <> c").select("a", "c").distinct()
+    # Of two leaders that meet, the one with the smaller key asks.
+    back = pairs.select(F.col("c").alias("a"), F.col("a").alias("c"), F.lit(True).alias("back"))
+    return pairs.join(back, ["a", "c"], "left").where("back IS NULL OR a < c").select("a", "c")
+
+
+def order_counts(texts: DataFrame, setting: Setting) -> np.ndarray:
+    """How often features occur in these texts, by a hash into a fixed number of
+    buckets: the order of the prefix filter."""
+    width = setting.width
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(ORDER_BUCKETS, np.int64)
+        for piece in slices(batches, "text"):
+            found, _ = shingles(batch_words(piece.column("text")), width)
+            at = (found % np.uint64(ORDER_BUCKETS)).astype(np.int64)
+            totals += np.bincount(at, minlength=ORDER_BUCKETS)
+        some = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array(totals[some])], names=["bucket", "n"]
+        )
+
+    counts = texts.select("text").mapInArrow(count, "bucket int, n bigint")
+    table = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(ORDER_BUCKETS, np.int64)
+    out[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    return out
+
+
+def pairs_by_prefix(
+    texts: DataFrame, weights: np.ndarray, setting: Setting
+) -> DataFrame:
+    """(a, c): all pairs of different classes in ``texts`` (key, class, text)
+    that can reach the threshold.
+
+    With all features in one order, rarest first, two similar texts share a
+    feature before the point where what is left of either weighs less than the
+    threshold's part of it. Copies of one text share their common features late.
+    """
+    tables = texts.sparkSession.sparkContext.broadcast((weights, order_counts(texts, setting)))
+
+    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, counts = tables.value
+        for piece in slices(batches, "text"):
+            place, features = [], []
+            for i, own in enumerate(_runs(piece.column("text"), setting.width)[1]):
+                found, times = own
+                rank = np.lexsort((found, counts[(found % np.uint64(ORDER_BUCKETS)).astype(np.int64)]))
+                weight = (times * w[_buckets(found)])[rank]
+                left = weight.sum() - np.cumsum(weight)
+                # The feature after which too little is left is the last of the prefix.
+                last = int(np.argmax(left < (setting.threshold - 1e-6) * weight.sum()))
+                place.append(np.full(last + 1, i))
+                features.append(found[rank[: last + 1]].astype(np.int64))
+            if place:
+                at = pa.array(np.concatenate(place))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(features)),
+                        piece.column("key").take(at),
+                        piece.column("class").take(at),
+                    ],
+                    names=["feature", "a", "a_class"],
+                )
+
+    left = texts.mapInArrow(prefixes, "feature bigint, a binary, a_class binary")
+    left = written(left, "prefixes")
+    # A feature whose texts are all of one class pairs none.
+    ends = left.groupBy("feature").agg(F.min("a_class").alias("low"), F.max("a_class").alias("high"))
+    several = ends.where("low <> high").select("feature")
+    left = salted_join(left, several, ["feature"], SALTS)
+    right = left.select("feature", F.col("a").alias("c"), F.col("a_class").alias("c_class"))
+    met = left.join(right, (left.feature == right.feature) & F.expr("a < c AND a_class <> c_class"))
+    return met.select("a", "c").distinct()
+
+
 def links_and_classes(
     live: DataFrame, texts: DataFrame, weights: np.ndarray, setting: Setting
 ) -> tuple[DataFrame, DataFrame]:
     """(a, c) links, and (key, class) of the linked texts."""
-    spark = live.sparkSession
-    classes = spark.createDataFrame([], "key binary, class binary")
-    links = spark.createDataFrame([], "a binary, c binary")
-    tested = links
-    leaders_now = LEADERS
-    while True:
-        labelled = live.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
-        # Buckets whose texts are all of one class have nothing left to compare.
-        ends = labelled.groupBy("bucket").agg(
-            F.min("class").alias("low"), F.max("class").alias("high")
-        )
-        open_ = ends.where("low <> high").select("bucket")
-        labelled = written(salted_join(labelled, open_, ["bucket"], SALTS), "open")
-        if labelled.isEmpty():
-            return links, classes
-        slot = F.pmod(F.xxhash64("key", F.lit(leaders_now)), F.lit(leaders_now))
-        leader = F.max(F.struct("mass", "key", "class")).alias("leader")
-        leaders = labelled.groupBy("bucket", slot.alias("slot")).agg(leader).select(
-            "bucket", F.col("leader.key").alias("a"), F.col("leader.class").alias("a_class")
-        )
-        leaders = written(leaders, "leaders")
-        met = salted_join(labelled, leaders, ["bucket"], SALTS).where("class <> a_class")
-        pairs = met.select("a", F.col("key").alias("c")).distinct()
-        # Of two leaders that meet, one asks.
-        back = pairs.select(F.col("c").alias("a"), F.col("a").alias("c"), F.lit(True).alias("back"))
-        pairs = pairs.join(back, ["a", "c"], "left").where("back IS NULL OR a < c").drop("back")
-        done = tested.unionByName(tested.select(F.col("c").alias("a"), F.col("a").alias("c")))
-        pairs = written(pairs.join(done, ["a", "c"], "left_anti"), "pairs")
-        new = written(verified(pairs, texts, weights, setting), "links")
-        links, tested = links.unionByName(new), tested.unionByName(pairs)
-        if not new.isEmpty():
-            classes = merged(classes, new)
-        live = labelled.drop("class").join(
-            leaders.select("bucket", F.col("a").alias("key")), ["bucket", "key"], "left_anti"
-        )
-        leaders_now *= LEADERS
+    none = live.sparkSession.createDataFrame([], "key binary, class binary")
+    pairs = written(pairs_with_leaders(live), "pairs")
+    links = written(verified(pairs, texts, weights, setting), "links")
+    classes = merged(none, links)
+    rest = open_members(live, classes).select("key", "class").distinct()
+    rest = written(rest.join(texts, "key"), "rest")
+    # Pairs with a leader have been compared already.
+    more = pairs_by_prefix(rest, weights, setting)
+    both_ways = pairs.unionByName(pairs.select(F.col("c").alias("a"), F.col("a").alias("c")))
+    more = written(more.join(both_ways, ["a", "c"], "left_anti"), "pairs")
+    new = written(verified(more, texts, weights, setting), "links")
+    return links.unionByName(new), classes if new.isEmpty() else merged(classes, new)
 
 
 def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
