@@ -355,14 +355,16 @@ def pairs_by_prefix(
 
     With all features in one order, rarest first, two similar texts share a
     feature before the point where what is left of either weighs less than the
-    threshold's part of it. Copies of one text share their common features late.
+    threshold's part of it. From the first shared feature on, both have to hold
+    what the threshold asks of their overlap; copies of one text, which share
+    their common features late, mostly do not.
     """
     tables = texts.sparkSession.sparkContext.broadcast((weights, order_counts(texts, setting)))
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, counts = tables.value
         for piece in slices(batches, "text"):
-            place, features = [], []
+            place, features, rests, totals = [], [], [], []
             for i, own in enumerate(_runs(piece.column("text"), setting.width)[1]):
                 found, times = own
                 rank = np.lexsort((found, counts[(found % np.uint64(ORDER_BUCKETS)).astype(np.int64)]))
@@ -372,6 +374,8 @@ def pairs_by_prefix(
                 last = int(np.argmax(left < (setting.threshold - 1e-6) * weight.sum()))
                 place.append(np.full(last + 1, i))
                 features.append(found[rank[: last + 1]].astype(np.int64))
+                rests.append((left + weight)[: last + 1])
+                totals.append(np.full(last + 1, weight.sum()))
             if place:
                 at = pa.array(np.concatenate(place))
                 yield pa.RecordBatch.from_arrays(
@@ -379,18 +383,25 @@ def pairs_by_prefix(
                         pa.array(np.concatenate(features)),
                         piece.column("key").take(at),
                         piece.column("class").take(at),
+                        pa.array(np.concatenate(rests)),
+                        pa.array(np.concatenate(totals)),
                     ],
-                    names=["feature", "a", "a_class"],
+                    names=["feature", "a", "a_class", "a_rest", "a_total"],
                 )
 
-    left = texts.mapInArrow(prefixes, "feature bigint, a binary, a_class binary")
+    fields = "feature bigint, a binary, a_class binary, a_rest double, a_total double"
+    left = texts.mapInArrow(prefixes, fields)
     left = written(left, "prefixes")
     # A feature whose texts are all of one class pairs none.
     ends = left.groupBy("feature").agg(F.min("a_class").alias("low"), F.max("a_class").alias("high"))
     several = ends.where("low <> high").select("feature")
     left = salted_join(left, several, ["feature"], SALTS)
-    right = left.select("feature", F.col("a").alias("c"), F.col("a_class").alias("c_class"))
-    met = left.join(right, (left.feature == right.feature) & F.expr("a < c AND a_class <> c_class"))
+    right = left.withColumnsRenamed({n: n.replace("a", "c", 1) for n in left.columns if n[0] == "a"})
+    # Of two texts at the threshold, the overlap is this part of both together.
+    part = setting.threshold / (1 + setting.threshold) * (1 - 1e-6)
+    reach = F.least("a_rest", "c_rest") >= (F.col("a_total") + F.col("c_total")) * F.lit(part)
+    differ = F.expr("a < c AND a_class <> c_class")
+    met = left.join(right, (left.feature == right.feature) & differ & reach)
     return met.select("a", "c").distinct()
 
 

@@ -24,6 +24,7 @@ from contestlab.llm.words import batch_words, hash_spans, spans, text_bytes
 BUCKETS = 1 << 16
 RANK = 8
 EPOCHS = 6
+LEAST_STEPS = 250  # a small sample takes more epochs
 BATCH = 128
 THRESHOLD = 0.3
 SEED = 5
@@ -156,7 +157,7 @@ def fit(sample: Sample, epochs: int = EPOCHS, rate: float = 0.02, penalty: float
     offsets = np.searchsorted(f.owner, np.arange(n + 1))
     state: dict = {}
     t = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS * BATCH // n))):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             t += 1

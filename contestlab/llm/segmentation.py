@@ -44,7 +44,8 @@ LATTICE_BYTES = 1 << 16
 RANK_SHIFT = 10.0
 MARK = "▁"
 _SLOT_BITS = 20
-ATTEMPTS = 1000
+ATTEMPTS = 200
+LEAST = 1e-5  # probabilities of a unit's paths add up to one but for about this
 
 
 @dataclass
@@ -380,9 +381,10 @@ class Sampler:
             for i in np.flatnonzero(counts).tolist()
         }
         for sample in range(1, self.samples):
-            popped = [(s, *branch) for s in searches.values() if (branch := s.pop()) is not None]
-            if popped:
-                self.branch(popped, sample, data, starts, ends, row_seeds)
+            open_ = list(searches.values())
+            # A set that turns out to hold no other path is dropped for the next one.
+            while popped := [(s, *best) for s in open_ if (best := s.pop()) is not None]:
+                open_ = self.branch(popped, sample, data, starts, ends, row_seeds)
         out: list[list[tuple]] = [[] for _ in texts]
         for i, search in searches.items():
             out[i] = search.results(spelled)
@@ -416,9 +418,10 @@ class Sampler:
         out[of_byte] = self.vocabulary.byte_ids[data[byte_at[of_byte]]]
         return out, counts
 
-    def branch(self, popped: list[tuple], sample: int, data, starts, ends, row_seeds) -> None:
+    def branch(self, popped: list[tuple], sample: int, data, starts, ends, row_seeds) -> list:
         """Complete the best path of every popped set: a unit that differs from
-        all paths gone before, then the sample's own draws."""
+        all paths gone before, then the sample's own draws. Returns the searches
+        whose set was found empty."""
         units = np.array([s.base + unit for s, _, _, unit in popped])
         lengths = ends[units] - starts[units]
         lattice = Lattice(self.vocabulary, *gathered(data, starts[units], lengths))
@@ -442,14 +445,15 @@ class Sampler:
             waiting = np.array(again, np.int64)
             if not len(waiting):
                 break
+        return [popped[w][0] for w in waiting]
 
 
 def left_over(log_prob: np.ndarray) -> np.ndarray:
-    """The log probability of all other paths of units; none below 1e-7, where
+    """The log probability of all other paths of units; none below LEAST, where
     single precision ends."""
     rest = -np.expm1(np.minimum(log_prob, 0))
     with np.errstate(divide="ignore"):
-        return np.where(rest > 1e-7, np.log(np.maximum(rest, 1e-300)), -np.inf)
+        return np.where(rest > LEAST, np.log(np.maximum(rest, 1e-300)), -np.inf)
 
 
 def root_values(row_seeds: np.ndarray) -> np.ndarray:
@@ -527,7 +531,7 @@ class _Search:
         self.values.append(value)
         rest = left_over(log_prob[unit:])
         mass = 1 - sum(np.exp(g[3]) for g in gone)
-        rest[0] = np.log(mass) if mass > 1e-7 else -np.inf
+        rest[0] = np.log(mass) if mass > LEAST else -np.inf
         before = (np.cumsum(log_prob) - log_prob)[unit:]
         u = uniform(mix(self.seeds[unit:] + np.uint64((len(self.paths) << 8) + 11)))
         self.enqueue(cut_gumbel(before + rest, value, u), len(self.paths) - 1, unit)
