@@ -8,7 +8,7 @@ key with a third of all rows is spread over all tasks.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -24,11 +24,25 @@ _ROW_OVERHEAD = 32
 
 @dataclass(frozen=True)
 class MeasuredTable:
-    """A written table and its measured size."""
+    """A written table and its measured size; ``unique_on`` has the key sets
+    that were found to be unique."""
 
     df: DataFrame
     rows: int
     bytes: int
+    unique_on: set[tuple[str, ...]] = field(default_factory=set, compare=False)
+
+
+def require_unique(table: MeasuredTable, keys: list[str]) -> None:
+    """Raise ValueError if a key of the table has several rows; rows with a NULL
+    in the key match nothing and do not count."""
+    name = tuple(sorted(keys))
+    if name in table.unique_on:
+        return
+    counts = table.df.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("_n"))
+    if not counts.where("_n > 1").isEmpty():
+        raise ValueError(f"several rows for one key {', '.join(keys)}")
+    table.unique_on.add(name)
 
 
 def measured(table: DataFrame | MeasuredTable) -> MeasuredTable:
@@ -86,7 +100,8 @@ def attach(
     left: DataFrame, *lookups: Lookup, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add columns to every row of ``left``; its row count is kept. Rows
-    without a match get NULL, columns of the same name are replaced."""
+    without a match get NULL, columns of the same name are replaced. A table with
+    several rows for a key is a ValueError."""
     names = [n for lookup in lookups for n in lookup.values.values()]
     left = left.drop(*names)
     out = left
@@ -94,6 +109,7 @@ def attach(
         right = measured(lookup.table)
         keys = list(lookup.on.values())
         _check_types(left, right.df, lookup.on)
+        require_unique(right, list(lookup.on))
         rows = right.df.select(
             *[F.col(r).alias(l) for r, l in lookup.on.items()],
             *[F.col(r).alias(n) for r, n in lookup.values.items()],
@@ -119,8 +135,9 @@ def _attach_by_shuffle(
     left: DataFrame, rows: DataFrame, keys: list[str], hot: DataFrame
 ) -> DataFrame:
     names = [n for n in rows.columns if n not in keys]
-    # The heavy keys are fewer than the shuffle partitions, so this is small.
-    hot_rows = rows.join(F.broadcast(hot), keys, "left_semi").select(
+    # The heavy keys are fewer than the shuffle partitions, so this is small. A
+    # heavy key without a row in the table is heavy all the same.
+    hot_rows = hot.join(rows.join(F.broadcast(hot), keys, "left_semi"), keys, "left").select(
         *keys, F.lit(True).alias("_hot"), *[F.col(n).alias(f"_hot_{n}") for n in names]
     )
     marked = left.join(F.broadcast(hot_rows), keys, "left")

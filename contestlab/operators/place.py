@@ -36,6 +36,7 @@ def with_neutral_flag(
     """0 where the city is home to either side, else 1 (unknown city included)."""
     if not isinstance(homes, MeasuredTable):
         homes = measured(homes.withColumn("is_home", F.lit(1)))
+    # Several rows for a home are an error, as in every lookup.
     out = attach(
         df,
         Lookup(homes, {"team": c.side_a, "city": c.city}, {"is_home": "_home_a"}),

@@ -41,7 +41,7 @@ from contestlab.operators.metrics import (
 )
 from contestlab.plans.features import AVERAGES, RATES, categorical
 from contestlab.sources.jobs import PARALLELISM, at_once
-from contestlab.sources.scratch import spread, written
+from contestlab.sources.scratch import FIT_PARTITIONS, laid_out, written
 
 FEATURE_SETS = {"base": AVERAGES, "smart": AVERAGES + RATES}
 HIDDEN = (10, 5)
@@ -96,12 +96,12 @@ class Prepared:
 
 
 def preparation(
-    feature_set: str = "smart", missing: str = "skip", c: ContestColumns = CONTEST
+    feature_set: str = "smart", missing: str = "error", c: ContestColumns = CONTEST
 ) -> Pipeline:
     """Indexers, optional imputer and assembler of a feature set.
 
     ``missing`` says what happens to a contest with a missing average or rate:
-    "skip" leaves it out, "impute" takes the training mean, "error" stops.
+    "error" stops, "impute" takes the training mean, "skip" leaves it out.
     """
     if missing not in ("skip", "impute", "error"):
         raise ValueError(f"unknown missing: {missing}")
@@ -137,17 +137,18 @@ def split_table(
 def prepare(
     table: DataFrame,
     feature_set: str = "smart",
-    missing: str = "skip",
+    missing: str = "error",
     c: ContestColumns = CONTEST,
+    fit_partitions: int = FIT_PARTITIONS,
 ) -> Prepared:
     """Index and assemble a split table, and write the vectors. The stages are
-    fitted on its training rows."""
+    fitted on its training rows, models on ``fit_partitions`` parts of them."""
     stages = preparation(feature_set, missing, c).fit(table.where("is_train"))
     assembled = stages.transform(table).select(c.key, "label", "is_train", "features")
-    vectors = written(spread(assembled, c.key), "vectors")
+    vectors = written(assembled, "vectors")
     labels = stages.stages[0].labelsArray
     return Prepared(
-        train=vectors.where("is_train"),
+        train=laid_out(vectors.where("is_train"), c.key, fit_partitions),
         test=vectors.where("NOT is_train"),
         stages=stages,
         inputs=len(categorical(c)) + len(FEATURE_SETS[feature_set]),
@@ -172,7 +173,7 @@ def classifiers(
     prepared: Prepared, trees: int = 100, boosting_rounds: int = 50, seed: int = SPLIT_SEED
 ) -> dict[str, Estimator]:
     """The five classifiers, sized for the prepared features. All seeds are
-    pinned, so a fit repeats."""
+    pinned and the rows have a fixed layout, so a fit repeats on any machine."""
     target = {"labelCol": "label", "featuresCol": "features"}
     tree = {**target, "maxDepth": 5, "maxBins": prepared.max_bins, "seed": seed}
     return {
@@ -267,11 +268,12 @@ def compare_models(
     feature_sets: Sequence[str] = ("base", "smart"),
     trees: int = 100,
     boosting_rounds: int = 50,
-    missing: str = "skip",
+    missing: str = "error",
     parallelism: int = PARALLELISM,
     c: ContestColumns = CONTEST,
 ) -> DataFrame:
-    """(feature_set, model, metric, value) for every model and feature set."""
+    """(feature_set, model, metric, value, dropped) for every model and feature
+    set; ``dropped`` counts the contests that ``missing="skip"`` left out."""
     split = split_table(features, c=c)
     prepared = {name: prepare(split, name, missing, c) for name in feature_sets}
     fits = {
@@ -286,7 +288,8 @@ def compare_models(
         scored = score_models(prepared[feature_set].test, models, [c.key, "label"])
         scored = written(scored, "scored", by="model")
         table = model_metrics(scored, list(models), parallelism=parallelism)
-        return table.select(F.lit(feature_set).alias("feature_set"), "*")
+        dropped = F.lit(prepared[feature_set].dropped).cast("bigint").alias("dropped")
+        return table.select(F.lit(feature_set).alias("feature_set"), "*", dropped)
 
     return reduce(DataFrame.unionByName, [metrics(name) for name in feature_sets])
 
@@ -311,7 +314,7 @@ def fit_documented_model(
     """A perceptron over one-hot city and sides and two flags; returns the
     pipeline and the table it was fitted on."""
     table = written(documented_table(matches, neutral, c), "documented")
-    train = spread(table.where("is_train"), c.key)
+    train = laid_out(table.where("is_train"), c.key)
     columns = [c.city, c.side_a, c.side_b]
     encoding = one_hot(columns).fit(train)
     assembler = VectorAssembler(

@@ -44,7 +44,7 @@ from contestlab.operators.rates import (
 from contestlab.plans.features import AVERAGES, RATES, Table, score_lookups
 from contestlab.plans.models import alphabetical_indexer, encode_unseen, indexed_name
 from contestlab.sources.jobs import at_once
-from contestlab.sources.scratch import spread, written
+from contestlab.sources.scratch import laid_out, written
 
 NUMBERS = AVERAGES + RATES
 
@@ -140,9 +140,11 @@ def scaling(train: DataFrame, rows: int) -> PipelineModel:
     return PipelineModel(stages=[scaler, rescale])
 
 
-def assembler(c: ContestColumns = CONTEST) -> VectorAssembler:
+def assembler(c: ContestColumns = CONTEST, missing: str = "error") -> VectorAssembler:
+    if missing not in ("error", "skip"):
+        raise ValueError(f"unknown missing: {missing}")
     return VectorAssembler(
-        inputCols=model_inputs(c), outputCol="raw_features", handleInvalid="skip"
+        inputCols=model_inputs(c), outputCol="raw_features", handleInvalid=missing
     )
 
 
@@ -151,9 +153,10 @@ def request_vectors(
     percent: int = REQUEST_TRAIN_PERCENT,
     seed: int = SPLIT_SEED,
     c: ContestColumns = CONTEST,
+    missing: str = "error",
 ) -> tuple[StringIndexerModel, DataFrame, int]:
     """Encoders fitted on all rows, the written vectors of both splits, and how
-    many rows a missing number left out."""
+    many rows a missing number left out, which only ``missing="skip"`` allows."""
     table = written(
         features.select(
             c.key,
@@ -165,9 +168,9 @@ def request_vectors(
         "request-features",
     )
     indexer = alphabetical_indexer(encoded(c)).fit(table)
-    assembled = assembler(c).transform(indexer.transform(table))
+    assembled = assembler(c, missing).transform(indexer.transform(table))
     kept = assembled.select(c.key, "label", "is_train", "raw_features")
-    vectors = written(spread(kept, c.key), "request-vectors")
+    vectors = written(kept, "request-vectors")
     return indexer, vectors, table.count() - vectors.count()
 
 
@@ -175,14 +178,15 @@ def fit_request_model(
     features: DataFrame,
     inverse_penalty: float = 1.0,
     c: ContestColumns = CONTEST,
+    missing: str = "error",
 ) -> RequestModel:
     """Regularised logistic regression for "the draw winner wins".
 
     The penalty is written as in C * loss + |w|^2 / 2, so MLlib's parameter,
     which weighs the mean loss, is 1 / (C * training rows).
     """
-    indexer, vectors, dropped = request_vectors(features, c=c)
-    train = vectors.where("is_train")
+    indexer, vectors, dropped = request_vectors(features, c=c, missing=missing)
+    train = laid_out(vectors.where("is_train"), c.key)
     rows = train.count()
     scale = scaling(train, rows)
     regression = LogisticRegression(
@@ -218,13 +222,18 @@ def score_requests(
     """Probability and recommendation for requests with matchup features.
 
     Every request gets an answer: a side without scores takes, and shows, the
-    training mean of the missing average.
+    training mean of the missing average, a rate without history the neutral
+    one. NaN counts as missing.
     """
     columns = requests.columns
     if c.venue not in columns:
         requests = requests.withColumn(c.venue, F.lit(None).cast("string"))
+    fillers = model.averages | {r: NO_HISTORY_RATE for r in RATES}
     filled = requests.withColumns(
-        {n: F.coalesce(F.col(n), F.lit(mean)) for n, mean in model.averages.items()}
+        {
+            n: F.coalesce(F.nanvl(F.col(n).cast("double"), F.lit(None)), F.lit(value))
+            for n, value in fillers.items()
+        }
     )
     vectors = assembler(c).transform(encode_unseen(filled, model.indexer))
     scored = model.scorer.transform(vectors)

@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Partitions of the rows that models are fitted on. At 100 TB set it so that a
+#: partition of the vectors fits an executor's memory.
+FIT_PARTITIONS = 32
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only in local mode."""
@@ -37,13 +41,8 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """At least one partition per core, for tables that are read many times.
-
-    A large table has more partitions than that and is left as it is. ``df``
-    must be a scan with projections, so that its partitions are known.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+def laid_out(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt by ``key`` and sorted by it, always to the same number of
+    partitions: a fit that samples or stacks rows per partition then depends on
+    neither the machine nor the layout of the files."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)

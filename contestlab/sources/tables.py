@@ -37,9 +37,12 @@ _WHOLE = {"int", "bigint"}
 def _parsed(name: str, kind: str) -> Column:
     text = F.col(f"`{name}`")
     if kind in _WHOLE:
-        # "4.0" is a whole number written as a decimal; longs stay exact.
-        whole = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
-        return whole.try_cast(kind)
+        # "4.0" is a whole number written as a decimal, "4.5" is none; longs stay
+        # exact (a cast of the text itself would cut "4.5").
+        number = text.try_cast("double")
+        plain = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint"))
+        decimal = F.when(number == F.floor(number), number.try_cast("bigint"))
+        return F.coalesce(plain, decimal).try_cast(kind)
     return text.try_cast(kind)
 
 

@@ -116,3 +116,17 @@ def test_key_types_must_agree(spark, skewed):
     table = spark.createDataFrame([(1, 1.0)], "k int, x double")
     with pytest.raises(TypeError, match="key k"):
         attach(skewed, by_key(table))
+
+
+def test_heavy_key_without_a_match_is_spread(no_merging, skewed, lookup):
+    out = attach(skewed, by_team(lookup.where("team <> 'hot'")), broadcast_bytes=0)
+    sizes = out.where("k = 'hot'").groupBy(F.spark_partition_id()).count()
+    assert out.where("k = 'hot' AND new_x IS NULL").count() == 2000
+    assert sizes.agg(F.max("count")).first()[0] < 600
+
+
+def test_several_rows_for_a_key_are_an_error(skewed, lookup):
+    with pytest.raises(ValueError, match="team"):
+        attach(skewed, by_team(lookup.unionByName(lookup)))
+    nulls = lookup.where("team IS NULL")
+    assert attach(skewed, by_team(lookup.unionByName(nulls))).count() == 6000

@@ -126,6 +126,24 @@ def test_missing_numbers(spark, missing, rows, dropped):
     assert out.train.count() + out.test.count() == rows and out.dropped == dropped
 
 
+def test_missing_numbers_stop_by_default(spark):
+    with pytest.raises(Exception, match="(?i)null"):
+        models.prepare(models.split_table(planted(spark, 60, missing=10)), "base").train.count()
+
+
+def test_fit_does_not_depend_on_the_input_s_partitions(spark):
+    def predictions(parts):
+        table = models.split_table(planted(spark, 400).repartition(parts))
+        out = models.prepare(table)
+        estimators = models.classifiers(out, trees=5, boosting_rounds=2)
+        names = ("decision_tree", "random_forest", "gbt", "perceptron")
+        fitted = models.fit_models(out, {n: estimators[n] for n in names})
+        scored = models.score_models(out.test, fitted, ["match_id"])
+        return bag(scored.select("match_id", "model", "prediction"))
+
+    assert predictions(3) == predictions(11)
+
+
 def test_unknown_options_are_errors():
     with pytest.raises(ValueError):
         models.preparation(missing="ignore")
@@ -179,6 +197,14 @@ def test_requests_always_get_an_answer(spark, features):
     assert out[1].team1_avg_runs == pytest.approx(model.averages["team1_avg_runs"])
 
 
+def test_requests_without_numbers_get_an_answer(spark, features):
+    model = recommend.fit_request_model(features)
+    rows = features.limit(3).withColumn("h2h_win_rate", F.lit(None).cast("double"))
+    nans = features.limit(3).withColumns({n: F.lit(float("nan")) for n in AVERAGES + RATES})
+    out = recommend.score_requests(rows.unionByName(nans), model).collect()
+    assert len(out) == 6 and all(0 <= r["probability"] <= 1 for r in out)
+
+
 def test_threshold(spark):
     df = spark.createDataFrame([(0.59,), (0.6,), (1.0,)], "probability double")
     out = [r[0] for r in df.select(recommend.recommendation()).collect()]

@@ -125,12 +125,18 @@ def test_cluster_without_shared_folder_is_refused():
         scratch.scratch_dir(Session())
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    few = scratch.written(spark.range(100).coalesce(1), "few")
-    assert scratch.spread(few, "id").rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 20)
-    assert scratch.spread(many, "id").rdd.getNumPartitions() == 20
+def test_layout_depends_on_the_key_only(spark):
+    def parts(df):
+        return scratch.laid_out(df, "id", 6).rdd.glom().map(lambda p: [r[0] for r in p]).collect()
 
+    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 20)
+    assert parts(few) == parts(many) and len(parts(few)) == 6
+
+
+def test_only_whole_numbers_are_whole(spark):
+    rows = [("4.0",), ("4.5",), ("1.99",), ("9007199254740993",), (" 7 ",), ("x",), ("1e3",), (None,)]
+    df = typed(spark.createDataFrame(rows, "n string"), {"n": "bigint"})
+    assert [r[0] for r in df.collect()] == [4, None, None, 9007199254740993, 7, None, 1000, None]
 
 def test_filter_on_a_typed_column_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "typed")
