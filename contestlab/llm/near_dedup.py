@@ -481,7 +481,7 @@ def text_classes(
     # A null id is after all others.
     order = F.struct(F.col("first_id").isNull(), "first_id", "key")
     least = per_text.groupBy("class").agg(F.min(order).alias("least"))
-    several = per_text.join(least, "class").select(
+    several = salted_join(per_text, least, ["class"], SALTS).select(
         F.hex("key").alias("key"),
         F.col("least.first_id").alias("class_id"),
         F.hex("least.key").alias("kept"),
