@@ -18,7 +18,15 @@ from pyspark.sql import functions as F
 
 from contestlab.llm.registry import registered
 from contestlab.llm.samples import Sample, held_out, labelled_sample
-from contestlab.llm.tables import extended, fresh, quoted, read, slices, with_fields
+from contestlab.llm.tables import (
+    extended,
+    fresh,
+    quoted,
+    read,
+    slices,
+    text_slices,
+    with_fields,
+)
 from contestlab.llm.words import batch_words, hash_spans, spans, text_bytes
 
 BUCKETS = 1 << 16
@@ -106,6 +114,17 @@ def features(texts: pa.Array) -> Features:
     return Features(pair_owner, bucket, (1 / np.sqrt(pairs))[pair_owner].astype(np.float32), statistics)
 
 
+def features_by_slices(texts: pa.Array) -> Features:
+    """``features`` of many texts, some at a time: the arrays it works on take
+    many times the bytes of the texts."""
+    parts, at = [], 0
+    for piece in text_slices(texts):
+        f = features(piece)
+        parts.append((f.owner + at, f.bucket, f.value, f.statistics))
+        at += len(piece)
+    return Features(*map(np.concatenate, zip(*parts)))
+
+
 @dataclass(frozen=True)
 class Machine:
     """Weights and factors; the last ``STATISTICS`` rows are those of the
@@ -151,7 +170,7 @@ def fit(sample: Sample, epochs: int = EPOCHS, rate: float = 0.02, penalty: float
     if n == 0 or y.min() == y.max():
         v[:] = 0
         return Machine(float(bias[0]), w, v, np.zeros(STATISTICS), np.ones(STATISTICS))
-    f = features(sample.texts)
+    f = features_by_slices(sample.texts)
     centre, scale = f.statistics.mean(axis=0), f.statistics.std(axis=0) + 1e-3
     x = np.clip((f.statistics - centre) / scale, -4, 4)
     offsets = np.searchsorted(f.owner, np.arange(n + 1))

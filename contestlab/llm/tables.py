@@ -51,6 +51,12 @@ def slices(
             yield batch.slice(start)
 
 
+def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """``slices`` of one array of texts."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    return (piece.column(0) for piece in slices([batch], "text", limit))
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, keys: list[str], salts: int, how: str = "inner"
 ) -> DataFrame:
