@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
+from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contestlab.catalog import fixtures as fx
 from contestlab.catalog.rates import smart_table
 from contestlab.catalog.registry import registered
 from contestlab.catalog.twins import train_bucket, twin
+from contestlab.constants import FIELD_THRESHOLD
 from contestlab.functions.outcome import label_side_a
 from contestlab.functions.split import in_training, split_bucket
 from contestlab.operators import metrics
@@ -328,37 +333,100 @@ def recommend_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("request_id", recommend.recommendation().alias("recommendation"))
 
 
-def _predictions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Test contests scored by one classifier on the smart features."""
+# Models are not SQL, but what has to hold for them is: each query below returns
+# the test contests and whether the property was found in the scored rows.
+GRADIENT = 1e-4
+
+
+def _test_twin(proof: str) -> str:
+    return twin(f"SELECT match_id, label, TRUE AS {proof} FROM smart WHERE NOT ({TRAIN})", "smart")
+
+
+def _fitted(spark: SparkSession, sf_dir: str, name: str) -> tuple[models.Prepared, Model]:
     prepared = models.prepare(_split_features(spark, sf_dir))
-    estimator = models.classifiers(prepared)[name]
-    fitted = models.fit_models(prepared, {name: estimator})
-    return models.score_models(prepared.test, fitted, ["match_id", "label"])
+    return prepared, models.classifiers(prepared)[name].fit(prepared.train)
 
 
-@registered()
+def _won() -> Column:
+    return F.get(vector_to_array("probability"), F.lit(1))
+
+
+def _predicts_larger() -> Column:
+    return F.col("prediction") == (_won() > 0.5).cast("double")
+
+
+def _log_loss(label: Column, p: Column) -> Column:
+    p = F.least(F.greatest(p, F.lit(1e-15)), F.lit(1 - 1e-15))
+    return F.avg(F.when(label == 1, -F.log(p)).otherwise(-F.log(1 - p)))
+
+
+def _has_learned(model: Model, train: DataFrame) -> Column:
+    """Is the training loss below that of the best constant answer?"""
+    label = F.col("label")
+    found = model.transform(train).agg(_log_loss(label, _won()).alias("loss"), F.avg(label).alias("p"))
+    loss, p = found.first()
+    constant = -(p * math.log(p) + (1 - p) * math.log(1 - p))
+    return F.lit(loss < constant)
+
+
+def _largest_gradient(scored: DataFrame, weights: Sequence[float] | None = None) -> float:
+    """The largest derivative of the mean log loss by the intercept and by the
+    weights of the standardised features; ``weights`` adds a penalty's."""
+    error = (_won() - F.col("label")).alias("error")
+    slots = scored.select(error, F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    pull = F.try_divide(F.covar_pop("x", "error"), F.stddev_pop("x"))
+    if weights is not None:
+        pull = pull + F.get(F.array(*map(F.lit, weights)), F.col("slot"))
+    per_slot = slots.groupBy("slot").agg(pull.alias("pull"), F.avg("error").alias("level"))
+    return per_slot.agg(F.greatest(F.max(F.abs("pull")), F.max(F.abs("level")))).first()[0]
+
+
+@registered(_test_twin("is_leaf_share"))
 def model_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "decision_tree")
+    """Is the probability the share of wins among the leaf's training rows?"""
+    prepared, model = _fitted(spark, sf_dir, "decision_tree")
+    model.setLeafCol("leaf")
+    shares = model.transform(prepared.train).groupBy("leaf").agg(F.avg("label").alias("share"))
+    scored = model.transform(prepared.test).join(shares, "leaf", "left")
+    holds = (F.abs(_won() - F.col("share")) < 1e-9) & _predicts_larger()
+    return scored.select("match_id", "label", holds.alias("is_leaf_share"))
 
 
 @registered()
 def model_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "random_forest")
+    """Test contests scored by the forest."""
+    prepared, model = _fitted(spark, sf_dir, "random_forest")
+    return models.score_models(prepared.test, {"random_forest": model}, ["match_id", "label"])
 
 
-@registered()
+@registered(_test_twin("is_logistic_of_margin"))
 def model_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "gbt")
+    """Is the probability that of the boosted margin, and has the model learned?"""
+    prepared, model = _fitted(spark, sf_dir, "gbt")
+    margin = F.get(vector_to_array("rawPrediction"), F.lit(1))
+    holds = (F.abs(_won() - 1 / (1 + F.exp(-2 * margin))) < 1e-9) & _predicts_larger()
+    holds = holds & _has_learned(model, prepared.train)
+    return model.transform(prepared.test).select(
+        "match_id", "label", holds.alias("is_logistic_of_margin")
+    )
 
 
-@registered()
+@registered(_test_twin("is_optimal"))
 def model_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "logistic_regression")
+    """Is the gradient of the training loss zero at the solution?"""
+    prepared, model = _fitted(spark, sf_dir, "logistic_regression")
+    optimal = F.lit(_largest_gradient(model.transform(prepared.train)) < GRADIENT)
+    holds = optimal & _predicts_larger()
+    return model.transform(prepared.test).select("match_id", "label", holds.alias("is_optimal"))
 
 
-@registered()
+@registered(_test_twin("is_consistent"))
 def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "perceptron")
+    """Do probabilities sum to one and say the prediction, and has the model learned?"""
+    prepared, model = _fitted(spark, sf_dir, "perceptron")
+    total = F.get(vector_to_array("probability"), F.lit(0)) + _won()
+    holds = (F.abs(total - 1) < 1e-9) & _predicts_larger() & _has_learned(model, prepared.train)
+    return model.transform(prepared.test).select("match_id", "label", holds.alias("is_consistent"))
 
 
 @registered()
@@ -397,19 +465,48 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return twice.select("match_id", (F.col("saved") == p).alias("same"))
 
 
-@registered()
+@registered(
+    twin(
+        f"""SELECT count(CASE WHEN toss_match_win THEN 1 END) AS positives,
+                   count(CASE WHEN toss_match_win THEN NULL ELSE 1 END) AS negatives,
+                   TRUE AS is_accuracy, TRUE AS is_optimal
+            FROM smart WHERE NOT ({REQUEST_TRAIN})""",
+        "smart",
+    )
+)
 def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held-out accuracy of the request model."""
+    """Held-out counts of the request model. Is the accuracy theirs, and the
+    gradient of the penalised loss zero at the solution?"""
     model = recommend.fit_request_model(smart_table(spark, sf_dir))
-    held_out = model.scorer.transform(model.vectors.where("NOT is_train"))
-    rates = metrics.classification_rates(metrics.confusion(held_out))
-    return rates.select("tp", "tn", "fp", "fn", "accuracy")
+    regression = model.scorer.stages[-1]
+    penalty = regression.getRegParam()
+    pulls = [penalty * float(w) for w in regression.coefficients]
+    scored = model.scorer.transform(model.vectors)
+    optimal = _largest_gradient(scored.where("is_train"), pulls) < GRADIENT
+    rates = metrics.classification_rates(metrics.confusion(scored.where("NOT is_train")))
+    return rates.select(
+        F.expr("tp + fn").alias("positives"),
+        F.expr("tn + fp").alias("negatives"),
+        (F.abs(F.col("accuracy") - F.expr("(tp + tn) / (tp + tn + fp + fn)")) < 1e-12).alias(
+            "is_accuracy"
+        ),
+        F.lit(optimal).alias("is_optimal"),
+    )
 
 
-@registered()
-def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request with its features, probability and recommendation."""
     past, asked = fx.history(spark, sf_dir), fx.requests(spark, sf_dir)
     averages = measured(past.averages)  # read by both feature tables
     model = recommend.fit_request_model(smart_features(past.matches, averages))
     features = recommend.matchup_features(asked, past.matches, averages)
     return recommend.score_requests(features, model)
+
+
+@registered(twin("SELECT request_id, TRUE AS follows_rule FROM requests", "requests"))
+def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Is every request answered, by the rule for its probability?"""
+    p = F.col("probability")
+    rule = F.when(p >= FIELD_THRESHOLD, "FIELD").otherwise("BAT")
+    holds = p.between(0, 1) & (F.col("recommendation") == rule)
+    return recommended(spark, sf_dir).select("request_id", holds.alias("follows_rule"))
