@@ -1,16 +1,16 @@
 """License scans: an exact set-similarity join of text blocks with templates.
 
-A template of L words is compared with all windows of 2L words that begin at
-multiples of L, so every run of L words lies inside one window. A window meets a
-template when it holds enough of the template's distinct words. The join is
-exact and looks at few windows:
+A template of L words is compared with the windows of 2L words at every start. A
+window meets a template when it holds enough of the template's distinct words.
+The join is exact and looks at few windows:
 
 - words are ordered by how often they occur in all texts, rarest first; a window
   that holds ``need`` of a template's n words holds one of its first
   n - need + 1, so only windows around those are candidates (prefix filter);
-- a window with fewer distinct words than ``need`` is left out (length filter);
-- no prefix word before the first one found is in the window, so at most one
-  plus the words that both have behind it can agree (position filter).
+- a window is counted at the first of them that it holds, so all words that both
+  have are that one and words behind it (position filter);
+- of the places that pass, only those are cut into windows where the words of
+  all windows together hold ``need`` of these.
 
 All of it is DataFrame operations on built-in functions.
 """
@@ -121,52 +121,54 @@ def prefixes(
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def windows(marked: DataFrame, found_by: DataFrame, probes: Sequence[str]) -> DataFrame:
-    """Candidate windows: one row per distinct text, template and window around
-    a prefix word, with the first prefix word found."""
+def matches(marked: DataFrame, found_by: DataFrame, probes: Sequence[str]) -> DataFrame:
+    """(key, template, at, label, phrase, containment, place): the prefix words
+    around which a window meets its template, one row per distinct text,
+    template and place of the word. ``containment`` is the best window's,
+    ``place`` the start of a phrase. A phrase is found by the first place of its
+    prefix word, so each of its places is one row."""
     hits = F.filter(
         F.transform("w", lambda x, i: F.struct(i.alias("at"), x.alias("word"))),
         lambda h: h["word"].isin(list(probes)),
     )
     length = F.size("words")
-    last = F.floor(F.col("at") / length).cast("int")
-    return (
+    first = F.greatest(F.col("at") - length * 2 + 1, F.lit(0))
+    start = (F.col("at") - F.array_position("words", F.col("word")) + 1).cast("int")
+    here = F.slice("w", F.greatest(start, F.lit(0)) + 1, length)
+    behind = F.slice("ordered", F.col("i") + 1, F.size("ordered"))
+    candidates = (
         marked.where("w IS NOT NULL")
         .select("key", "w", F.inline(hits))
         .join(F.broadcast(found_by), "word")
-        .withColumn("window", F.explode(F.array(last - 1, last)))
-        .where("window >= 0")
-        .withColumn("block", F.slice("w", F.col("window") * length + 1, length * 2))
-        .groupBy("key", "template", "window")
-        .agg(
-            F.min("i").alias("i"),
-            *[F.any_value(c).alias(c) for c in ("need", "label", "phrase", "words", "ordered", "block")],
+        .select(
+            "key", "template", "at", "label", "phrase", "need",
+            F.size("ordered").alias("n"),
+            length.alias("length"),
+            F.when(F.col("phrase") & (start >= 0) & (here == F.col("words")), start).alias("place"),
+            behind.alias("behind"),
+            (F.col("at") - first).alias("last"),
+            F.slice("w", first + 1, F.col("at") - first + length * 2).alias("around"),
         )
-    )
+    )
 
+    def in_both(block: Column) -> Column:
+        return F.size(F.array_intersect("behind", block))
 
-def matches(candidates: DataFrame) -> DataFrame:
-    """Windows that meet their template: (key, label, phrase, containment,
-    places), where places are the starts of a phrase in the window's first
-    half."""
-    distinct = F.array_distinct("block")
-    behind = F.slice("ordered", F.col("i") + 2, F.size("ordered"))
-    in_both = F.size(F.array_intersect(behind, "block"))
-    rest = F.least(F.size("ordered") - F.col("i") - 1, F.size(distinct) - 1)
-    filtered = candidates.where((F.size(distinct) >= F.col("need")) & (rest + 1 >= F.col("need")))
-    length = F.size("words")
-    starts = F.filter(
-        F.sequence(F.lit(0), length - 1),
-        lambda s: F.slice("block", s + 1, length) == F.col("words"),
+    shares = F.transform(
+        F.sequence(F.lit(0), F.col("last")),
+        lambda s: in_both(F.slice("around", s + 1, F.col("length") * 2)),
     )
-    return filtered.where(in_both + 1 >= F.col("need")).select(
-        "key",
-        "label",
-        "phrase",
-        ((in_both + 1) / F.size("ordered")).alias("containment"),
-        F.when(F.col("phrase"), F.transform(starts, lambda s: s + F.col("window") * length))
-        .otherwise(F.array().cast("array<int>"))
-        .alias("places"),
+    best = F.when(F.col("phrase"), F.col("n")).otherwise(F.array_max(shares))
+    near = F.when(F.col("phrase"), F.col("place").isNotNull())
+    return (
+        candidates.where(near.otherwise(in_both(F.col("around")) >= F.col("need")))
+        .withColumn("best", best)
+        .where("best >= need")
+        .groupBy("key", "template", "at")
+        .agg(
+            *[F.any_value(c).alias(c) for c in ("label", "phrase", "place")],
+            F.max(F.col("best") / F.col("n")).alias("containment"),
+        )
     )
 
 
@@ -211,11 +213,10 @@ def license_scan(
         ),
         "marked",
     )
-    met = matches(windows(marked, found_by, probes)).where("NOT phrase OR size(places) > 0")
-    per_text = met.groupBy("key").agg(
-        F.sum(F.size("places")).alias("n_base"),
-        F.min(F.array_min("places")).alias("first_word"),
-        F.max(F.array_max("places")).alias("last_word"),
+    per_text = matches(marked, found_by, probes).groupBy("key").agg(
+        F.count("place").alias("n_base"),
+        F.min("place").alias("first_word"),
+        F.max("place").alias("last_word"),
         F.collect_set(F.when(F.col("phrase"), F.col("label"))).alias("base_labels"),
         F.collect_set("label").alias("labels"),
         F.max("containment").alias("score"),

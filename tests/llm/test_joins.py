@@ -137,6 +137,21 @@ def test_license_scan_equals_brute_force(spark):
     assert license_scan(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_license_notice_is_found_wherever_it_begins(spark):
+    notice = "released under y the mit z license"
+    apart = "redistribution and use in q q source and binary forms with q q or without q q modification"
+    apart += " are permitted provided that the q q following conditions q q are met"
+    texts = ["x " * i + t + " x" * after for t in (notice, apart) for i in range(49) for after in (0, 60)]
+    texts += ["released under a b c the d e mit f g license"]  # 12 words, two windows' worth
+    texts += ["license mit the released x x x x under", "license mit the released x x x x x x x under"]
+    got = {r["doc_id"]: r for r in license_scan(docs_of(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()}
+    for i, text in enumerate(texts[:-3]):
+        want = "mit" if notice in text else "bsd"
+        assert (got[i]["labels"], got[i]["score"]) == (want, 1.0), text
+    n = len(texts)
+    assert [got[i]["labels"] for i in range(n - 3, n)] == ["", "mit", ""]
+
+
 def test_fit_reaches_the_best_sum():
     rng = np.random.default_rng(2)
     for _ in range(40):
