@@ -1,10 +1,10 @@
 """Near-duplicates by consistent weighted sampling.
 
 Features of a text are its runs of five words, weighted by how often the text
-has them and by their inverse document frequency. Document frequencies are
-counted over all texts, by a hash of the run into a fixed number of buckets, so
-the table of weights has a fixed size. Improved consistent weighted sampling
-draws one feature per hash function with the chance that two texts draw the same
+has them and by their inverse document frequency: each run's own, counted over
+all different texts. Texts are dealt to groups and runs to ranges; a group sends
+its runs to their ranges in blocks, each range counts its runs and sends back
+those of several texts. Improved consistent weighted sampling draws one feature per hash function with the chance that two texts draw the same
 being their weighted Jaccard similarity. Draws are banded; texts that share a
 band are compared exactly, and those as similar as the threshold are linked.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -48,7 +49,6 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS = 16
 ROWS = 4
-WEIGHT_BUCKETS = 1 << 12
 DRAW_BUCKETS = 1 << 16
 SEED = 1
 SALTS = 16
@@ -56,6 +56,8 @@ PAIR_SALTS = 64
 LEADERS = 4
 ORDER_BUCKETS = 1 << 18
 FILTER_BITS = 24
+GROUP_BYTES = 4 << 20  # of text, per group of texts and per range of runs
+LEAST_GROUPS = 64
 _CHUNK = 1024  # features whose draws are held at once
 
 
@@ -93,45 +95,143 @@ def _runs(texts: pa.Array, width: int):
     return keys, features
 
 
-def _buckets(features: np.ndarray) -> np.ndarray:
-    return (features >> np.uint64(20)).astype(np.int64) % WEIGHT_BUCKETS
+def keyed_texts(docs: DataFrame, text: str, groups: int) -> DataFrame:
+    """(s, key, text) of the texts with words: ``s`` is the group that a text is
+    dealt to by its words. A task sends equal texts once."""
+
+    def key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for piece in slices(batches, text):
+            words = batch_words(piece.column(text))
+            rows, keys = [], []
+            for i in range(piece.num_rows):
+                own = words.hashes[words.offsets[i] : words.offsets[i + 1]]
+                if len(own) and (name := text_key(own)) not in seen:
+                    seen.add(name)
+                    rows.append(i)
+                    keys.append(name)
+            if rows:
+                at = [int.from_bytes(k[:8], "little") % groups for k in keys]
+                columns = [pa.array(at, pa.int32()), pa.array(keys, pa.binary())]
+                texts = piece.column(text).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*columns, texts], names=["s", "key", "text"])
+
+    return docs.select(quoted(text)).mapInArrow(key, "s int, key binary, text string")
+
+
+def _different(table: pa.Table, width: int):
+    """Keys and features of the different texts of a group, a slice at a time."""
+    seen: set[bytes] = set()
+    for piece in slices(table.to_batches(), "text"):
+        keys = piece.column("key").to_pylist()
+        rows = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
+        if rows:
+            texts = piece.column("text").take(pa.array(rows))
+            yield [keys[i] for i in rows], _runs(texts, width)[1]
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in column.to_pylist()]
+
+
+@dataclass(frozen=True)
+class Frequencies:
+    """``blocks``: (s, texts, features, n), for the texts of group ``s`` the runs
+    that several texts have, and in how many; all other runs are in one text.
+    ``texts`` is counted in one block of a group."""
+
+    blocks: DataFrame
+    groups: int
 
 
-def document_frequencies(docs: DataFrame, text: str, setting: Setting) -> tuple[np.ndarray, int]:
-    """How many texts have a feature in each bucket, and how many texts have
-    features. The table has ``WEIGHT_BUCKETS`` rows, whatever the input."""
+def document_frequencies(docs: DataFrame, text: str, setting: Setting) -> tuple[Frequencies, int]:
+    """How many different texts have each run, and how many texts have runs. A
+    group's runs are counted before they are sent, and nothing is held but one
+    group of texts or one range of runs."""
     width = setting.width
+    size = docs.agg(F.sum(F.octet_length(quoted(text)).cast("bigint"))).first()[0] or 0
+    groups = max(LEAST_GROUPS, size // GROUP_BYTES)
+
+    def send(table: pa.Table) -> pa.Table:
+        found, texts = [], 0
+        for keys, features in _different(table, width):
+            found += [own[0] for own in features]
+            texts += len(keys)
+        features, counts = np.unique(np.concatenate(found), return_counts=True)
+        ranges = ((features >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+        cuts = np.append(np.flatnonzero(np.diff(ranges, prepend=-1)), len(ranges))
+        pairs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        return pa.table(
+            {
+                "part": pa.array(ranges[cuts[:-1]], pa.int32()),
+                "s": pa.array([table.column("s")[0].as_py()] * len(pairs), pa.int32()),
+                "texts": pa.array([texts] + [0] * (len(pairs) - 1), pa.int64()),
+                "features": pa.array([features[a:b].tobytes() for a, b in pairs], pa.binary()),
+                "n": pa.array([counts[a:b].tobytes() for a, b in pairs], pa.binary()),
+            }
+        )
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, texts = np.zeros(WEIGHT_BUCKETS, np.int64), 0
-        for piece in slices(batches, text):
-            words = batch_words(piece.column(text))
-            found, offsets = shingles(words, width)
-            owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            pairs = np.unique(owner * WEIGHT_BUCKETS + _buckets(found))
-            totals += np.bincount(pairs % WEIGHT_BUCKETS, minlength=WEIGHT_BUCKETS)
-            texts += int((np.diff(offsets) > 0).sum())
-        some = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(some, -1), pa.int32()),
-                pa.array(np.append(totals[some], texts), pa.int64()),
-            ],
-            names=["bucket", "n"],
+    def count(table: pa.Table) -> pa.Table:
+        blocks, counts = _numbers(table.column("features"), np.uint64), _numbers(table.column("n"), np.int64)
+        features, place = np.unique(np.concatenate(blocks), return_inverse=True)
+        totals = np.zeros(len(features), np.int64)
+        np.add.at(totals, place, np.concatenate(counts))
+        own = np.split(totals[place], np.cumsum([len(b) for b in blocks])[:-1])
+        return pa.table(
+            {
+                "s": table.column("s"),
+                "texts": table.column("texts"),
+                "features": pa.array([b[n > 1].tobytes() for b, n in zip(blocks, own)], pa.binary()),
+                "n": pa.array([n[n > 1].tobytes() for n in own], pa.binary()),
+            }
         )
 
-    counts = docs.select(quoted(text)).mapInArrow(count, "bucket int, n bigint")
-    table = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
-    out = np.zeros(WEIGHT_BUCKETS, np.int64)
-    out[bucket[bucket >= 0]] = n[bucket >= 0]
-    return out, int(n[bucket < 0].sum())
+    fields = "s int, texts bigint, features binary, n binary"
+    sent = keyed_texts(docs, text, groups).groupBy("s").applyInArrow(send, f"part int, {fields}")
+    blocks = written(sent.groupBy("part").applyInArrow(count, fields), "frequencies")
+    return Frequencies(blocks, groups), blocks.agg(F.sum("texts")).first()[0] or 0
 
 
-def inverse_frequencies(counts: np.ndarray, texts: int) -> np.ndarray:
+def idf(counts: np.ndarray, texts: int) -> np.ndarray:
     return 1.0 + np.log((1.0 + texts) / (1.0 + counts))
 
 
+def _frequencies_of(features: np.ndarray, known: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Document frequencies of features; those not among the known (sorted) are in one text."""
+    if not len(known):
+        return np.ones(len(features), np.int64)
+    at = np.minimum(np.searchsorted(known, features), len(known) - 1)
+    return np.where(known[at] == features, n[at], 1)
+
+
+def _known(features: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not features:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    known, first = np.unique(np.concatenate(features), return_index=True)
+    return known, np.concatenate(n)[first]
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Inverse document frequencies. Operators join the blocks to the texts;
+    ``of`` collects them, for comparisons on a small corpus."""
+
+    counts: Frequencies
+    texts: int
+
+    @cached_property
+    def _collected(self) -> tuple[np.ndarray, np.ndarray]:
+        table = self.counts.blocks.select("features", "n").toArrow()
+        return _known(_numbers(table.column("features"), np.uint64), _numbers(table.column("n"), np.int64))
+
+    def of(self, features: np.ndarray) -> np.ndarray:
+        return idf(_frequencies_of(features, *self._collected), self.texts)
+
+
+def inverse_frequencies(counts: Frequencies, texts: int) -> Weights:
+    return Weights(counts, texts)
+
+
 @dataclass
 class Draws:
     """What consistent weighted sampling draws per feature and hash function:
@@ -173,6 +273,12 @@ class Draws:
         return out
 
 
+@lru_cache(maxsize=1)
+def _draws(functions: int, seed: int) -> Draws:
+    """The table, once for all groups of a worker."""
+    return Draws.table(functions, seed)
+
+
 def band_hashes(draws: np.ndarray, setting: Setting) -> list[int]:
     parts = draws.reshape(setting.bands, setting.rows)
     out = np.arange(1, setting.bands + 1, dtype=np.uint64)
@@ -181,44 +287,52 @@ def band_hashes(draws: np.ndarray, setting: Setting) -> list[int]:
     return out.astype(np.int64).tolist()
 
 
-def signatures(docs: DataFrame, weights: np.ndarray, text: str, setting: Setting) -> DataFrame:
-    """``docs`` with ``_key`` (16 bytes that stand for the text's words in
-    order, null without words) and ``_bands``; the text itself is dropped."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
-    kept = [c for c in docs.columns if c != text]
+def signatures(docs: DataFrame, weights: Weights, text: str, setting: Setting) -> DataFrame:
+    """(key, bands, df) of the different texts with words: ``key`` is 16 bytes
+    that stand for the words in their order, ``df`` has the document frequencies
+    of the text's features, in order of the features, as 64-bit integers."""
+    texts, functions = weights.texts, setting.bands * setting.rows
 
-    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_weight = np.log(shared.value)
-        draws = Draws.table(setting.bands * setting.rows, setting.seed)
-        for piece in slices(batches, text):
-            keys, features = _runs(piece.column(text), setting.width)
-            bands: list[list[int] | None] = []
+    def sign(group: pa.Table, blocks: pa.Table) -> pa.Table:
+        draws = _draws(functions, setting.seed)
+        known = _known(_numbers(blocks.column("features"), np.uint64), _numbers(blocks.column("n"), np.int64))
+        names, bands, frequencies = [], [], []
+        for keys, features in _different(group, setting.width):
+            names += keys
             for own in features:
-                if own is None:
-                    bands.append(None)
-                    continue
-                logs = log_weight[_buckets(own[0])] + np.log(own[1]).astype(np.float32)
+                n = _frequencies_of(own[0], *known)
+                logs = np.log(own[1] * idf(n, texts)).astype(np.float32)
                 bands.append(band_hashes(draws.sample(own[0], logs), setting))
-            yield extended(
-                piece.select(kept),
-                _key=pa.array(keys, pa.binary()),
-                _bands=pa.array(bands, pa.list_(pa.int64())),
-            )
+                frequencies.append(n.tobytes())
+        return pa.table(
+            {
+                "key": pa.array(names, pa.binary()),
+                "bands": pa.array(bands, pa.list_(pa.int64())),
+                "df": pa.array(frequencies, pa.binary()),
+            }
+        )
 
-    fields = with_fields(docs.select(*map(quoted, kept)), "_key binary, _bands array<bigint>")
-    return docs.mapInArrow(sign, fields)
+    group = keyed_texts(docs, text, weights.counts.groups).groupBy("s")
+    both = group.cogroup(weights.counts.blocks.groupBy("s"))
+    return both.applyInArrow(sign, "key binary, bands array<bigint>, df binary")
 
 
-def weighted_jaccard(a, b, weights: np.ndarray) -> float:
+def similarity(a, weights_a: np.ndarray, b, weights_b: np.ndarray) -> float:
     """Sum of the smaller over sum of the larger weights of two texts' features."""
-    features, place = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    features, first, place = np.unique(
+        np.concatenate([a[0], b[0]]), return_index=True, return_inverse=True
+    )
     counts = np.zeros((2, len(features)))
     counts[0, place[: len(a[0])]] = a[1]
     counts[1, place[len(a[0]) :]] = b[1]
-    w = weights[_buckets(features)].astype(np.float64)
+    w = np.concatenate([weights_a, weights_b])[first]
     return float((counts.min(axis=0) * w).sum() / (counts.max(axis=0) * w).sum())
 
 
+def weighted_jaccard(a, b, weights: Weights) -> float:
+    return similarity(a, weights.of(a[0]), b, weights.of(b[0]))
+
+
 def members_of_buckets(texts: DataFrame) -> DataFrame:
     """(bucket, key, mass) for every band bucket that two texts or more share;
     ``mass`` is the size of all buckets that the text is in."""
@@ -271,31 +385,36 @@ def candidate_texts(docs: DataFrame, live: DataFrame, text: str, setting: Settin
     return first.join(keys, "key")
 
 
+def _weights_in(df: pa.Scalar, texts: int) -> np.ndarray:
+    return idf(np.frombuffer(df.as_py(), np.int64), texts)
+
+
 def verified(
-    pairs: DataFrame, texts: DataFrame, weights: np.ndarray, setting: Setting
+    pairs: DataFrame, texts: DataFrame, n: int, setting: Setting
 ) -> DataFrame:
     """The pairs (a, c) whose texts are similar enough. A leader's text is sent
     once per share of its pairs, not once per pair."""
-    shared = pairs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("c"), F.lit(PAIR_SALTS)))
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("key").alias("c"), F.col("text").alias("text_c"))
+    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.col("df").alias("df_a"))
+    right = texts.select(F.col("key").alias("c"), F.col("text").alias("text_c"), F.col("df").alias("df_c"))
     leaders = dealt.select("a", "salt").distinct().join(left, "a")
-    both = dealt.join(right, "c").join(leaders, ["a", "salt"]).select("a", "c", "text_a", "text_c")
+    both = dealt.join(right, "c").join(leaders, ["a", "salt"])
+    both = both.select("a", "c", "text_a", "df_a", "text_c", "df_c")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
         for batch in batches:
             for piece in slices(slices([batch], "text_a"), "text_c"):
                 # Rows of a leader stand together, so its features are kept.
-                (_, right_runs), known = _runs(piece.column("text_c"), setting.width), (None, None)
+                (_, right_runs), known = _runs(piece.column("text_c"), setting.width), (None, None, None)
                 similar = []
                 for i in range(piece.num_rows):
                     a = piece.column("a")[i]
                     if known[0] != a:
-                        known = (a, _runs(piece.column("text_a").slice(i, 1), setting.width)[1][0])
+                        runs = _runs(piece.column("text_a").slice(i, 1), setting.width)[1][0]
+                        known = (a, runs, _weights_in(piece.column("df_a")[i], n))
+                    own = _weights_in(piece.column("df_c")[i], n)
                     similar.append(
-                        weighted_jaccard(known[1], right_runs[i], w) >= setting.threshold
+                        similarity(known[1], known[2], right_runs[i], own) >= setting.threshold
                     )
                 yield piece.select(["a", "c"]).filter(pa.array(similar, pa.bool_()))
 
@@ -348,9 +467,9 @@ def order_counts(texts: DataFrame, setting: Setting) -> np.ndarray:
 
 
 def pairs_by_prefix(
-    texts: DataFrame, weights: np.ndarray, setting: Setting
+    texts: DataFrame, n: int, setting: Setting
 ) -> DataFrame:
-    """(a, c): all pairs of different classes in ``texts`` (key, class, text)
+    """(a, c): all pairs of different classes in ``texts`` (key, class, text, df)
     that can reach the threshold.
 
     With all features in one order, rarest first, two similar texts share a
@@ -359,16 +478,16 @@ def pairs_by_prefix(
     what the threshold asks of their overlap; copies of one text, which share
     their common features late, mostly do not.
     """
-    tables = texts.sparkSession.sparkContext.broadcast((weights, order_counts(texts, setting)))
+    tables = texts.sparkSession.sparkContext.broadcast(order_counts(texts, setting))
 
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, counts = tables.value
+        counts = tables.value
         for piece in slices(batches, "text"):
             place, features, rests, totals = [], [], [], []
             for i, own in enumerate(_runs(piece.column("text"), setting.width)[1]):
                 found, times = own
                 rank = np.lexsort((found, counts[(found % np.uint64(ORDER_BUCKETS)).astype(np.int64)]))
-                weight = (times * w[_buckets(found)])[rank]
+                weight = (times * _weights_in(piece.column("df")[i], n))[rank]
                 left = weight.sum() - np.cumsum(weight)
                 # The feature after which too little is left is the last of the prefix.
                 last = int(np.argmax(left < (setting.threshold - 1e-6) * weight.sum()))
@@ -406,20 +525,20 @@ def pairs_by_prefix(
 
 
 def links_and_classes(
-    live: DataFrame, texts: DataFrame, weights: np.ndarray, setting: Setting
+    live: DataFrame, texts: DataFrame, n: int, setting: Setting
 ) -> tuple[DataFrame, DataFrame]:
     """(a, c) links, and (key, class) of the linked texts."""
     none = live.sparkSession.createDataFrame([], "key binary, class binary")
     pairs = written(pairs_with_leaders(live), "pairs")
-    links = written(verified(pairs, texts, weights, setting), "links")
+    links = written(verified(pairs, texts, n, setting), "links")
     classes = merged(none, links)
     rest = open_members(live, classes).select("key", "class").distinct()
     rest = written(rest.join(texts, "key"), "rest")
     # Pairs with a leader have been compared already.
-    more = pairs_by_prefix(rest, weights, setting)
+    more = pairs_by_prefix(rest, n, setting)
     both_ways = pairs.unionByName(pairs.select(F.col("c").alias("a"), F.col("a").alias("c")))
     more = written(more.join(both_ways, ["a", "c"], "left_anti"), "pairs")
-    new = written(verified(more, texts, weights, setting), "links")
+    new = written(verified(more, texts, n, setting), "links")
     return links.unionByName(new), classes if new.isEmpty() else merged(classes, new)
 
 
@@ -448,27 +567,38 @@ class Classes:
     several: DataFrame
 
 
+def row_keys(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with ``key``, null without words, in place of the text."""
+    kept = [c for c in docs.columns if c != text]
+
+    def key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, text):
+            words = batch_words(piece.column(text))
+            parts = (words.hashes[a:b] for a, b in zip(words.offsets[:-1], words.offsets[1:]))
+            keys = [text_key(own) if len(own) else None for own in parts]
+            yield extended(piece.select(kept), key=pa.array(keys, pa.binary()))
+
+    return docs.mapInArrow(key, with_fields(docs.select(*map(quoted, kept)), "key binary"))
+
+
 def text_classes(
     docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text"
 ) -> Classes:
     light = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    counts, n = document_frequencies(light, "text", setting)
-    weights = inverse_frequencies(counts, n)
-    signed = signatures(light, weights, "text", setting)
-    signed = written(signed.withColumnsRenamed({"_key": "key", "_bands": "bands"}), "signed")
+    rows = written(row_keys(light, "text"), "rows")
     texts = (
-        signed.where("key IS NOT NULL")
+        rows.where("key IS NOT NULL")
         .groupBy("key")
-        .agg(
-            F.min("doc_id").alias("first_id"),
-            F.count("*").alias("n_copies"),
-            F.max("bands").alias("bands"),
-        )
+        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
     )
     texts = written(texts, "texts")
-    live = written(members_of_buckets(texts), "live")
-    bodies = written(candidate_texts(light, live, "text", setting), "bodies")
-    links, classes = links_and_classes(live, bodies, weights, setting)
+    counts, n = document_frequencies(light, "text", setting)
+    weights = inverse_frequencies(counts, n)
+    signed = written(signatures(light, weights, "text", setting), "signed")
+    live = written(members_of_buckets(signed), "live")
+    bodies = candidate_texts(light, live, "text", setting).join(signed.select("key", "df"), "key")
+    bodies = written(bodies, "bodies")
+    links, classes = links_and_classes(live, bodies, n, setting)
 
     ends = links.select(F.explode(F.array("a", "c")).alias("key"))
     per_text = (
@@ -488,7 +618,7 @@ def text_classes(
         "n_links",
         "n_copies",
     )
-    return Classes(signed.select("doc_id", F.hex("key").alias("key")), several)
+    return Classes(rows.select("doc_id", F.hex("key").alias("key")), several)
 
 
 def near_duplicates(

@@ -74,6 +74,47 @@ def test_near_duplicates_equal_brute_force(spark):
     assert N.keepers(docs.limit(0)).count() == 0
 
 
+def test_weights_are_the_runs_own_frequencies(spark):
+    # A third of the rows are copies of one text at plain similarity 0.8 to 0.86.
+    rng = random.Random(8)
+    base = ["b%d" % i for i in range(200)]
+    plain = [base]
+    for _ in range(39):
+        copy = list(base)
+        for at in rng.sample(range(5, 195, 10), 4):
+            copy[at] = "e%d" % rng.randrange(10**9)
+        plain.append(copy)
+    alone = [["u%d" % rng.randrange(10**9) for _ in range(100)] for _ in range(78)]
+    # Elsewhere a pair of texts: the same edits of runs that only two texts have.
+    alone += [alone[0][:50] + ["x"] + alone[0][51:], alone[0][:10] + ["y"] + alone[0][11:]]
+    rows = [(i, " ".join(t), "s") for i, t in enumerate([*plain, *alone])]
+    docs = docs_of(spark, [*rows, (900, rows[0][1], "s")])  # an exact copy counts once
+    runs = [[tuple(t[1].split()[i : i + 5]) for i in range(len(t[1].split()) - 4)] for t in rows]
+    df = {}
+    for own in runs:
+        for run in set(own):
+            df[run] = df.get(run, 0) + 1
+    idf = {run: 1 + np.log((1 + len(rows)) / (1 + k)) for run, k in df.items()}
+    counts, n = N.document_frequencies(docs, "text", N.Setting())
+    weights = N.inverse_frequencies(counts, n)
+    assert n == len(rows)
+    features = N._runs(pa.array([r[1] for r in rows], pa.string()), 5)[1]
+    root = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        x, y = set(runs[a]), set(runs[b])
+        want = sum(idf[r] for r in x & y) / sum(idf[r] for r in x | y)
+        if a == 0 and b < 40:
+            assert 0.8 <= len(x & y) / len(x | y) <= 0.86 and want < 0.8
+        if (a < 40 and b < 40) or (a == 40 and b > 117):
+            assert N.weighted_jaccard(features[a], features[b], weights) == pytest.approx(want)
+        if want >= 0.8:
+            old, new = sorted((root[a], root[b]), reverse=True)
+            root = [new if c == old else c for c in root]
+    got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs).collect()}
+    assert got == {**dict(enumerate(root)), 900: 0}
+    assert got[118] == got[119] == 40
+
+
 def test_draws_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(0)
     features = rng.integers(0, 2**63, 400).astype(np.uint64)
