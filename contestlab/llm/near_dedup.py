@@ -560,7 +560,7 @@ def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Classes:
     """``rows``: (doc_id, key) of all rows; ``several``: (key, class_id, kept,
-    n_links, n_copies) of the texts with links or copies, where ``kept`` is the
+    links_checked, n_copies) of the texts with links or copies, where ``kept`` is the
     key that the class keeps."""
 
     rows: DataFrame
@@ -604,8 +604,8 @@ def text_classes(
     per_text = (
         texts.select("key", "first_id", "n_copies")
         .join(classes, "key", "left")
-        .join(ends.groupBy("key").agg(F.count("*").alias("n_links")), "key", "left")
-        .where("n_links > 0 OR n_copies > 1")
+        .join(ends.groupBy("key").agg(F.count("*").alias("links_checked")), "key", "left")
+        .where("links_checked > 0 OR n_copies > 1")
         .withColumn("class", F.coalesce("class", "key"))
     )
     # A null id is after all others.
@@ -615,7 +615,7 @@ def text_classes(
         F.hex("key").alias("key"),
         F.col("least.first_id").alias("class_id"),
         F.hex("least.key").alias("kept"),
-        "n_links",
+        "links_checked",
         "n_copies",
     )
     return Classes(rows.select("doc_id", F.hex("key").alias("key")), several)
@@ -624,24 +624,26 @@ def text_classes(
 def near_duplicates(
     docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, key, class_id, n_links, n_copies): one row per row of ``docs``.
+    """(doc_id, key, class_id, links_checked, n_copies): one row per row of ``docs``.
 
     ``key`` stands for the text's words, ``class_id`` is the smallest id of the
-    class, ``n_links`` the number of different texts found similar to this one,
-    ``n_copies`` the number of rows with exactly its words. Null and empty texts,
+    class, ``links_checked`` the links of this text that were compared and found
+    similar while classes were built: no more than the different texts similar to
+    it, and fewer in a large class, where a few links make the class whole.
+    ``n_copies`` is the number of rows with exactly its words. Null and empty texts,
     and texts without words, are each a class of their own, with null key. A
     text of fewer than ``width`` words has one feature, all its words. A null id
     is never the smallest unless a class has no other. Repeated rows are copies.
     No rows give no rows. Other columns are ignored.
     """
     found = text_classes(docs, setting, doc_id, text)
-    values = ("class_id", "n_links", "n_copies")
+    values = ("class_id", "links_checked", "n_copies")
     out = attach(found.rows, Lookup(found.several, {"key": "key"}, {c: c for c in values}))
     return out.select(
         "doc_id",
         "key",
         F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("links_checked", F.lit(0)).cast("bigint").alias("links_checked"),
         F.coalesce("n_copies", F.lit(1)).cast("bigint").alias("n_copies"),
     )
 
@@ -677,4 +679,4 @@ def keepers(
 @registered("op1_near_dedup")
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", "class_id", "n_links", "n_copies")
+    return out.select("doc_id", "class_id", "links_checked", "n_copies")

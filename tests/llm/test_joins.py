@@ -115,6 +115,17 @@ def test_weights_are_the_runs_own_frequencies(spark):
     assert got[118] == got[119] == 40
 
 
+def test_links_of_a_large_class_are_named_as_those_checked(spark):
+    base = ["b%d" % i for i in range(300)]
+    copies = [base[:i] + ["e%d" % i] + base[i + 1 :] for i in range(0, 300, 3)]
+    found = N.near_duplicates(docs_of(spark, [(i, " ".join(t), "s") for i, t in enumerate(copies)]))
+    assert "n_links" not in found.columns
+    rows = found.collect()
+    assert {r["class_id"] for r in rows} == {0} and len(rows) == 100
+    assert all(1 <= r["links_checked"] <= 99 for r in rows)
+    assert min(r["links_checked"] for r in rows) < 99  # the classes need no more
+
+
 def test_draws_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(0)
     features = rng.integers(0, 2**63, 400).astype(np.uint64)
