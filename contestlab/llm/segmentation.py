@@ -44,7 +44,6 @@ LATTICE_BYTES = 1 << 16
 RANK_SHIFT = 10.0
 MARK = "▁"
 _SLOT_BITS = 20
-ATTEMPTS = 200
 LEAST = 1e-5  # probabilities of a unit's paths add up to one but for about this
 
 
@@ -263,6 +262,63 @@ class Lattice:
         return Paths(offsets, at, length, piece, log_prob)
 
     def differing(
+        self, units: np.ndarray, paths: list[list[tuple]], seeds: np.ndarray
+    ) -> list[tuple | None]:
+        """For each unit a path that is none of its given ones, by its probability
+        among all others; None where there is no other."""
+        several = [i for i, own in enumerate(paths) if len(own) > 1]
+        single = [i for i, own in enumerate(paths) if len(own) == 1]
+        out: list[tuple | None] = [None] * len(paths)
+        if single:
+            found = self.differing_from_one(units[single], [paths[i][0] for i in single], seeds[single])
+            for i, arcs in zip(single, found):
+                if np.array_equal(arcs[1], paths[i][0][1]):  # rounding, or no other path
+                    several.append(i)
+                else:
+                    out[i] = arcs
+        for i in several:
+            out[i] = self.differing_from_all(units[i : i + 1], paths[i], seeds[i : i + 1])
+        return out
+
+    def differing_from_all(self, unit: np.ndarray, paths: list[tuple], seed: np.ndarray) -> tuple | None:
+        """A path of one unit that is none of several: by the arcs at which it may
+        leave all of them, which are those out of the nodes of their prefix tree
+        that none of them takes. Their masses are sums of what is left, not
+        differences, so a small mass is as exact as a large one."""
+        start = int(self.starts[unit[0]])
+        leaves: dict[tuple, np.ndarray] = {}
+        before: dict[tuple, float] = {}
+        for at, length, _, _ in paths:
+            log_prob, prefix = 0.0, ()
+            for node, step in zip((at + start).tolist(), length.tolist()):
+                if prefix not in leaves:
+                    leaves[prefix] = np.exp(self.log_prob[node].astype(np.float64))
+                    before[prefix] = log_prob
+                leaves[prefix][step - 1] = 0
+                log_prob += float(self.log_prob[node, step - 1])
+                prefix = (*prefix, step)
+        names = list(leaves)
+        mass = np.concatenate([np.exp(before[name]) * leaves[name] for name in names])
+        run = np.cumsum(mass)
+        if not run[-1] > 0:
+            return None
+        at = int(np.searchsorted(run, float(uniform(mix(seed + np.uint64(1)))[0]) * run[-1], "right"))
+        at = min(at, int(np.flatnonzero(mass)[-1]))
+        width = self.log_prob.shape[1]
+        prefix, column = names[at // width], at % width
+        length = np.array([*prefix, column + 1], np.int16)
+        place = np.concatenate([[0], np.cumsum(length[:-1], dtype=np.int64)]).astype(np.int64)
+        end = start + int(place[-1]) + column + 1
+        free = self.sample(unit, seed + np.uint64(3), np.array([end]))
+        log_prob = before[prefix] + float(self.log_prob[start + place[-1], column])
+        return (
+            np.concatenate([place, free.at]),
+            np.concatenate([length, free.length]),
+            np.concatenate([self.piece[start + place, length - 1], free.piece]),
+            log_prob + float(free.log_prob[0]),
+        )
+
+    def differing_from_one(
         self, units: np.ndarray, paths: list[tuple], seeds: np.ndarray
     ) -> list[tuple]:
         """For each unit a path that is not its given one, by its probability
@@ -421,31 +477,24 @@ class Sampler:
     def branch(self, popped: list[tuple], sample: int, data, starts, ends, row_seeds) -> list:
         """Complete the best path of every popped set: a unit that differs from
         all paths gone before, then the sample's own draws. Returns the searches
-        whose set was found empty."""
+        whose set has no other path."""
         units = np.array([s.base + unit for s, _, _, unit in popped])
         lengths = ends[units] - starts[units]
         lattice = Lattice(self.vocabulary, *gathered(data, starts[units], lengths))
         seeds = mix(row_seeds[[s.i for s, *_ in popped]] + np.uint64(sample << 40))
         gone = [s.gone(parent, unit) for s, _, parent, unit in popped]
-        waiting = np.arange(len(popped))
-        for attempt in range(ATTEMPTS):
-            found = lattice.differing(
-                waiting, [gone[w][0] for w in waiting], mix(seeds[waiting] + np.uint64(attempt << 8))
-            )
-            again = []
-            for w, arcs in zip(waiting.tolist(), found):
-                if any(np.array_equal(arcs[1], g[1]) for g in gone[w]):
-                    again.append(w)
-                    continue
-                search, value, parent, unit = popped[w]
-                ids, _ = self.ids(arcs[0] + starts[units[w]], arcs[1], arcs[2], data)
-                own = data[starts[units[w]] : ends[units[w]]]
-                right = np.array_equal(self.vocabulary.spelled(ids), own)
-                search.add(value, parent, unit, arcs, ids, right, gone[w], sample)
-            waiting = np.array(again, np.int64)
-            if not len(waiting):
-                break
-        return [popped[w][0] for w in waiting]
+        found = lattice.differing(np.arange(len(popped)), gone, mix(seeds))
+        empty = []
+        for w, arcs in enumerate(found):
+            search, value, parent, unit = popped[w]
+            if arcs is None:
+                empty.append(search)
+                continue
+            ids, _ = self.ids(arcs[0] + starts[units[w]], arcs[1], arcs[2], data)
+            own = data[starts[units[w]] : ends[units[w]]]
+            right = np.array_equal(self.vocabulary.spelled(ids), own)
+            search.add(value, parent, unit, arcs, ids, right, gone[w], sample)
+        return empty
 
 
 def left_over(log_prob: np.ndarray) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Token counts, classifiers and segmentations against plain versions."""
 
+import dataclasses
 import itertools
 import math
 import re
@@ -171,6 +172,24 @@ def test_samples_follow_the_exact_probabilities(vocabulary):
     assert np.mean(sums) == pytest.approx(1, abs=0.05)
 
 
+def test_unlikely_rest_is_drawn_when_likely_paths_are_gone(vocabulary):
+    weights = np.full(len(vocabulary.weights), -30, np.float32)
+    spell = {vocabulary.decoded[vocabulary.starts[i] : vocabulary.starts[i + 1]].tobytes(): k
+             for k, i in enumerate(vocabulary.ids)}
+    chances = {b" the": 0.5, b" t": 0.499, b" th": 0.0007, b" ": 0.0003, b"he": 1, b"e": 1, b"the": 1}
+    for piece, p in chances.items():
+        weights[spell[piece]] = math.log(p)
+    changed = dataclasses.replace(vocabulary, weights=weights)
+    n, third = 600, {}
+    for samples in Sampler(changed, 3, 1).run(["the"] * n, list(range(n))):
+        paths = [changed.decode(s[0][:1]) for s in samples]
+        assert len(set(paths)) == 3
+        if {b"the", b"t"} == set(paths[:2]):
+            third[paths[2]] = third.get(paths[2], 0) + 1
+    assert set(third) == {b"th", b""} and sum(third.values()) > 0.97 * n
+    assert abs(third[b"th"] / sum(third.values()) - 0.7) < 0.07
+
+
 def test_encodings_decode_to_the_texts(spark):
     model = vocabulary_path("piece_bpe_32k.model")
     docs = docs_of(spark, ODD)
