@@ -327,3 +327,17 @@ def test_escapes_are_reversible(spark):
     for r in rows.collect():
         assert r["b"] == r["t"] and "<|" not in r["e"]
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_texts_of_one_template_do_not_all_meet(spark):
+    # A third of the texts share 85 % of their words; they are too unlike to be linked.
+    template = ["t%d" % i for i in range(170)]
+    words = [[*template, *["u%d_%d" % (i, k) for k in range(30)]] for i in range(60)]
+    words += [["v%d_%d" % (i, k) for k in range(200)] for i in range(120)]
+    docs = docs_of(spark, [(i, " ".join(w), "s") for i, w in enumerate(words)])
+    counts, n = N.document_frequencies(docs, "text", N.Setting())
+    signed = N.signatures(docs, N.inverse_frequencies(counts, n), "text", N.Setting())
+    keyed = N.row_keys(docs.select("doc_id", "text"), "text").join(docs.select("doc_id", "text"), "doc_id")
+    texts = keyed.join(signed.select("key", "df"), "key").withColumn("class", F.col("key"))
+    assert N.pairs_by_prefix(texts.select("key", "class", "text", "df"), n, N.Setting()).count() == 0
+    assert N.near_duplicates(docs).select("class_id").distinct().count() == len(words)
