@@ -50,7 +50,8 @@ def _template(label: str, text: str, phrase: bool = False) -> Template:
     return Template(label, tuple(text.split()), phrase)
 
 
-# The phrases to find, and openings of widely used licenses.
+# The phrases to find, and openings and main paragraphs of widely
+# used licenses, so a file whose opening is cut off or reworded has a label too.
 PHRASES = (
     _template("mit", "mit license", True),
     _template("apache", "apache license", True),
@@ -68,6 +69,22 @@ NOTICES = (
     _template("bsd", "redistribution and use in source and binary forms with or without"
               " modification are permitted provided that the following conditions are met"),
     _template("cc-by-nc", "licensed under cc by nc 4 0"),
+    _template("mit", "to deal in the software without restriction including without limitation the"
+              " rights to use copy modify merge publish distribute sublicense and or sell copies of"
+              " the software and to permit persons to whom the software is furnished to do so"),
+    _template("mit", "the above copyright notice and this permission notice shall be included in all"
+              " copies or substantial portions of the software"),
+    _template("apache", "unless required by applicable law or agreed to in writing software"
+              " distributed under the license is distributed on an as is basis without warranties"
+              " or conditions of any kind either express or implied"),
+    _template("gpl", "this program is distributed in the hope that it will be useful but without any"
+              " warranty without even the implied warranty of merchantability or fitness for a"
+              " particular purpose see the gnu general public license for more details"),
+    _template("bsd", "redistributions of source code must retain the above copyright notice this"
+              " list of conditions and the following disclaimer"),
+    _template("bsd", "redistributions in binary form must reproduce the above copyright notice this"
+              " list of conditions and the following disclaimer in the documentation and or other"
+              " materials provided with the distribution"),
 )
 
 

@@ -204,6 +204,24 @@ def test_license_notice_is_found_wherever_it_begins(spark):
     assert [got[i]["labels"] for i in range(n - 3, n)] == ["", "mit", ""]
 
 
+def test_license_bodies_are_found_without_their_openings(spark):
+    bodies = {
+        "mit": "The above copyright notice and this permission notice shall be included in all copies"
+        " or substantial portions of the Software.",
+        "apache": "Unless required by applicable law or agreed to in writing, software distributed"
+        ' under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF'
+        " ANY KIND, either express or implied.",
+        "gpl": "This program is distributed in the hope that it will be useful, but WITHOUT ANY"
+        " WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR"
+        " PURPOSE. See the GNU General Public License for more details.",
+        "bsd": "Redistributions of source code must retain the above copyright notice, this list of"
+        " conditions and the following disclaimer.",
+    }
+    rows = [(i, f"some words {t} more", None) for i, t in enumerate(bodies.values())]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan(docs_of(spark, rows)).collect()}
+    assert got == {i: (label, 1.0) for i, label in enumerate(bodies)}
+
+
 def test_fit_reaches_the_best_sum():
     rng = np.random.default_rng(2)
     for _ in range(40):
