@@ -267,7 +267,7 @@ def whitened(
     Null and empty vectors and those with a null or non-finite entry are left
     out; rows with a null or repeated id are kept. Vectors of several lengths are
     whitened by length: each has its own centre, components and ``n``. There are
-    no more components than the covariance has rank, so one vector, or equal
+    no more components than the covariance has rank, up to rounding: one vector, or equal
     ones, give no rows, as does an empty table. Other columns are ignored. A
     deviation of more than 38 digits is null. Entries of 2^56 or more count as
     the largest that a whole number holds.
