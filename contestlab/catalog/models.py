@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contestlab.catalog import fixtures as fx
-from contestlab.catalog.rates import smart_table
+from contestlab.catalog.rates import MATCHUP_TABLES, MATCHUPS, smart_table
 from contestlab.catalog.registry import registered
 from contestlab.catalog.twins import train_bucket, twin
 from contestlab.constants import FIELD_THRESHOLD
@@ -20,7 +20,7 @@ from contestlab.functions.split import in_training, split_bucket
 from contestlab.operators import metrics
 from contestlab.operators.attach import measured
 from contestlab.operators.place import current_homes, with_neutral_flag
-from contestlab.plans import models, recommend
+from contestlab.plans import models, recommend, tables
 from contestlab.plans.features import (
     AVERAGES,
     RATES,
@@ -200,7 +200,7 @@ def assembled_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature vectors of both splits, one column per slot."""
     prepared = models.prepare(_split_features(spark, sf_dir))
     indexes = [models.indexed_name(c) for c in categorical()]
-    rows = prepared.train.unionByName(prepared.test).withColumn("v", vector_to_array("features"))
+    rows = prepared.vectors.withColumn("v", vector_to_array("features"))
     slots = [
         F.get("v", F.lit(i)).alias(n) for i, n in enumerate([*indexes, *AVERAGES, *RATES])
     ]
@@ -315,8 +315,8 @@ def precision_recall_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def auc_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    area = metrics.area_under_roc(_scored(spark, sf_dir))
-    return spark.createDataFrame([(round(area, 6),)], "auc double")
+    areas = metrics.areas_under_roc(_scored(spark, sf_dir))
+    return areas.select(F.round("auc", 6).alias("auc"))
 
 
 @registered(
@@ -372,13 +372,17 @@ def _has_learned(model: Model, train: DataFrame) -> Column:
 def _largest_gradient(scored: DataFrame, weights: Sequence[float] | None = None) -> float:
     """The largest derivative of the mean log loss by the intercept and by the
     weights of the standardised features; ``weights`` adds a penalty's."""
-    error = (_won() - F.col("label")).alias("error")
-    slots = scored.select(error, F.posexplode(vector_to_array("features")).alias("slot", "x"))
-    pull = F.try_divide(F.covar_pop("x", "error"), F.stddev_pop("x"))
-    if weights is not None:
-        pull = pull + F.get(F.array(*map(F.lit, weights)), F.col("slot"))
-    per_slot = slots.groupBy("slot").agg(pull.alias("pull"), F.avg("error").alias("level"))
-    return per_slot.agg(F.greatest(F.max(F.abs("pull")), F.max(F.abs("level")))).first()[0]
+    slots = len(scored.first()["features"])
+    rows = scored.select(
+        (_won() - F.col("label")).alias("error"), vector_to_array("features").alias("x")
+    )
+    pulls = [
+        F.try_divide(F.covar_pop(F.get("x", F.lit(i)), "error"), F.stddev_pop(F.get("x", F.lit(i))))
+        + F.lit(0.0 if weights is None else weights[i])
+        for i in range(slots)
+    ]
+    found = rows.agg(F.avg("error"), *pulls).first()
+    return max(abs(v) for v in found if v is not None)
 
 
 @registered(_test_twin("is_leaf_share"))
@@ -392,23 +396,37 @@ def model_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("match_id", "label", holds.alias("is_leaf_share"))
 
 
-@registered()
+def _same(p: str) -> Column:
+    """Is the model's probability the one computed from its tables?"""
+    return F.abs(F.col("won") - F.col(p)) < 1e-9
+
+
+def _test_rows(model: Model, prepared: models.Prepared) -> DataFrame:
+    scored = model.transform(prepared.test)
+    return scored.select("match_id", "label", "features", _won().alias("won"), _predicts_larger().alias("larger"))
+
+
+_KEYS = ["match_id", "label", "won", "larger"]
+
+
+@registered(_test_twin("is_mean_of_leaves"))
 def model_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test contests scored by the forest."""
+    """Is the probability the mean of the leaves that the table of nodes leads to?"""
     prepared, model = _fitted(spark, sf_dir, "random_forest")
-    return models.score_models(prepared.test, {"random_forest": model}, ["match_id", "label"])
+    found = tables.forest_probability(_test_rows(model, prepared), model, _KEYS)
+    holds = (_same("from_nodes") & F.col("larger")).alias("is_mean_of_leaves")
+    return found.select("match_id", "label", holds)
 
 
 @registered(_test_twin("is_logistic_of_margin"))
 def model_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Is the probability that of the boosted margin, and has the model learned?"""
+    """Is the probability that of the margin summed over the table of nodes, and has
+    the model learned?"""
     prepared, model = _fitted(spark, sf_dir, "gbt")
-    margin = F.get(vector_to_array("rawPrediction"), F.lit(1))
-    holds = (F.abs(_won() - 1 / (1 + F.exp(-2 * margin))) < 1e-9) & _predicts_larger()
-    holds = holds & _has_learned(model, prepared.train)
-    return model.transform(prepared.test).select(
-        "match_id", "label", holds.alias("is_logistic_of_margin")
-    )
+    found = tables.boosted_margin(_test_rows(model, prepared), model, _KEYS, "margin")
+    p = found.withColumn("from_nodes", tables.logistic(2 * F.col("margin")))
+    holds = _same("from_nodes") & F.col("larger") & _has_learned(model, prepared.train)
+    return p.select("match_id", "label", holds.alias("is_logistic_of_margin"))
 
 
 @registered(_test_twin("is_optimal"))
@@ -422,25 +440,83 @@ def model_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(_test_twin("is_consistent"))
 def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Do probabilities sum to one and say the prediction, and has the model learned?"""
+    """Is the probability that of the table of weights, and has the model learned?"""
     prepared, model = _fitted(spark, sf_dir, "perceptron")
-    total = F.get(vector_to_array("probability"), F.lit(0)) + _won()
-    holds = (F.abs(total - 1) < 1e-9) & _predicts_larger() & _has_learned(model, prepared.train)
-    return model.transform(prepared.test).select("match_id", "label", holds.alias("is_consistent"))
+    found = tables.perceptron_probability(_test_rows(model, prepared), model, _KEYS)
+    holds = _same("from_weights") & F.col("larger") & _has_learned(model, prepared.train)
+    return found.select("match_id", "label", holds.alias("is_consistent"))
 
 
-@registered()
+_MODELS = ("decision_tree", "random_forest", "gbt", "logistic_regression", "perceptron")
+
+
+@registered(
+    twin(
+        f"""SELECT feature_set, model, metric, positives, negatives, TRUE AS is_exact
+            FROM (SELECT sum(label) AS positives, sum(1 - label) AS negatives FROM smart
+                  WHERE NOT ({TRAIN})
+                    AND {' AND '.join(f'{n} IS NOT NULL' for n in AVERAGES + RATES)}) c,
+                 (VALUES {', '.join(f"('{n}')" for n in models.FEATURE_SETS)}) f(feature_set),
+                 (VALUES {', '.join(f"('{n}')" for n in _MODELS)}) m(model),
+                 (VALUES {', '.join(f"('{n}')" for n in [*metrics.METRICS, 'auc'])}) k(metric)""",
+        "smart",
+    ).replace("sum(label)", "CAST(sum(label) AS BIGINT)").replace(
+        "sum(1 - label)", "CAST(sum(1 - label) AS BIGINT)"
+    )
+)
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.compare_models(smart_table(spark, sf_dir))
+    """Is each metric of five models on two feature sets what the scored test
+    contests say: shares of plain means for the counts, and for the area the share
+    of pairs of contests that the score has in the right order?"""
+    compared = models.fit_and_score(smart_table(spark, sf_dir))
+    by = ["feature_set", "model"]
+    said, actual = F.col("prediction"), F.col("label").cast("double")
+    right, hit = (said == actual).cast("double"), F.coalesce
+    none = F.lit(0.0)
+    precision = hit(F.avg(F.when(said == 1, actual)), none)
+    recall = hit(F.avg(F.when(actual == 1, said)), none)
+    plain = compared.scored.groupBy(*by).agg(
+        F.count_if(actual == 1).alias("positives"),
+        F.count_if(actual == 0).alias("negatives"),
+        F.avg(right).alias("accuracy"),
+        precision.alias("precision"),
+        recall.alias("recall"),
+        hit(F.try_divide(2 * F.sum(said * actual), F.sum(said) + F.sum(actual)), none).alias("f1"),
+    )
+    ordered = F.col("positives") * (F.col("negatives_below") + F.col("negatives") / 2)
+    pairs = F.sum("positives").cast("double") * F.sum("negatives")
+    areas = metrics.ranked_scores(compared.scored, by).groupBy(*by).agg(
+        hit(F.try_divide(F.sum(ordered), pairs), none).alias("auc")
+    )
+    want = plain.join(areas, by).unpivot(
+        [*by, "positives", "negatives"], [*metrics.METRICS, "auc"], "metric", "want"
+    )
+    holds = F.col("value").between(0, 100) & (F.abs(F.col("value") - 100 * F.col("want")) < 1e-6)
+    return compared.metrics().join(want, [*by, "metric"]).select(
+        *by, "metric", "positives", "negatives", holds.alias("is_exact")
+    )
 
 
-@registered()
+@registered(
+    twin(
+        f"""SELECT match_id, CASE WHEN toss_match_win THEN 1 ELSE 0 END AS label,
+                   TRUE AS is_weighted_sum
+            FROM flagged WHERE NOT ({TRAIN})""",
+        "flagged",
+    )
+)
 def model_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test contests scored by the perceptron over one-hot inputs."""
+    """Is the probability of the perceptron over one-hot inputs that of its table
+    of weights, layer by layer?"""
     homes = current_homes(fx.homes(spark, sf_dir), fx.NAMES)
     matches = with_neutral_flag(fx.matches(spark, sf_dir), homes)
     model, table = models.fit_documented_model(matches)
-    return model.transform(table.where("NOT is_train")).select("match_id", "label", "prediction")
+    scored = model.transform(table.where("NOT is_train")).select(
+        "match_id", "label", "features", _won().alias("won"), _predicts_larger().alias("larger")
+    )
+    found = tables.perceptron_probability(scored, model.stages[-1], _KEYS)
+    holds = (_same("from_weights") & F.col("larger")).alias("is_weighted_sum")
+    return found.select("match_id", "label", holds)
 
 
 @registered(
@@ -503,10 +579,32 @@ def recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.score_requests(features, model)
 
 
-@registered(twin("SELECT request_id, TRUE AS follows_rule FROM requests", "requests"))
+@registered(
+    twin(
+        f"""SELECT request_id, city, venue, team1, team2, neutral, draw_winner_is_team1,
+                   {', '.join(f"round(coalesce({n}, (SELECT avg({n}) FROM smart WHERE {REQUEST_TRAIN})), 6) AS {n}" for n in AVERAGES)},
+                   {', '.join(RATES)}, TRUE AS follows_rule
+            FROM matchups""",
+        "smart",
+        "requests",
+        **MATCHUP_TABLES,
+        matchups=MATCHUPS,
+    )
+)
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Is every request answered, by the rule for its probability?"""
+    """Every request with its features. Is its probability that of the table of
+    coefficients, and its recommendation by the rule for it?"""
+    past, asked = fx.history(spark, sf_dir), fx.requests(spark, sf_dir)
+    averages = measured(past.averages, ["Team"])
+    model = recommend.fit_request_model(smart_features(past.matches, averages))
+    features = recommend.matchup_features(asked, past.matches, averages)
+    scored = recommend.score_requests(features, model)
+    inputs = models.encode_unseen(scored, model.indexer)
+    coefficients, intercept = recommend.coefficients(model)
+    keys = [*scored.columns]
+    found = tables.linear_margin(inputs, coefficients, intercept, keys)
     p = F.col("probability")
     rule = F.when(p >= FIELD_THRESHOLD, "FIELD").otherwise("BAT")
-    holds = p.between(0, 1) & (F.col("recommendation") == rule)
-    return recommended(spark, sf_dir).select("request_id", holds.alias("follows_rule"))
+    holds = (F.abs(p - tables.logistic(F.col("margin"))) < 1e-9) & (F.col("recommendation") == rule)
+    rounded = {n: F.round(n, 6) for n in AVERAGES + RATES}
+    return found.withColumns(rounded).select(*asked.columns, *rounded, holds.alias("follows_rule"))

@@ -214,44 +214,43 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.requests(spark, sf_dir)
 
 
-@registered(
-    twin(
-        """SELECT r.request_id, r.city, r.venue, r.team1, r.team2, r.neutral,
-                  r.draw_winner_is_team1,
-                  round(a.avg_first, 6) AS team1_avg_runs,
-                  round(b.avg_second, 6) AS team2_avg_conceded,
-                  round(coalesce(h.won / CAST(h.played AS DOUBLE), 0.5), 6) AS h2h_win_rate,
-                  round(coalesce(coalesce(w1.won, 0) / CAST(o1.played AS DOUBLE), 0.5), 6)
-                      AS team1_season_win_rate,
-                  round(coalesce(coalesce(w2.won, 0) / CAST(o2.played AS DOUBLE), 0.5), 6)
-                      AS team2_season_win_rate,
-                  round(coalesce(c.won / CAST(c.played AS DOUBLE), 0.5), 6)
-                      AS team1_venue_win_rate
-           FROM requests r
-           LEFT JOIN averages a ON a.team = r.team1
-           LEFT JOIN averages b ON b.team = r.team2
-           LEFT JOIN pairs h ON h.team = r.team1 AND h.opponent = r.team2
-           LEFT JOIN played o1 ON o1.team = r.team1
-           LEFT JOIN played o2 ON o2.team = r.team2
-           LEFT JOIN won w1 ON w1.team = r.team1
-           LEFT JOIN won w2 ON w2.team = r.team2
-           LEFT JOIN city_rate c ON c.city = r.city AND c.team = r.team1""",
-        "requests",
-        "averages",
-        "matches",
-        views="""SELECT team1 AS team, team2 AS opponent, city, winner FROM matches
-                 UNION ALL
-                 SELECT team2, team1, city, winner FROM matches WHERE team1 <> team2""",
-        pairs="""SELECT team, opponent, count(*) AS played,
+MATCHUPS = """SELECT r.request_id, r.city, r.venue, r.team1, r.team2, r.neutral,
+           r.draw_winner_is_team1,
+           round(a.avg_first, 6) AS team1_avg_runs,
+           round(b.avg_second, 6) AS team2_avg_conceded,
+           round(coalesce(h.won / CAST(h.played AS DOUBLE), 0.5), 6) AS h2h_win_rate,
+           round(coalesce(coalesce(w1.won, 0) / CAST(o1.played AS DOUBLE), 0.5), 6)
+               AS team1_season_win_rate,
+           round(coalesce(coalesce(w2.won, 0) / CAST(o2.played AS DOUBLE), 0.5), 6)
+               AS team2_season_win_rate,
+           round(coalesce(c.won / CAST(c.played AS DOUBLE), 0.5), 6)
+               AS team1_venue_win_rate
+    FROM requests r
+    LEFT JOIN averages a ON a.team = r.team1
+    LEFT JOIN averages b ON b.team = r.team2
+    LEFT JOIN pairs h ON h.team = r.team1 AND h.opponent = r.team2
+    LEFT JOIN played o1 ON o1.team = r.team1
+    LEFT JOIN played o2 ON o2.team = r.team2
+    LEFT JOIN won w1 ON w1.team = r.team1
+    LEFT JOIN won w2 ON w2.team = r.team2
+    LEFT JOIN city_rate c ON c.city = r.city AND c.team = r.team1"""
+
+MATCHUP_TABLES = dict(
+    views="""SELECT team1 AS team, team2 AS opponent, city, winner FROM matches
+             UNION ALL
+             SELECT team2, team1, city, winner FROM matches WHERE team1 <> team2""",
+    pairs="""SELECT team, opponent, count(*) AS played,
+                    count(CASE WHEN winner = team THEN 1 END) AS won
+             FROM views GROUP BY team, opponent""",
+    played="SELECT team, count(*) AS played FROM views GROUP BY team",
+    won="SELECT winner AS team, count(*) AS won FROM matches GROUP BY winner",
+    city_rate="""SELECT city, team, count(*) AS played,
                         count(CASE WHEN winner = team THEN 1 END) AS won
-                 FROM views GROUP BY team, opponent""",
-        played="SELECT team, count(*) AS played FROM views GROUP BY team",
-        won="SELECT winner AS team, count(*) AS won FROM matches GROUP BY winner",
-        city_rate="""SELECT city, team, count(*) AS played,
-                            count(CASE WHEN winner = team THEN 1 END) AS won
-                     FROM views GROUP BY city, team""",
-    )
+                 FROM views GROUP BY city, team""",
 )
+
+
+@registered(twin(MATCHUPS, "requests", "averages", "matches", **MATCHUP_TABLES))
 def matchup_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     past, asked = fx.history(spark, sf_dir), fx.requests(spark, sf_dir)
     rows = recommend.matchup_features(asked, past.matches, past.averages)

@@ -7,7 +7,7 @@ key with a third of all rows is spread over all tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -45,8 +45,12 @@ def require_unique(table: MeasuredTable, keys: list[str]) -> None:
     table.unique_on.add(name)
 
 
-def measured(table: DataFrame | MeasuredTable) -> MeasuredTable:
-    """Write ``table`` and measure it, unless that was done before."""
+def measured(
+    table: DataFrame | MeasuredTable, unique: Sequence[str] | None = None
+) -> MeasuredTable:
+    """Write ``table`` and measure it, unless that was done before. ``unique`` names
+    keys known to be unique, such as those that the table was grouped by; others
+    are checked before they are joined on."""
     if isinstance(table, MeasuredTable):
         return table
     df = written(table, "lookup")
@@ -54,24 +58,30 @@ def measured(table: DataFrame | MeasuredTable) -> MeasuredTable:
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType):
+            width = width + 8 * F.coalesce(F.array_size(field.name), F.lit(0))
         else:
             width = width + F.lit(8)
     size = df.agg(
         F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
-    return MeasuredTable(df, size["rows"], size["bytes"])
+    known = {tuple(sorted(unique))} if unique else set()
+    return MeasuredTable(df, size["rows"], size["bytes"], known)
 
 
 def measured_at_once(
     tables: Mapping[str, DataFrame | MeasuredTable],
+    unique: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, MeasuredTable]:
     """Measure independent tables side by side."""
     waiting = {name: t for name, t in tables.items() if isinstance(t, DataFrame)}
     done = {name: t for name, t in tables.items() if isinstance(t, MeasuredTable)}
     if not waiting:
         return done
+    keys = unique or {}
     spark = next(iter(waiting.values())).sparkSession
-    return done | at_once(spark, {name: partial(measured, t) for name, t in waiting.items()})
+    work = {name: partial(measured, t, keys.get(name)) for name, t in waiting.items()}
+    return done | at_once(spark, work)
 
 
 def heavy_keys(left: DataFrame, keys: list[str]) -> DataFrame:

@@ -101,19 +101,16 @@ def season_flag_pivot(matches: DataFrame, c: ContestColumns = CONTEST) -> DataFr
 def domain_values(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
     """Sorted distinct values of each domain, as (domain, value).
 
-    A domain may draw on several columns. One scan serves all domains: distinct
-    rows first, then one row per column of them.
+    A domain may draw on several columns. One scan serves all domains: each row
+    gives one value per column, and a task sends each of a domain's values once.
     """
-    used = sorted({c for cols in domains.values() for c in cols})
     cells: list[Column] = [
         F.struct(F.lit(name).alias("domain"), F.col(c).alias("value"))
         for name, cols in domains.items()
         for c in cols
     ]
     return (
-        df.select(*used)
-        .distinct()
-        .select(F.inline(F.array(*cells)))
+        df.select(F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull())
         .distinct()
         .orderBy("domain", "value")

@@ -106,7 +106,9 @@ def rate_tables(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str, Me
             "pair": pair_rate(cells, c),
             "season": entity_rate(cells, [c.season], "season", c),
             "venue": entity_rate(cells, [c.venue], "venue", c),
-        }
+        },
+        # The keys that each table is grouped by.
+        {"pair": [c.side_a, c.side_b], "season": [c.season, "team"], "venue": [c.venue, "team"]},
     )
 
 

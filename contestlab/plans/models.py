@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -35,13 +35,13 @@ from contestlab.functions.outcome import draw_flag_int, draw_winner_is_a
 from contestlab.functions.split import in_training
 from contestlab.operators.metrics import (
     METRICS,
-    area_under_roc,
+    areas_under_roc,
     classification_rates,
     confusion,
 )
 from contestlab.plans.features import AVERAGES, RATES, categorical
 from contestlab.sources.jobs import PARALLELISM, at_once
-from contestlab.sources.scratch import FIT_PARTITIONS, laid_out, written
+from contestlab.sources.scratch import fit_partitions, laid_out, written
 
 FEATURE_SETS = {"base": AVERAGES, "smart": AVERAGES + RATES}
 HIDDEN = (10, 5)
@@ -85,15 +85,25 @@ def one_hot(columns: Sequence[str]) -> Pipeline:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Assembled features of both splits, and the stages that made them."""
+    """Written vectors of both splits, and the stages that made them. Only a fit
+    needs the training rows in their layout, which is stored when first asked for."""
 
-    train: DataFrame
-    test: DataFrame
+    vectors: DataFrame
+    key: str
+    partitions: int
     stages: PipelineModel
     inputs: int
     max_bins: int
     dropped: int
 
+    @cached_property
+    def train(self) -> DataFrame:
+        return laid_out(self.vectors.where("is_train"), self.key, self.partitions)
+
+    @property
+    def test(self) -> DataFrame:
+        return self.vectors.where("NOT is_train")
+
 
 def preparation(
     feature_set: str = "smart", missing: str = "error", c: ContestColumns = CONTEST
@@ -139,22 +149,25 @@ def prepare(
     feature_set: str = "smart",
     missing: str = "error",
     c: ContestColumns = CONTEST,
-    fit_partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
 ) -> Prepared:
     """Index and assemble a split table, and write the vectors. The stages are
-    fitted on its training rows, models on ``fit_partitions`` parts of them."""
+    fitted on its training rows, models on ``partitions`` parts of them; their
+    number depends on the rows only, unless given."""
     stages = preparation(feature_set, missing, c).fit(table.where("is_train"))
     assembled = stages.transform(table).select(c.key, "label", "is_train", "features")
     vectors = written(assembled, "vectors")
     labels = stages.stages[0].labelsArray
+    rows = vectors.count()
     return Prepared(
-        train=laid_out(vectors.where("is_train"), c.key, fit_partitions),
-        test=vectors.where("NOT is_train"),
+        vectors=vectors,
+        key=c.key,
+        partitions=partitions or fit_partitions(rows),
         stages=stages,
         inputs=len(categorical(c)) + len(FEATURE_SETS[feature_set]),
         # Each indexed column has one more category, for unseen values.
         max_bins=max([32, *[len(values) + 1 for values in labels]]),
-        dropped=table.count() - vectors.count(),
+        dropped=table.count() - rows,
     )
 
 
@@ -241,29 +254,34 @@ def score_models(
 
 
 def model_metrics(
-    scored: DataFrame,
-    models: Sequence[str],
-    label: str = "label",
-    parallelism: int = PARALLELISM,
+    scored: DataFrame, by: Sequence[str] = ("model",), label: str = "label"
 ) -> DataFrame:
-    """(model, metric, value), values times 100. The counts of all models come
-    from one pass, the areas from one sort of the scores per model."""
-    rates = classification_rates(confusion(scored, ["model"], label))
-    work = {
-        m: partial(area_under_roc, scored.where(F.col("model") == m), label=label)
-        for m in models
-    }
-    spark = scored.sparkSession
-    areas = spark.createDataFrame(
-        list(at_once(spark, work, parallelism).items()), "model string, auc double"
-    )
-    table = rates.join(F.broadcast(areas), "model")
-    return table.unpivot(["model"], [*METRICS, "auc"], "metric", "value").withColumn(
+    """(by, metric, value), values times 100: one pass for the counts of all
+    models, and one for their areas."""
+    rates = classification_rates(confusion(scored, by, label))
+    table = rates.join(areas_under_roc(scored, by, label=label), list(by))
+    return table.unpivot(list(by), [*METRICS, "auc"], "metric", "value").withColumn(
         "value", F.col("value") * 100
     )
 
 
-def compare_models(
+@dataclass(frozen=True)
+class Comparison:
+    """``scored``: (feature_set, model, key, label, prediction, score, probability),
+    written, and the contests that ``missing="skip"`` left out by feature set."""
+
+    scored: DataFrame
+    dropped: dict[str, int]
+
+    def metrics(self) -> DataFrame:
+        """(feature_set, model, metric, value, dropped)."""
+        table = model_metrics(self.scored, ["feature_set", "model"])
+        left_out = F.create_map(*[F.lit(x) for pair in self.dropped.items() for x in pair])
+        dropped = left_out[F.col("feature_set")].cast("bigint").alias("dropped")
+        return table.select("feature_set", "model", "metric", "value", dropped)
+
+
+def fit_and_score(
     features: DataFrame,
     feature_sets: Sequence[str] = ("base", "smart"),
     trees: int = 100,
@@ -271,9 +289,8 @@ def compare_models(
     missing: str = "error",
     parallelism: int = PARALLELISM,
     c: ContestColumns = CONTEST,
-) -> DataFrame:
-    """(feature_set, model, metric, value, dropped) for every model and feature
-    set; ``dropped`` counts the contests that ``missing="skip"`` left out."""
+) -> Comparison:
+    """All models on all feature sets, and the test contests that they score."""
     split = split_table(features, c=c)
     prepared = {name: prepare(split, name, missing, c) for name in feature_sets}
     fits = {
@@ -283,15 +300,20 @@ def compare_models(
     }
     fitted = at_once(features.sparkSession, fits, parallelism)
 
-    def metrics(feature_set: str) -> DataFrame:
+    def scored(feature_set: str) -> DataFrame:
         models = {name: m for (fs, name), m in fitted.items() if fs == feature_set}
-        scored = score_models(prepared[feature_set].test, models, [c.key, "label"])
-        scored = written(scored, "scored", by="model")
-        table = model_metrics(scored, list(models), parallelism=parallelism)
-        dropped = F.lit(prepared[feature_set].dropped).cast("bigint").alias("dropped")
-        return table.select(F.lit(feature_set).alias("feature_set"), "*", dropped)
+        rows = score_models(prepared[feature_set].test, models, [c.key, "label"])
+        return rows.select(F.lit(feature_set).alias("feature_set"), "*")
 
-    return reduce(DataFrame.unionByName, [metrics(name) for name in feature_sets])
+    every = reduce(DataFrame.unionByName, [scored(name) for name in feature_sets])
+    return Comparison(written(every, "scored"), {n: p.dropped for n, p in prepared.items()})
+
+
+def compare_models(features: DataFrame, **options) -> DataFrame:
+    """(feature_set, model, metric, value, dropped) for every model and feature
+    set; ``dropped`` counts the contests that ``missing="skip"`` left out. Options
+    are those of ``fit_and_score``."""
+    return fit_and_score(features, **options).metrics()
 
 
 def documented_table(matches: DataFrame, neutral: str, c: ContestColumns = CONTEST) -> DataFrame:
@@ -314,7 +336,8 @@ def fit_documented_model(
     """A perceptron over one-hot city and sides and two flags; returns the
     pipeline and the table it was fitted on."""
     table = written(documented_table(matches, neutral, c), "documented")
-    train = laid_out(table.where("is_train"), c.key)
+    rows = table.where("is_train").count()
+    train = laid_out(table.where("is_train"), c.key, fit_partitions(rows))
     columns = [c.city, c.side_a, c.side_b]
     encoding = one_hot(columns).fit(train)
     assembler = VectorAssembler(

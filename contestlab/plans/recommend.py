@@ -44,7 +44,7 @@ from contestlab.operators.rates import (
 from contestlab.plans.features import AVERAGES, RATES, Table, score_lookups
 from contestlab.plans.models import alphabetical_indexer, encode_unseen, indexed_name
 from contestlab.sources.jobs import at_once
-from contestlab.sources.scratch import laid_out, written
+from contestlab.sources.scratch import fit_partitions, laid_out, written
 
 NUMBERS = AVERAGES + RATES
 
@@ -79,7 +79,9 @@ def request_rates(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str,
             "pair": unordered_pair_rate(cells, c),
             "overall": overall_rate(cells, c),
             "city": place_rate(cells, c.city, c),
-        }
+        },
+        # The keys that each table is grouped by.
+        {"pair": ["team", "opponent"], "overall": ["team"], "city": [c.city, "team"]},
     )
 
 
@@ -186,8 +188,8 @@ def fit_request_model(
     which weighs the mean loss, is 1 / (C * training rows).
     """
     indexer, vectors, dropped = request_vectors(features, c=c, missing=missing)
-    train = laid_out(vectors.where("is_train"), c.key)
-    rows = train.count()
+    rows = vectors.where("is_train").count()
+    train = laid_out(vectors.where("is_train"), c.key, fit_partitions(rows))
     scale = scaling(train, rows)
     regression = LogisticRegression(
         maxIter=200,
@@ -205,6 +207,17 @@ def fit_request_model(
     )
 
 
+def coefficients(model: RequestModel, c: ContestColumns = CONTEST) -> tuple[dict[str, float], float]:
+    """The weight of each input as it is before scaling, and the intercept."""
+    scaler, rescale, regression = model.scorer.stages
+    weights, intercept = {}, regression.intercept
+    parts = zip(model_inputs(c), scaler.mean, scaler.std, rescale.getScalingVec(), regression.coefficients)
+    for name, mean, deviation, factor, weight in parts:
+        weights[name] = float(weight * factor / deviation) if deviation else 0.0
+        intercept -= weights[name] * float(mean)
+    return weights, float(intercept)
+
+
 def probability_of_win(scored: DataFrame) -> Column:
     return F.get(vector_to_array(scored["probability"]), F.lit(1))
 

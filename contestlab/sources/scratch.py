@@ -3,46 +3,122 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Partitions of the rows that models are fitted on. At 100 TB set it so that a
-#: partition of the vectors fits an executor's memory.
-FIT_PARTITIONS = 32
+#: Least number of partitions of the rows that models are fitted on, and the rows
+#: beyond which there are more. Neither depends on the machine, so no fit does.
+FIT_PARTITIONS = 8
+FIT_ROWS = 1_000_000
+
+_temporary: dict[str, str] = {}
+_lock = threading.RLock()
+
+
+class Scope:
+    """A folder of scratch tables that are deleted together. Checkpoints made
+    inside are deleted too."""
+
+    def __init__(self, spark: SparkSession, folder: str, around: Scope | None):
+        self.spark, self.folder, self.around = spark, folder, around
+        self.checkpoints: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` outside of the scope, so that it outlasts it."""
+        folder = self.around.folder if self.around else scratch_dir(self.spark)
+        return _stored(df, f"{folder}/{name}-{uuid.uuid4().hex}")
+
+    def delete(self) -> None:
+        for path in (self.folder, *self.checkpoints):
+            _delete(self.spark, path)
+
+
+_scopes: list[Scope] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever the session's file systems have it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if base is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
-            base = tempfile.mkdtemp(prefix="contestlab-")
-        sc.setCheckpointDir(base)
-    return sc.getCheckpointDir()
+    """The session's checkpoint folder; a temporary one only in local mode.
+    Asking changes nothing in the session."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
+        with _lock:
+            app = spark.sparkContext.applicationId
+            if app not in _temporary:
+                _temporary[app] = tempfile.mkdtemp(prefix="contestlab-")
+            base = _temporary[app]
+    return base.rstrip("/")
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Delete at the end what was written inside: results that read scratch tables
+    must have been used by then, or be kept with ``Scope.keep``. Scopes nest; the
+    jobs inside may run in several threads, but scopes of one session follow one
+    another."""
+    with _lock:
+        around = _scopes[-1] if _scopes else None
+        folder = around.folder if around else scratch_dir(spark)
+        scope = Scope(spark, f"{folder}/scope-{uuid.uuid4().hex}", around)
+        _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        with _lock:
+            _scopes.remove(scope)
+        scope.delete()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, inside the scope if there is one."""
+    with _lock:
+        folder = _scopes[-1].folder if _scopes else scratch_dir(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _stored(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later passes and lost executors
     start from the files, not from the lineage. Filters on ``by`` then read
-    their own files only."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    writer = df.write if by is None else df.write.partitionBy(by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(df.columns)
+    their own files only. Without a ``scratch_scope`` the files stay until the
+    cluster cleans its folder."""
+    return _stored(df, scratch_path(df.sparkSession, name), by)
+
+
+def fit_partitions(rows: int) -> int:
+    return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
 
 
 def laid_out(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Rows dealt by ``key`` and sorted by it, always to the same number of
-    partitions: a fit that samples or stacks rows per partition then depends on
-    neither the machine nor the layout of the files."""
-    return df.repartition(partitions, key).sortWithinPartitions(key)
+    """Rows dealt by ``key`` to a fixed number of partitions, sorted by it, and
+    stored as that: a checkpoint has a file per partition and is read back
+    partition for partition. A fit that samples or stacks rows per partition then
+    depends on neither the machine nor the files, and its passes shuffle nothing."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    with _lock:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(scratch_dir(spark))
+        scope = _scopes[-1] if _scopes else None
+    stored = df.repartition(partitions, key).sortWithinPartitions(key).checkpoint()
+    if scope is not None:
+        rows = stored._jdf.queryExecution().logical().rdd()
+        scope.checkpoints.append(rows.getCheckpointFile().get())
+    return stored

@@ -101,7 +101,7 @@ def test_same_seed_same_model(prepared):
 
 def test_metrics_table(prepared, fitted):
     scored = models.score_models(prepared.test, fitted, ["match_id", "label"]).cache()
-    table = models.model_metrics(scored, list(fitted))
+    table = models.model_metrics(scored)
     assert table.columns == ["model", "metric", "value"]
     assert table.count() == 25
     assert table.where("value < 0 OR value > 100 OR value IS NULL").count() == 0

@@ -40,12 +40,6 @@ def test_query_equals_its_sql(spark, duck, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["model_forest", "model_documented"])
-def test_model_query_runs(spark, name):
-    df = registry.queries()[name](spark, SF)
-    assert df.count() > 0 and "EvalPython" not in physical(df)
-
-
 def test_flagship(spark):
     df = registry.entry(spark)
     assert df.count() == 1500
