@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from contestlab.columns import CONTEST
 from contestlab.operators.names import normalize_names
 from contestlab.operators.rates import team_score_averages
+from contestlab.plans.features import training_rows
 from contestlab.plans.recommend import request_rows
 from contestlab.sources.scratch import written
 from contestlab.sources.tables import conform
@@ -195,6 +196,7 @@ def raw_performance(spark: SparkSession, sf_dir: str, sides: DataFrame) -> DataF
         )
     )
     return scores.join(sides.select("match_id", "team1", "team2"), "match_id").select(
+        "match_id",
         F.concat("team1", F.lit(" vs "), "team2").alias("Teams"),
         F.col("First_Innings_Score").cast("string").alias("First_Innings_Score"),
         F.col("Second_Innings_Score").cast("string").alias("Second_Innings_Score"),
@@ -215,9 +217,12 @@ class History:
     averages: DataFrame
 
 
-def history(spark: SparkSession, sf_dir: str) -> History:
+def history(spark: SparkSession, sf_dir: str, trained: bool = False) -> History:
+    """``trained``: score averages of the training split's contests only."""
     contests = written(raw_matches(spark, sf_dir), "contests")
     perf = conform(raw_performance(spark, sf_dir, contests), "team_performance")
+    if trained:
+        perf = training_rows(perf)
     return History(current_names(contests), team_score_averages(perf, NAMES))
 
 

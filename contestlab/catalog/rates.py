@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contestlab.catalog import fixtures as fx
 from contestlab.catalog.registry import registered
-from contestlab.catalog.twins import train_bucket, twin
+from contestlab.catalog.twins import train_bucket, trained_averages, twin
 from contestlab.operators import rates
 from contestlab.operators.attach import attach
 from contestlab.plans import features as plans
@@ -160,7 +160,7 @@ def base_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def smart_table(spark: SparkSession, sf_dir: str, mode: str = "full") -> DataFrame:
     """The smart feature table with all columns of the contests."""
-    past = fx.history(spark, sf_dir)
+    past = fx.history(spark, sf_dir, mode == "train_only")
     return plans.smart_features(past.matches, past.averages, mode=mode)
 
 
@@ -176,12 +176,15 @@ def _rate_of(won: str, played: str) -> str:
 @registered(
     twin(
         f"""SELECT m.match_id, m.team1, m.team2, m.toss_winner, m.toss_decision,
-                   m.bat_first_team, m.season, m.label, {_ROUNDED_AVERAGES},
+                   m.bat_first_team, m.season, m.label, round(a.avg_first, 6) AS team1_avg_runs,
+                   round(b.avg_second, 6) AS team2_avg_conceded,
                    coalesce({_rate_of('p.won', 'p.played')}, 0.5) AS h2h_win_rate,
                    coalesce({_rate_of('sw1.won', 's1.played')}, 0.5) AS team1_season_win_rate,
                    coalesce({_rate_of('sw2.won', 's2.played')}, 0.5) AS team2_season_win_rate,
                    coalesce({_rate_of('vw.won', 'v.played')}, 0.5) AS team1_venue_win_rate
-            FROM base m
+            FROM flagged m
+            LEFT JOIN averages a ON a.team = m.team1
+            LEFT JOIN averages b ON b.team = m.team2
             LEFT JOIN pairs p ON p.team1 = m.team1 AND p.team2 = m.team2
             LEFT JOIN season_n s1 ON s1.season = m.season AND s1.team = m.team1
             LEFT JOIN season_w sw1 ON sw1.season = m.season AND sw1.team = m.team1
@@ -189,7 +192,10 @@ def _rate_of(won: str, played: str) -> str:
             LEFT JOIN season_w sw2 ON sw2.season = m.season AND sw2.team = m.team2
             LEFT JOIN venue_n v ON v.venue = m.venue AND v.team = m.team1
             LEFT JOIN venue_w vw ON vw.venue = m.venue AND vw.team = m.team1""",
-        "base",
+        "flagged",
+        "contests",
+        "name_map",
+        **trained_averages(),
         trained=f"SELECT * FROM matches WHERE {train_bucket('match_id')} < 80",
         pairs="""SELECT team1, team2, count(*) AS played,
                         count(CASE WHEN winner = team1 THEN 1 END) AS won

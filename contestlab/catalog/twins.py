@@ -265,6 +265,14 @@ def train_bucket(key: str, seed: int = 42) -> str:
     return f"CAST('0x' || {head} AS BIGINT) % 100"
 
 
+def trained_averages(percent: int = 80) -> dict[str, str]:
+    """Expressions for ``averages`` of the scores of training contests only; they
+    read ``contests`` and ``name_map``."""
+    grouped = f"WHERE {train_bucket('o_orderkey')} < {percent} GROUP BY o_orderkey"
+    own = {n: _CTES[n][1] for n in ("raw_perf", "perf", "score_rows", "averages")}
+    return own | {"raw_perf": own["raw_perf"].replace("GROUP BY o_orderkey", grouped)}
+
+
 def twin(select: str, *reads: str, **extra: str) -> str:
     """``select`` after the expressions it reads. ``extra`` are expressions of
     this twin alone, in the given order."""

@@ -112,6 +112,17 @@ def rate_tables(history: DataFrame, c: ContestColumns = CONTEST) -> dict[str, Me
     )
 
 
+def training_rows(
+    rows: DataFrame,
+    percent: int = MODEL_TRAIN_PERCENT,
+    seed: int = SPLIT_SEED,
+    c: ContestColumns = CONTEST,
+) -> DataFrame:
+    """Rows of the training split's contests: of the contests themselves, or of any
+    table with their key. Membership is a hash of the key, so nothing is joined."""
+    return rows.where(in_training(c.key, percent=percent, seed=seed))
+
+
 def smart_features(
     matches: DataFrame,
     averages: Table,
@@ -125,13 +136,14 @@ def smart_features(
 
     ``mode="full"`` counts every contest, those of the test split included.
     ``mode="train_only"`` counts the training split and gives sides without
-    history there the neutral rate.
+    history there the neutral rate; ``averages`` should then be those of
+    ``training_rows`` of the scores, so that no test contest is in any number.
     """
     if mode not in ("full", "train_only"):
         raise ValueError(f"unknown mode: {mode}")
     history = matches
     if mode == "train_only":
-        history = matches.where(in_training(c.key, percent=percent, seed=seed))
+        history = training_rows(matches, percent, seed, c)
     made = at_once(
         matches.sparkSession,
         {"rates": partial(rate_tables, history, c), "averages": partial(measured, averages)},

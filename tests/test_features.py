@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from contestlab.functions.split import in_training
 from contestlab.operators.rates import team_score_averages
-from contestlab.plans.features import AVERAGES, RATES, base_features, categorical, smart_features
+from contestlab.plans.features import (
+    AVERAGES,
+    RATES,
+    base_features,
+    categorical,
+    smart_features,
+    training_rows,
+)
 from contestlab.plans.recommend import matchup_features
 from tests.helpers import bag, physical
 
@@ -94,3 +101,26 @@ def test_no_history_gives_the_neutral_rate(spark, matches, tables):
         (0.0, 0.0, 1.0, 0.5),
     ]
     assert out[2].team1_avg_runs is None
+
+
+def test_training_averages_ignore_the_test_split(spark, tables):
+    """Scores of test contests change no number of the table."""
+    rng = random.Random(8)
+    _, df, _ = tables
+    names = df.select("match_id", "team1", "team2").collect()
+    rows = [(r[0], f"{r[1]} vs {r[2]}", 100.0 + rng.random(), 90.0 + rng.random()) for r in names]
+    perf = spark.createDataFrame(
+        rows, "match_id bigint, Team string, First_Innings_Score double, Second_Innings_Score double"
+    )
+    test = ~in_training("match_id")
+    changed = perf.withColumn(
+        "First_Innings_Score", F.when(test, 0.0).otherwise(F.col("First_Innings_Score"))
+    )
+
+    def table(scores):
+        found = team_score_averages(training_rows(scores))
+        out = smart_features(df, found, mode="train_only").select("match_id", *AVERAGES)
+        return bag(out.select("match_id", *[F.round(n, 9) for n in AVERAGES]))
+
+    assert table(perf) == table(changed)
+    assert bag(team_score_averages(perf)) != bag(team_score_averages(changed))

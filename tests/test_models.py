@@ -5,9 +5,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from contestlab.operators.metrics import classification_rates, confusion
-from contestlab.plans import models, recommend
+from contestlab.plans import models, recommend, tables
 from contestlab.plans.features import AVERAGES, RATES
-from tests.helpers import bag
+from tests.helpers import bag, physical
 
 CITIES = [f"c{i}" for i in range(40)]
 
@@ -220,3 +220,51 @@ def test_request_form(spark):
     out = recommend.request_rows(raw)
     assert out.columns == ["request_id", "neutral", "draw_winner_is_team1"]
     assert [tuple(r) for r in out.collect()] == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
+
+
+def test_node_and_weight_tables_answer_as_the_models(prepared, fitted):
+    """Categorical and continuous splits, trees of several depths, all layers."""
+    keys = ["match_id", "label"]
+    rows = prepared.test
+
+    def close(found, model, name, column):
+        p = vector_to_array(column)[1].alias("p")
+        both = found.join(model.transform(rows).select("match_id", p), "match_id")
+        assert both.count() == rows.count() > 0
+        assert both.where(F.abs(F.col(name) - F.col("p")) > 1e-9).count() == 0
+
+    forest, gbt, mlp = (fitted[n] for n in ("random_forest", "gbt", "perceptron"))
+    close(tables.forest_probability(rows, forest, keys), forest, "from_nodes", "probability")
+    close(tables.boosted_margin(rows, gbt, keys), gbt, "from_nodes", "rawPrediction")
+    close(tables.perceptron_probability(rows, mlp, keys), mlp, "from_weights", "probability")
+    spark = rows.sparkSession
+    nodes = tables.node_table(forest, spark).df
+    assert {r[0] for r in nodes.where("left_child >= 0").select("continuous").distinct().collect()} == {True, False}
+    sizes = mlp.getLayers()
+    assert tables.weight_table(mlp, spark).count() == sum((n + 1) * m for n, m in zip(sizes, sizes[1:]))
+
+
+def test_coefficients_are_those_before_scaling(features):
+    model = recommend.fit_request_model(features)
+    rows = models.encode_unseen(features, model.indexer)
+    found = tables.linear_margin(rows, *recommend.coefficients(model), ["match_id"])
+    scored = recommend.score_requests(features, model).select("match_id", "probability")
+    both = found.join(scored, "match_id")
+    gap = F.abs(tables.logistic(F.col("margin")) - F.col("probability"))
+    assert both.count() == 1500 and both.where(gap > 1e-9).count() == 0
+
+
+def test_comparison_has_all_metrics(spark):
+    compared = models.fit_and_score(planted(spark, 300, missing=10), trees=3, boosting_rounds=2, missing="skip")
+    rows = compared.metrics().collect()
+    assert len(rows) == 2 * 5 * 5 and all(0 <= r["value"] <= 100 and r["dropped"] == 10 for r in rows)
+
+
+def test_a_stored_layout_is_read_back_partition_for_partition(spark):
+    """The partitions of the training rows, by the cores' share and by the files'."""
+    table = models.split_table(planted(spark, 400).repartition(11))
+    out = models.prepare(table)
+    parts = out.train.rdd.glom().map(lambda p: [r["match_id"] for r in p]).collect()
+    assert len(parts) == out.partitions == 8 and all(p == sorted(p) for p in parts)
+    assert "Exchange" not in physical(out.train)
+    assert "Exchange" not in physical(out.vectors)

@@ -1,6 +1,7 @@
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from contestlab.operators.describe import top_bowlers
 from contestlab.plans.load import load_tables
@@ -152,3 +153,38 @@ def test_partitioned_scratch_table(spark):
     out = scratch.written(df, "parts", by="m")
     assert out.dtypes == df.dtypes and bag(out) == bag(df)
     assert "PartitionFilters: [isnotnull(m" in physical(out.where("m = 'a'"))
+
+
+def test_scope_deletes_what_was_written_inside(spark, tmp_path):
+    """Scratch tables, checkpoints of fit layouts and inner scopes go; what is
+    kept stays, and so does what is written outside."""
+    import os
+
+    before = set(os.listdir(scratch.scratch_dir(spark).removeprefix("file:")))
+    with scratch.scratch_scope(spark) as outer:
+        table = scratch.written(spark.range(5), "inside")
+        stored = scratch.laid_out(table, "id", 3)
+        rows = stored._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+        with scratch.scratch_scope(spark) as inner:
+            kept = inner.keep(scratch.written(table, "deeper"), "kept")
+        assert kept.count() == stored.count() == 5 and os.path.isdir(rows.removeprefix("file:"))
+        assert not os.path.isdir(inner.folder.removeprefix("file:"))
+        result = outer.keep(kept.withColumn("x", F.col("id") * 2), "result")
+    assert result.count() == 5 and not os.path.isdir(rows.removeprefix("file:"))
+    left = set(os.listdir(scratch.scratch_dir(spark).removeprefix("file:"))) - before
+    assert len({n for n in left if n.startswith(("result", "inside", "scope"))}) == 1
+    with pytest.raises(Exception):
+        table.count()
+
+
+def test_scope_ends_after_an_error(spark):
+    with pytest.raises(ZeroDivisionError):
+        with scratch.scratch_scope(spark):
+            scratch.written(spark.range(1), "lost")
+            1 / 0
+    assert not scratch._scopes
+
+
+def test_fit_partitions_depend_on_the_rows_only():
+    assert scratch.fit_partitions(0) == scratch.fit_partitions(8_000_000) == 8
+    assert scratch.fit_partitions(8_000_001) == 9
