@@ -359,3 +359,55 @@ def test_texts_of_one_template_do_not_all_meet(spark):
     texts = keyed.join(signed.select("key", "df"), "key").withColumn("class", F.col("key"))
     assert N.pairs_by_prefix(texts.select("key", "class", "text", "df"), n, N.Setting()).count() == 0
     assert N.near_duplicates(docs).select("class_id").distinct().count() == len(words)
+
+
+def test_near_inner_is_exact_where_it_counts():
+    """All pairs that may be among the best are exact, also where a matrix product
+    rounds otherwise, with equal vectors, barred pairs and numbers without bound."""
+    rng = np.random.default_rng(4)
+    queries, vectors = rng.normal(size=(30, 50)), rng.normal(size=(200, 50)) * 1e3
+    vectors[100:150] = vectors[:50]
+    barred = rng.random((30, 200)) < 0.1
+    full = np.stack([neighbours.inner(np.tile(q, (200, 1)), vectors) for q in queries])
+    least = np.quantile(full, 0.5, axis=1)
+    found = neighbours.near_inner(queries, vectors, least, 20, barred)
+    for i in range(30):
+        open_ = np.flatnonzero(~barred[i])
+        best = open_[np.argsort(-full[i, open_], kind="stable")[:20]]
+        kept = np.flatnonzero(found[i] > -np.inf)
+        assert set(best) <= set(kept) and not barred[i, kept].any() and len(kept) < 60
+        assert np.array_equal(found[i, kept], full[i, kept])
+    huge = neighbours.near_inner(queries * 1e200, vectors * 1e200, least, 20, barred)
+    assert not np.isfinite(huge).any()
+
+
+def test_texts_of_one_template_do_not_meet_by_steps(spark):
+    """Texts that share most of their weight, but too little to be linked: what meets
+    grows with the texts, not with their pairs; similar texts all meet."""
+    from contestlab.llm.near_dedup import reaching_pairs
+
+    schema = "feature bigint, a binary, a_class binary, a_rest double, a_total double"
+
+    def rows(n, rest):
+        return [
+            (f, b"%05d" % i, b"%05d" % i, rest, 100.0 + (i % 7) * 0.01) for i in range(n) for f in (1, 2, 3)
+        ]
+
+    far = spark.createDataFrame(rows(2000, 85.0), schema)
+    assert reaching_pairs(far, 0.8).count() == 0
+    near = spark.createDataFrame(rows(300, 95.0), schema)
+    assert reaching_pairs(near, 0.8).count() == 300 * 299 // 2
+    mixed = rows(40, 99.0) + [(1, b"x%04d" % i, b"x%04d" % i, float(w), float(w)) for i, w in enumerate(range(70, 131))]
+    got = {tuple(map(bytes, r)) for r in reaching_pairs(spark.createDataFrame(mixed, schema), 0.8).collect()}
+    part = 0.8 / 1.8 * (1 - 1e-6)
+    want = set()
+    for p, q in itertools.combinations(mixed, 2):
+        if p[0] == q[0] and p[1] != q[1] and min(p[3], q[3]) >= (p[4] + q[4]) * part:
+            want.add((min(p[1], q[1]), max(p[1], q[1])))
+    assert got == want
+
+
+def test_a_text_in_a_third_of_the_rows_is_one_row_of_its_group(spark):
+    rows = [(i, "the one text that all tasks have" if i % 3 == 0 else f"own text {i}", "s") for i in range(600)]
+    sent = N.keyed_texts(docs_of(spark, rows).repartition(20), "text", 4)
+    assert sent.count() == 401 == sent.select("key").distinct().count()
