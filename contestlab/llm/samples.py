@@ -36,23 +36,28 @@ def labelled_sample(
     text_bytes: int = SAMPLE_TEXT_BYTES,
     seed: int = 29,
 ) -> Sample:
-    """At most ``rows`` labelled texts, chosen by a hash of their ids.
+    """At most ``rows`` labelled texts, chosen by a hash of their ids: ``rows`` of
+    them where as many documents have a label and a usable text, else all.
 
-    Held-out ids, null labels, null ids and null texts are left out; an id with
-    several labels counts as the larger, one with several texts as the first by
-    code point. Texts of more than ``text_bytes`` bytes are scored like all
-    others, but not fitted on, so the sample's size has a bound.
+    Held-out ids, null labels, null ids and null texts are left out, and so are
+    labels of ids that ``docs`` does not have; an id with several labels counts
+    as the larger, one with several texts as the first by code point. Texts of
+    more than ``text_bytes`` bytes are scored like all others, but not fitted on,
+    so the sample's size has a bound.
     """
+    own = quoted("doc_id")
+    usable = (F.octet_length(quoted("text")) <= text_bytes) & own.isNotNull() & ~held_out()
+    texts = docs.where(usable)
     known = (
-        labels.where(~held_out() & F.col(label).isNotNull())
+        labels.where(~held_out() & quoted(label).isNotNull())
         .groupBy("doc_id")
-        .agg(F.max(label).cast("int").alias("y"))
+        .agg(F.max(quoted(label)).cast("int").alias("y"))
+        .join(texts.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
         .limit(rows)
     )
-    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= text_bytes)
     # At most ``rows`` ids and labels are broadcast.
-    joined = texts.join(F.broadcast(known), "doc_id")
+    joined = texts.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     table = (
         joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).toArrow()
     ).sort_by("doc_id")
