@@ -27,7 +27,17 @@ from contestlab.llm.tables import (
     text_slices,
     with_fields,
 )
-from contestlab.llm.words import batch_words, hash_spans, spans, text_bytes
+from contestlab.llm.words import (
+    _BASE,
+    _INVERSE,
+    CHUNK_BYTES,
+    batch_words,
+    mix,
+    power,
+    running_sums,
+    spans,
+    text_bytes,
+)
 
 BUCKETS = 1 << 16
 RANK = 8
@@ -78,6 +88,32 @@ class Features:
     statistics: np.ndarray
 
 
+def class_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many bytes of each kind every text has, some bytes at a time."""
+    out = np.zeros((len(offsets) - 1, _CLASSES.shape[1]), np.int64)
+    for at in range(0, len(data), CHUNK_BYTES):
+        part = data[at : at + CHUNK_BYTES]
+        own = np.clip(offsets - at, 0, len(part))
+        for k in range(_CLASSES.shape[1]):
+            run = np.concatenate([[0], np.cumsum(_CLASSES[part, k])])
+            out[:, k] += run[own[1:]] - run[own[:-1]]
+    return out
+
+
+def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of all lines, some bytes at a time; a line may go on
+    through any number of chunks."""
+    starts, ends = spans(data != 10, offsets)
+    sums = np.zeros(len(starts), np.uint64)
+    for at in range(0, len(data), CHUNK_BYTES):
+        part = data[at : at + CHUNK_BYTES]
+        own = slice(np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + len(part)))
+        run = running_sums(part) * power(_BASE, np.array([at]))
+        first, last = (np.clip(x[own] - at, 0, len(part)) for x in (starts, ends))
+        sums[own] += run[last] - run[first]
+    return starts, mix(sums * power(_INVERSE, starts))
+
+
 def features(texts: pa.Array) -> Features:
     n = len(texts)
     data, offsets = text_bytes(texts)
@@ -86,14 +122,12 @@ def features(texts: pa.Array) -> Features:
     counts = np.diff(words.offsets).astype(np.float64)
     per_text = np.maximum(np.diff(offsets), 1).astype(np.float64)
     statistics = np.zeros((n, STATISTICS), np.float32)
-    for k in range(_CLASSES.shape[1]):
-        run = np.concatenate([[0], np.cumsum(_CLASSES[data, k])])
-        statistics[:, k] = (run[offsets[1:]] - run[offsets[:-1]]) / per_text
+    statistics[:, : _CLASSES.shape[1]] = class_counts(data, offsets) / per_text[:, None]
     distinct, most = _distinct(owner, words.hashes, n)
-    starts, ends = spans(data != 10, offsets)
+    starts, hashes = line_hashes(data, offsets)
     line_owner = np.searchsorted(offsets, starts, "right") - 1
     lines = np.bincount(line_owner, minlength=n).astype(np.float64)
-    line_kinds, line_most = _distinct(line_owner, hash_spans(data, starts, ends)[0], n)
+    line_kinds, line_most = _distinct(line_owner, hashes, n)
     some, some_lines = np.maximum(counts, 1), np.maximum(lines, 1)
     length = np.bincount(owner, words.lengths, n) / some
     rest = [

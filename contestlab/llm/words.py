@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+CHUNK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -91,27 +92,70 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def hash_spans(values: np.ndarray, starts: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
-    """A 64-bit hash of each span of byte values, by one running sum; one array
-    for each array of ends."""
+def power(base: np.uint64, exponents: np.ndarray) -> np.ndarray:
+    """``base`` to each exponent, modulo 2**64."""
+    left, step = exponents.astype(np.uint64), np.full(1, base, np.uint64)
+    out = np.ones(len(left), np.uint64)
+    while left.any():
+        out = np.where(left & np.uint64(1), out * step, out)
+        left, step = left >> np.uint64(1), step * step
+    return out
+
+
+def running_sums(values: np.ndarray) -> np.ndarray:
+    """Sums of the byte values before each place, each by a power of its place."""
     run = np.empty(len(values) + 1, np.uint64)
     run[0] = 0
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(values)), out=run[1:])
+    return run
+
+
+def hash_spans(values: np.ndarray, starts: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
+    """A 64-bit hash of each span of byte values, by one running sum; one array
+    for each array of ends."""
+    run = running_sums(values)
     back, before = powers(_INVERSE, len(values) + 1)[starts], run[starts]
     return [mix((run[e] - before) * back) for e in ends]
 
 
-def batch_words(column: pa.Array, prefixes: tuple[int, ...] = ()) -> Words:
+def cuts(outside: np.ndarray, data: np.ndarray, size: int) -> list[int]:
+    """Places to cut ``data`` into parts of about ``size`` bytes, each before a byte
+    that ``outside`` holds for; a stretch without one stays whole."""
+    out = [0]
+    while len(data) - out[-1] > size:
+        at = out[-1] + size
+        while at < len(data):
+            window = outside[data[at : at + size]]
+            step = int(window.argmax())
+            if window[step]:
+                break
+            at += len(window)
+        if at >= len(data):
+            break
+        out.append(at + step)
+    return [*out, len(data)]
+
+
+def batch_words(
+    column: pa.Array, prefixes: tuple[int, ...] = (), chunk: int = CHUNK_BYTES
+) -> Words:
+    """The words of all texts. The arrays it works on take many times the bytes
+    they are made of, so a long text is gone through in chunks between words."""
     data, offsets = text_bytes(column)
-    values = LOWER[data]
-    starts, ends = spans(values != 0, offsets)
-    lengths = ends - starts
-    hashes = hash_spans(values, starts, ends, *[np.minimum(ends, starts + p) for p in prefixes])
-    heads = tuple(
-        np.where(lengths > p, mix(h + np.uint64(p)), np.uint64(0))
-        for p, h in zip(prefixes, hashes[1:])
-    )
-    return Words(hashes[0], np.searchsorted(starts, offsets), lengths, heads)
+    places = cuts(LOWER == 0, data, chunk)
+    parts = []
+    for a, b in zip(places[:-1], places[1:]):
+        values = LOWER[data[a:b]]
+        starts, ends = spans(values != 0, offsets - a)
+        lengths = ends - starts
+        hashes = hash_spans(values, starts, ends, *[np.minimum(ends, starts + p) for p in prefixes])
+        heads = (
+            np.where(lengths > p, mix(h + np.uint64(p)), np.uint64(0))
+            for p, h in zip(prefixes, hashes[1:])
+        )
+        parts.append((hashes[0], starts + a, lengths, *heads))
+    hashes, starts, lengths, *heads = map(np.concatenate, zip(*parts))
+    return Words(hashes, np.searchsorted(starts, offsets), lengths, tuple(heads))
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
