@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from contestlab.llm.components import components
 from contestlab.llm.registry import registered
 from contestlab.llm.tables import (
+    bounded_batches,
     extended,
     fresh,
     quoted,
@@ -49,11 +50,13 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS = 16
 ROWS = 4
-DRAW_BUCKETS = 1 << 16
+DRAW_ROWS = 1 << 13
 SEED = 1
 SALTS = 16
 PAIR_SALTS = 64
 LEADERS = 4
+STEPS = 16  # of total weight, from the threshold's part of it to the whole
+HOT_ROWS = 256
 ORDER_BUCKETS = 1 << 18
 FILTER_BITS = 24
 GROUP_BYTES = 4 << 20  # of text, per group of texts and per range of runs
@@ -96,8 +99,9 @@ def _runs(texts: pa.Array, width: int):
 
 
 def keyed_texts(docs: DataFrame, text: str, groups: int) -> DataFrame:
-    """(s, key, text) of the texts with words: ``s`` is the group that a text is
-    dealt to by its words. A task sends equal texts once."""
+    """(s, key, text) of the different texts with words: ``s`` is the group that a
+    text is dealt to by its words. A task sends equal texts once, and what several
+    tasks sent of one text becomes one row before a group is put together."""
 
     def key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -116,7 +120,9 @@ def keyed_texts(docs: DataFrame, text: str, groups: int) -> DataFrame:
                 texts = piece.column(text).take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([*columns, texts], names=["s", "key", "text"])
 
-    return docs.select(quoted(text)).mapInArrow(key, "s int, key binary, text string")
+    sent = docs.select(quoted(text)).mapInArrow(key, "s int, key binary, text string")
+    # Dealt by group already, the rows of a key are in one place.
+    return sent.repartition("s").groupBy("s", "key").agg(F.min("text").alias("text"))
 
 
 def _different(table: pa.Table, width: int):
@@ -235,37 +241,39 @@ def inverse_frequencies(counts: Frequencies, texts: int) -> Weights:
 @dataclass
 class Draws:
     """What consistent weighted sampling draws per feature and hash function:
-    r and c from a gamma distribution with shape two, b uniform. They are
-    tabled by a hash of the feature; a draw's identity is the feature itself."""
+    r and c from a gamma distribution with shape two, b uniform. A feature's hash
+    says in which row of a table its draws are, and at which column they begin,
+    round the row; so two features draw alike with chance 1 / (rows * functions).
+    Rows are stored twice over, so that a feature's draws stand together. A draw's
+    identity is the feature itself."""
 
+    functions: int
     r: np.ndarray
     log_c: np.ndarray
     b: np.ndarray
 
     @classmethod
     def table(cls, functions: int, seed: int) -> Draws:
-        at = np.arange(DRAW_BUCKETS * functions, dtype=np.uint64)
-        u = [
-            uniform(mix(at * np.uint64(8) + np.uint64(k) + np.uint64(seed) * np.uint64(0xA5A5A5A5B)))
-            for k in range(5)
-        ]
-        shape = (DRAW_BUCKETS, functions)
-        r = -np.log(u[0] * u[1])
-        log_c = np.log(-np.log(u[2] * u[3]))
-        return cls(*(x.reshape(shape).astype(np.float32) for x in (r, log_c, u[4])))
+        at = np.arange(DRAW_ROWS * functions, dtype=np.uint64).reshape(-1, functions)
+        at = at * np.uint64(8) + np.uint64(seed) * np.uint64(0xA5A5A5A5B)
+        u = [uniform(mix(at + np.uint64(k))) for k in range(5)]
+        tables = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
+        return cls(functions, *(np.tile(x.astype(np.float32), 2).ravel() for x in tables))
 
     def sample(self, features: np.ndarray, log_weights: np.ndarray) -> np.ndarray:
         """One 64-bit identity of (feature, level) per hash function."""
-        best = np.full(self.r.shape[1], np.inf, np.float32)
-        out = np.zeros(self.r.shape[1], np.uint64)
+        n = self.functions
+        tables = [np.lib.stride_tricks.sliding_window_view(x, n) for x in (self.r, self.log_c, self.b)]
+        best = np.full(n, np.inf, np.float32)
+        out = np.zeros(n, np.uint64)
         for at in range(0, len(features), _CHUNK):
             own = features[at : at + _CHUNK]
-            row = (own % np.uint64(DRAW_BUCKETS)).astype(np.int64)
-            r = self.r[row]
-            level = np.floor(log_weights[at : at + _CHUNK, None] / r + self.b[row])
-            value = self.log_c[row] - r * (level - self.b[row] + 1)
+            row, turn = own % np.uint64(DRAW_ROWS), (own >> np.uint64(40)) % np.uint64(n)
+            r, log_c, b = (x[(row * np.uint64(2 * n) + turn).astype(np.int64)] for x in tables)
+            level = np.floor(log_weights[at : at + _CHUNK, None] / r + b)
+            value = log_c - r * (level - b + 1)
             least = value.argmin(axis=0)
-            columns = np.arange(len(best))
+            columns = np.arange(n)
             better = value[least, columns] < best
             best = np.where(better, value[least, columns], best)
             identity = mix(own[least] ^ mix(level[least, columns].astype(np.int64).astype(np.uint64)))
@@ -275,7 +283,7 @@ class Draws:
 
 @lru_cache(maxsize=1)
 def _draws(functions: int, seed: int) -> Draws:
-    """The table, once for all groups of a worker."""
+    """The table, once for all groups of a task."""
     return Draws.table(functions, seed)
 
 
@@ -514,14 +522,47 @@ def pairs_by_prefix(
     # A feature whose texts are all of one class pairs none.
     ends = left.groupBy("feature").agg(F.min("a_class").alias("low"), F.max("a_class").alias("high"))
     several = ends.where("low <> high").select("feature")
-    left = salted_join(left, several, ["feature"], SALTS)
+    return reaching_pairs(salted_join(left, several, ["feature"], SALTS), setting.threshold)
+
+
+def reaching_pairs(left: DataFrame, threshold: float) -> DataFrame:
+    """(a, c), a < c: texts of different classes that share a feature of ``left``
+    (feature, a, a_class, a_rest, a_total) from which on both hold what the
+    threshold asks of their overlap.
+
+    Of two texts at the threshold, the overlap is a fixed part of both totals
+    together. So a text whose rest is small asks only for texts that are as much
+    lighter, down to the threshold's part of it; the lighter of two texts is looked up by
+    steps of its total. Texts of one template, which weigh alike and share too
+    little, do not meet. What still meets in a step that many texts are in is
+    spread: the asking rows are dealt, the others copied.
+    """
+    part = threshold / (1 + threshold) * (1 - 1e-6)
+    step = float(-np.log(threshold) / STEPS)
+    # The heaviest partner that the rest allows, if it is not heavier than the text.
+    heaviest = F.least("a_total", F.col("a_rest") / F.lit(part) - F.col("a_total"))
+    lightest = F.col("a_total") * F.lit(threshold * (1 - 1e-6))
+    steps = F.sequence(
+        F.floor(F.log(lightest) / F.lit(step)).cast("int"),
+        F.floor(F.log(heaviest) / F.lit(step)).cast("int"),
+    )
     right = left.withColumnsRenamed({n: n.replace("a", "c", 1) for n in left.columns if n[0] == "a"})
-    # Of two texts at the threshold, the overlap is this part of both together.
-    part = setting.threshold / (1 + setting.threshold) * (1 - 1e-6)
+    at_c = F.floor(F.log("c_total") / F.lit(step)).cast("int")
+    homes = written(right.withColumn("step", at_c), "homes")
+    hot = homes.groupBy("feature", "step").agg(F.count("*").alias("n"))
+    salts = F.least(F.lit(PAIR_SALTS), F.ceil(F.col("n") / HOT_ROWS)).cast("int")
+    hot = hot.select("feature", "step", salts.alias("salts"))
+    asking = left.where(heaviest >= lightest).withColumn("step", F.explode(steps))
+    asking = asking.join(hot, ["feature", "step"])
+    asking = asking.withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
+    copied = homes.join(hot, ["feature", "step"]).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    )
+    met = asking.join(copied.drop("salts"), ["feature", "step", "salt"])
     reach = F.least("a_rest", "c_rest") >= (F.col("a_total") + F.col("c_total")) * F.lit(part)
-    differ = F.expr("a < c AND a_class <> c_class")
-    met = left.join(right, (left.feature == right.feature) & differ & reach)
-    return met.select("a", "c").distinct()
+    lighter = F.expr("c_total < a_total OR c_total = a_total AND a < c")
+    found = met.where(F.expr("a_class <> c_class") & lighter & reach)
+    return found.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("c")).distinct()
 
 
 def links_and_classes(
@@ -585,6 +626,7 @@ def text_classes(
     docs: DataFrame, setting: Setting = Setting(), doc_id: str = "doc_id", text: str = "text"
 ) -> Classes:
     light = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
+    light = bounded_batches(light)
     rows = written(row_keys(light, "text"), "rows")
     texts = (
         rows.where("key IS NOT NULL")

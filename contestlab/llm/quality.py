@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from contestlab.llm.registry import registered
 from contestlab.llm.samples import Sample, held_out, labelled_sample
 from contestlab.llm.tables import (
+    bounded_batches,
     extended,
     fresh,
     quoted,
@@ -255,7 +256,7 @@ def quality_scores(
             found = machine.scores(piece.column(text))
             yield extended(piece, **{name: pa.array(found, pa.float64())})
 
-    return df.mapInArrow(score, with_fields(df, f"`{name}` double"))
+    return bounded_batches(df).mapInArrow(score, with_fields(df, f"`{name}` double"))
 
 
 @registered("op5_quality")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from contestlab.llm.registry import registered
-from contestlab.llm.tables import quoted, read, slices, with_fields
+from contestlab.llm.tables import bounded_batches, quoted, read, slices, with_fields
 from contestlab.llm.token_counts import vocabulary_path
 from contestlab.llm.words import _BASE, _INVERSE, hash_spans, mix, powers, text_bytes, uniform
 
@@ -663,7 +663,7 @@ def sampled_encodings(
     gives fewer rows. Rows with the same key and text get the same samples, a
     null key counts as a key. Other columns are ignored.
     """
-    rows = df.select(quoted(key), quoted(text))
+    rows = bounded_batches(df.select(quoted(key), quoted(text)))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.load(model)

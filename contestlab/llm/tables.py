@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+ARROW_BYTES = 4 << 20
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +36,27 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``ARROW_BYTES`` from now on,
+    if they may be larger: a task of either side then holds few megabytes of rows
+    at a time, whatever their number. A larger row is a batch of its own."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ARROW_LIMIT).rstrip("bB")) <= ARROW_BYTES:
+        conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
+    return df
+
+
+def give_back() -> None:
+    """Return memory that is free to the machine: a worker that later tasks and
+    stages use again should not keep what the largest of them needed."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -49,6 +72,7 @@ def slices(
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
 
 
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
