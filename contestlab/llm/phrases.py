@@ -1,9 +1,11 @@
 """Phrase collocations, counted with HAT-tries.
 
-Two passes read the texts. The first counts words, the second the phrases of
-frequent words only: a phrase is never more frequent than its words, so no other
-can be a candidate. Which words are frequent goes to the second pass as a bitmap
-of fixed size; a rare word that passes it by mistake costs time only.
+Three passes read the texts. The first counts words, the second pairs of
+frequent words, by 40-bit codes that several pairs may share; the third counts,
+exactly, phrases all of whose pairs have frequent codes. A phrase is never more
+frequent than its parts, so no other can be a candidate. What is frequent goes to
+the next pass as a bitmap of fixed size; a rare word or pair that passes it by
+mistake costs time only.
 
 A task counts phrases in a trie of word ids whose leaves are hash containers: a
 container of many phrases bursts into a node with a container for each next
@@ -25,12 +27,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contestlab.llm.registry import registered
-from contestlab.llm.tables import quoted, read, slices
-from contestlab.operators.attach import Lookup, MeasuredTable, attach, measured
+from contestlab.llm.tables import bounded_batches, quoted, read, slices
+from contestlab.operators.attach import Lookup, attach, measured
 from contestlab.sources.scratch import written
 
 LONGEST = 4
@@ -46,6 +48,8 @@ BURST_ENTRIES = 4096
 HELD_WORDS = 400_000
 RUN_ROWS = 50_000
 _ID_BITS = 21
+_STEP = 65_599  # of pairs' codes
+_CODE_BITS = 40
 
 # Words are split at spaces and tabs, pieces at these signs and at line ends.
 _TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
@@ -77,10 +81,10 @@ def by_lang(piece: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
 
 def texts_of(docs: DataFrame, text: str, lang: str) -> DataFrame:
     named = F.coalesce(quoted(lang).cast("string"), F.lit(NO_LANG))
-    return docs.select(quoted(text).alias("text"), named.alias("lang"))
+    return bounded_batches(docs.select(quoted(text).alias("text"), named.alias("lang")))
 
 
-RUN = "lang string, phrase string, size int, f bigint"
+RUN = "lang string, phrase string, f bigint"
 
 
 def word_runs(texts: DataFrame, held: int = HELD_WORDS) -> DataFrame:
@@ -96,10 +100,9 @@ def word_runs(texts: DataFrame, held: int = HELD_WORDS) -> DataFrame:
                     [
                         pa.array([lang] * len(found), pa.string()),
                         pa.array(found, pa.binary()).cast(pa.string()),
-                        pa.array([1] * len(found), pa.int32()),
                         pa.array([own[w] for w in found], pa.int64()),
                     ],
-                    names=["lang", "phrase", "size", "f"],
+                    names=["lang", "phrase", "f"],
                 )
             words.clear()
 
@@ -116,19 +119,27 @@ def word_runs(texts: DataFrame, held: int = HELD_WORDS) -> DataFrame:
     return texts.mapInArrow(count, RUN)
 
 
-def frequent_words(words: DataFrame, bits: int = FILTER_BITS) -> Broadcast:
-    """A bitmap of the words (lang, phrase) by a hash: at most 2**bits bits, of
-    which those that are set are sent."""
-    at = F.crc32(F.concat(F.col("lang"), F.lit("\n"), F.col("phrase")).cast("binary")) % (1 << bits)
+def bitmap_of(places: DataFrame, bits: int = FILTER_BITS) -> Broadcast:
+    """The bits that are set: at most 2**bits, however many rows there are."""
     table = (
-        words.select(at.alias("at"))
-        .groupBy(F.expr("at div 64").cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+        places.groupBy(F.expr(f"at % {1 << bits} div 64").cast("int").alias("word"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(at % {1 << bits} % 64 as int))")).alias("bits"))
         .toArrow()
     )
     bitmap = np.zeros(1 << bits >> 6, np.uint64)
     bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy().astype(np.uint64)
-    return words.sparkSession.sparkContext.broadcast(bitmap)
+    return places.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def frequent_words(words: DataFrame, bits: int = FILTER_BITS) -> Broadcast:
+    code = F.crc32(F.concat(F.col("lang"), F.lit("\n"), F.col("phrase")).cast("binary"))
+    return bitmap_of(words.select(code.alias("at")), bits)
+
+
+def frequent_pairs(runs: DataFrame, least: int, bits: int = FILTER_BITS) -> Broadcast:
+    """The pairs, in runs by code, whose code occurs often enough."""
+    codes = runs.groupBy("code").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    return bitmap_of(codes.select(F.col("code").alias("at")), bits)
 
 
 class _Ids(dict):
@@ -138,27 +149,42 @@ class _Ids(dict):
     def __init__(self, lang: str, bitmap: np.ndarray, bits: int):
         self.seed, self.bitmap, self.bits = crc32(lang.encode() + b"\n"), bitmap, bits
         self.words: list[bytes] = [b""]
+        self.codes: list[int] = [0]
 
     def __missing__(self, token: bytes) -> int:
-        at = crc32(token, self.seed) % (1 << self.bits)
+        code = crc32(token, self.seed)
+        at = code % (1 << self.bits)
         known = int(self.bitmap[at >> 6]) >> (at & 63) & 1
         if known and (len(token) > 1 or token[0] not in _SIGNS):
             self.words.append(token)
+            self.codes.append(code)
             self[token] = len(self.words) - 1
         else:
             self[token] = 0
         return self[token]
 
 
-def starts_of(ids: np.ndarray, size: int, seen: int) -> np.ndarray:
-    """Where phrases of ``size`` words start that end behind the first ``seen`` ids."""
-    n = len(ids) - size + 1
+    def pair_codes(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        codes = np.array(self.codes, np.int64)
+        return (codes[first] * _STEP + codes[second]) % (1 << _CODE_BITS)
+
+    def pairs(self, own: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+        """Which ids make a frequent pair with the id behind them."""
+        at = self.pair_codes(own[:-1], own[1:]) % (1 << self.bits)
+        known = bitmap[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
+        return (known > 0) & (own[:-1] > 0) & (own[1:] > 0)
+
+
+def starts_of(joined: np.ndarray, size: int, seen: int) -> np.ndarray:
+    """Where phrases of ``size`` words start that end behind the first ``seen``
+    words; ``joined`` says which words go on with the word behind them."""
+    n = len(joined) - size + 2
     first = max(0, seen - size + 1)
     if n <= first:
         return np.zeros(0, np.int64)
-    inside = ids[first:n] > 0
-    for k in range(1, size):
-        inside &= ids[first + k : n + k] > 0
+    inside = joined[first:n].copy()
+    for k in range(1, size - 1):
+        inside &= joined[first + k : n + k]
     return np.flatnonzero(inside) + first
 
 
@@ -259,29 +285,42 @@ def sorted_run(
             [
                 pa.array([lang] * len(phrases), pa.string()),
                 phrases.cast(pa.string()),
-                pa.array((own > 0).sum(axis=0), pa.int32()),
                 pa.array(counts[order[at : at + RUN_ROWS]]),
             ],
-            names=["lang", "phrase", "size", "f"],
+            names=["lang", "phrase", "f"],
         )
 
 
+def code_run(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(codes)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(codes[order]), pa.array(counts[order])], names=["code", "f"]
+    )
+
+
 def phrase_runs(
     texts: DataFrame,
     frequent: Broadcast,
+    pairs: Broadcast | None = None,
     bits: int = FILTER_BITS,
     entries: int = TRIE_ENTRIES,
     held: int = HELD_WORDS,
     chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Counts of phrases of two words to ``LONGEST``, as runs of subtrees."""
+    """Runs of subtrees: counts of pairs of frequent words by code, or with frequent
+    ``pairs``, counts of the phrases of two words to ``LONGEST`` made of them."""
+    sizes = range(2, 3 if pairs is None else LONGEST + 1)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: dict[str, tuple[_Ids, HatTrie]] = {}
 
         def spilled(keep: int) -> Iterator[pa.RecordBatch]:
             for lang, (ids, trie) in tries.items():
-                yield from sorted_run(lang, ids.words, trie.spill(keep))
+                if pairs is None:
+                    first, rest, counts = trie.spill(keep)
+                    yield code_run(ids.pair_codes(first, rest >> 2 * _ID_BITS), counts)
+                else:
+                    yield from sorted_run(lang, ids.words, trie.spill(keep))
 
         for piece in slices(batches, "text"):
             for lang, data in by_lang(piece):
@@ -292,9 +331,13 @@ def phrase_runs(
                 for part in tokens(data, chunk):
                     own = np.fromiter(map(ids.__getitem__, part), np.int64, len(part))
                     own, seen = np.concatenate([behind, own]), len(behind)
+                    if pairs is None:
+                        joined = (own[:-1] > 0) & (own[1:] > 0)
+                    else:
+                        joined = ids.pairs(own, pairs.value)
                     first, rest = [], []
-                    for size in range(2, LONGEST + 1):
-                        at = starts_of(own, size, seen)
+                    for size in sizes:
+                        at = starts_of(joined, size, seen)
                         packed = np.zeros(len(at), np.int64)
                         for k in range(1, size):
                             packed |= own[at + k] << (3 - k) * _ID_BITS
@@ -312,15 +355,15 @@ def phrase_runs(
                         behind = np.array([ids[w] if w else 0 for w in last], np.int64)
         yield from spilled(0)
 
-    return texts.mapInArrow(count, RUN)
+    return texts.mapInArrow(count, "code bigint, f bigint" if pairs is None else RUN)
 
 
 def merged(runs: DataFrame, least: int) -> DataFrame:
     """Phrases of ``least`` occurrences or more, by partitions of prefixes."""
-    prefix = F.substring_index("phrase", " ", 3)
-    together = runs.withColumn("prefix", prefix).repartition("lang", "prefix")
-    counts = together.groupBy("lang", "prefix", "phrase", "size").agg(F.sum("f").alias("f"))
-    return counts.where(F.col("f") >= least).select("lang", "phrase", "size", "f")
+    prefix = F.hash("lang", F.substring_index("phrase", " ", 3))
+    together = runs.withColumn("prefix", prefix).repartition("prefix")
+    counts = together.groupBy("prefix", "lang", "phrase").agg(F.sum("f").alias("f"))
+    return counts.where(F.col("f") >= least).select("lang", "phrase", "f")
 
 
 @dataclass(frozen=True)
@@ -335,12 +378,14 @@ class Counts:
 def phrase_counts(docs: DataFrame, text: str, lang: str, least: int) -> Counts:
     texts = texts_of(docs, text, lang)
     # Words are summed by themselves; a language may hold any share of them.
-    every = word_runs(texts).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
-    every = written(every, "words")
+    every = written(word_runs(texts).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     words = every.where(F.col("f") >= least)
-    long = merged(phrase_runs(texts, frequent_words(words)), least)
-    grams = written(words.unionByName(long), "grams")
-    return Counts(every.groupBy("lang").agg(F.sum("f").alias("n")), grams)
+    known = frequent_words(words)
+    pairs = frequent_pairs(phrase_runs(texts, known), least)
+    long = merged(phrase_runs(texts, known, pairs), least)
+    size = (F.length(F.regexp_replace("phrase", "[^ ]", "")) + 1).alias("size")
+    grams = words.unionByName(long).select("lang", "phrase", size, "f")
+    return Counts(every.groupBy("lang").agg(F.sum("f").alias("n")), written(grams, "grams"))
 
 
 def _exact(name: str) -> str:
@@ -350,8 +395,7 @@ def _exact(name: str) -> str:
 def scored(grams: DataFrame) -> DataFrame:
     """(lang, phrase, size, a, l, r, score) of the phrases of two words and more,
     by the cut with the lowest score. Products are decimals of up to 38 digits."""
-    table = measured(grams)
-    table = MeasuredTable(table.df, table.rows, table.bytes, {("lang", "phrase")})
+    table = measured(grams, ["lang", "phrase"])
     cuts = (
         table.df.where("size > 1")
         .select("*", F.explode(F.expr("sequence(1, size - 1)")).alias("k"))
@@ -379,8 +423,7 @@ def uncovered(candidates: DataFrame, percent: int = INSIDE_PERCENT) -> DataFrame
         .select("lang", "a", F.expr("array_join(slice(w, at, m), ' ')").alias("phrase"))
     )
     around = inner.groupBy("lang", "phrase").agg(F.max("a").alias("around"))
-    table = measured(around)
-    table = MeasuredTable(table.df, table.rows, table.bytes, {("lang", "phrase")})
+    table = measured(around, ["lang", "phrase"])
     keys = {"lang": "lang", "phrase": "phrase"}
     out = attach(candidates, Lookup(table, keys, {"around": "around"}))
     covered = F.expr(f"100 * {_exact('around')} >= {percent} * {_exact('a')}")
