@@ -41,6 +41,7 @@ SAMPLES = 2
 SEED = 7
 SLICE_BYTES = 1 << 20
 LATTICE_BYTES = 1 << 16
+KEPT_BYTES = 1 << 20
 RANK_SHIFT = 10.0
 MARK = "▁"
 _SLOT_BITS = 20
@@ -163,103 +164,120 @@ class Paths:
     log_prob: np.ndarray
 
 
-class Lattice:
+class Arcs:
+    """The possible arcs of some nodes: by node the first and how many, by arc its
+    length, log probability, piece, and the probability of the node's arcs before it."""
+
+    def __init__(self):
+        self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int16)
+        self.length, self.piece = np.zeros(0, np.int16), np.zeros(0, np.int32)
+        self.log_prob, self.below = np.zeros(0, np.float32), np.zeros(0, np.float32)
+
+    def step(self, nodes: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The length, log probability and piece of an arc per node, by its probability."""
+        arc = self.first[nodes] + self.count[nodes] - 1
+        above = np.flatnonzero(self.below[arc] > u)
+        while len(above):
+            arc[above] -= 1
+            above = above[self.below[arc[above]] > u[above]]
+        return self.length[arc], self.log_prob[arc], self.piece[arc]
+
+    def arc(self, nodes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The arcs of these lengths, one per node."""
+        arc = self.first[nodes]
+        other = np.flatnonzero(self.length[arc] != lengths)
+        while len(other):
+            arc[other] += 1
+            other = other[self.length[arc[other]] != lengths[other]]
+        return arc
+
+    def rows(self, nodes: np.ndarray, width: int) -> np.ndarray:
+        """Log probabilities by node and arc length - 1."""
+        out = np.full((len(nodes), width), -np.inf)
+        counts = self.count[nodes].astype(np.int64)
+        arcs = spans(self.first[nodes], counts)
+        out[np.repeat(np.arange(len(nodes)), counts), self.length[arcs] - 1] = self.log_prob[arcs]
+        return out
+
+
+class Lattice(Arcs):
     """The lattices of some units, each a span of ``data``."""
 
     def __init__(self, vocabulary: Vocabulary, data: np.ndarray, lengths: np.ndarray):
-        self.starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        n, width = len(data), vocabulary.longest
-        remaining = np.repeat(self.starts + lengths, lengths) - np.arange(n)
+        self.starts = np.cumsum(lengths) - lengths
+        self.ends = self.starts + lengths
+        n = len(data)
+        remaining = np.repeat(self.ends, lengths) - np.arange(n)
         chars = char_lengths(data)
         run = np.empty(n + 1, np.uint64)
         run[0] = 0
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=run[1:])
         back = powers(_INVERSE, n + 1)
         heads = np.flatnonzero(chars > 0)
-        begins, arcs, widest = heads, [], 4
+        begins, arcs = heads, []
+        whole = np.zeros(n, bool)  # characters that are pieces
         # An arc ends where a character ends; pieces are whole characters.
-        for length in range(1, width + 1):
+        for length in range(1, vocabulary.longest + 1):
             begins = begins[remaining[begins] >= length]
             hashes = mix((run[begins + length] - run[begins]) * back[begins])
-            found = vocabulary.find(hashes)
-            hit = np.flatnonzero(found >= 0)
-            if len(hit):
-                arcs.append((begins[hit], length - 1, found[hit]))
-                widest = max(widest, length)
-            begins = begins[vocabulary.begins(hashes)]
+            on = vocabulary.begins(hashes)
+            begins = begins[on]
             if not len(begins):
                 break
-        width = widest
-        weight = np.full((n, width), -np.inf, np.float32)
-        self.piece = np.full((n, width), -1, np.int32)
-        for nodes, column, found in arcs:
-            weight[nodes, column] = vocabulary.weights[found]
-            self.piece[nodes, column] = found
-        spelled = heads[weight[heads, chars[heads] - 1] == -np.inf]
-        weight[spelled, chars[spelled] - 1] = chars[spelled] * vocabulary.byte_weight
+            found = vocabulary.find(hashes[on])
+            hit = found >= 0
+            nodes = begins[hit]
+            whole[nodes] |= chars[nodes] == length
+            arcs.append((nodes, np.full(len(nodes), length), found[hit]))
+        spelled = heads[~whole[heads]]
+        arcs.append((spelled, chars[spelled], np.full(len(spelled), -1, np.int32)))
+
+        # Nodes by their distance from the unit's end, the arcs of a node together.
+        small = np.min_scalar_type(int(lengths.max()))
+        order = heads[np.argsort(remaining[heads].astype(small), kind="stable")]
+        rank = np.zeros(n, np.min_scalar_type(n))
+        rank[order] = np.arange(len(order))
+        nodes, length, piece = (np.concatenate(column) for column in zip(*arcs))
+        own = rank[nodes]
+        counts = np.bincount(own, minlength=len(order))
+        first = np.concatenate([[0], np.cumsum(counts)])
+        by_node = np.argsort(own, kind="stable")
+        nodes, length, self.piece = nodes[by_node], length[by_node], piece[by_node]
+        # The unit's end is not the next one's start.
+        target = np.where(remaining[nodes] == length, n, nodes + length)
+        weight = np.where(
+            self.piece < 0, length * vocabulary.byte_weight, vocabulary.weights[self.piece]
+        )
+        self.log_prob = weight.astype(np.float32)
+        self.length = length.astype(np.int16)
+        self.first, self.count = np.zeros(n, np.int32), np.zeros(n, np.int16)
+        self.first[order], self.count[order] = first[:-1], counts
 
         # Sums from the ends of the units, all nodes at the same distance at once.
-        behind = np.full(n + width + 1, -np.inf, np.float32)
-        order = heads[np.argsort(remaining[heads], kind="stable")]
+        behind = np.full(n + 1, -np.inf, np.float32)
+        behind[n] = 0
         cuts = np.flatnonzero(np.diff(remaining[order])) + 1
-        columns = np.arange(1, width + 1)
-        self.log_prob = weight
-        self.running = np.zeros((n, width), np.float32)
-        for nodes in np.split(order, cuts):
-            if not len(nodes):
+        for a, b in zip([0, *cuts], [*cuts, len(order)]):
+            i, j = first[a], first[b]
+            if i == j:
                 continue
-            left = int(remaining[nodes[0]])
-            span = min(left, width)
-            ahead = behind[nodes[:, None] + columns[:span]]
-            if left <= width:
-                ahead[:, left - 1] = 0  # the unit's end, not the next one's start
-            scores = weight[nodes, :span] + ahead
-            top = scores.max(axis=1)
-            parts = np.exp(scores - top[:, None])
-            parts = np.cumsum(parts, axis=1)
-            total = top + np.log(parts[:, -1])
-            behind[nodes] = total
-            self.log_prob[nodes, :span] = scores - total[:, None]
-            self.running[nodes, :span] = parts
-            self.running[nodes, span:] = parts[:, -1:]
-        self.ends = self.starts + lengths
-
-    def choose(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """A column (arc length - 1) per node, by its probability."""
-        running = self.running[nodes]
-        return (running < (u * running[:, -1])[:, None]).sum(axis=1)
+            scores = self.log_prob[i:j] + behind[target[i:j]]
+            heads = first[a:b] - i
+            top = np.maximum.reduceat(scores, heads)
+            parts = np.exp(scores - np.repeat(top, counts[a:b]))
+            top += np.log(np.add.reduceat(parts, heads))
+            behind[order[a:b]] = top
+            self.log_prob[i:j] = scores - np.repeat(top, counts[a:b])
+        share = np.exp(self.log_prob.astype(np.float64))
+        before = np.cumsum(share) - share
+        self.below = (before - np.repeat(before[first[:-1]], counts)).astype(np.float32)
 
     def sample(
         self, units: np.ndarray, seeds: np.ndarray, begin: np.ndarray | None = None
     ) -> Paths:
-        """One path per unit (from node ``begin`` on); draw s of a path comes
-        from its seed and s."""
-        ends = self.ends[units]
-        here = self.starts[units].copy() if begin is None else begin.copy()
-        log_prob = np.zeros(len(units))
-        active = np.flatnonzero(here < ends)
-        steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        while len(active):
-            nodes = here[active]
-            u = uniform(mix(seeds[active] + np.uint64(len(steps) + 1)))
-            column = self.choose(nodes, u.astype(np.float32))
-            log_prob[active] += self.log_prob[nodes, column]
-            steps.append((active, nodes, column))
-            here[active] = nodes + column + 1
-            active = active[here[active] < ends[active]]
-        counts = np.zeros(len(units), np.int64)
-        for own, _, _ in steps:
-            counts[own] += 1
-        offsets = np.concatenate([[0], np.cumsum(counts)])
-        at = np.zeros(offsets[-1], np.int64)
-        length = np.zeros(offsets[-1], np.int16)
-        piece = np.zeros(offsets[-1], np.int32)
-        for s, (own, nodes, column) in enumerate(steps):
-            place = offsets[own] + s
-            at[place] = nodes - self.starts[units[own]]
-            length[place] = column + 1
-            piece[place] = self.piece[nodes, column]
-        return Paths(offsets, at, length, piece, log_prob)
+        """One path per unit (from node ``begin`` on)."""
+        starts = self.starts[units]
+        return walked(starts, starts if begin is None else begin, self.ends[units], seeds, self.step)
 
     def differing(
         self, units: np.ndarray, paths: list[list[tuple]], seeds: np.ndarray
@@ -286,16 +304,17 @@ class Lattice:
         that none of them takes. Their masses are sums of what is left, not
         differences, so a small mass is as exact as a large one."""
         start = int(self.starts[unit[0]])
+        width = int(self.length.max())
         leaves: dict[tuple, np.ndarray] = {}
         before: dict[tuple, float] = {}
         for at, length, _, _ in paths:
             log_prob, prefix = 0.0, ()
             for node, step in zip((at + start).tolist(), length.tolist()):
                 if prefix not in leaves:
-                    leaves[prefix] = np.exp(self.log_prob[node].astype(np.float64))
+                    leaves[prefix] = np.exp(self.rows(np.array([node]), width)[0])
                     before[prefix] = log_prob
                 leaves[prefix][step - 1] = 0
-                log_prob += float(self.log_prob[node, step - 1])
+                log_prob += float(self.log_prob[self.arc(np.array([node]), np.array([step]))[0]])
                 prefix = (*prefix, step)
         names = list(leaves)
         mass = np.concatenate([np.exp(before[name]) * leaves[name] for name in names])
@@ -304,17 +323,17 @@ class Lattice:
             return None
         at = int(np.searchsorted(run, float(uniform(mix(seed + np.uint64(1)))[0]) * run[-1], "right"))
         at = min(at, int(np.flatnonzero(mass)[-1]))
-        width = self.log_prob.shape[1]
         prefix, column = names[at // width], at % width
         length = np.array([*prefix, column + 1], np.int16)
         place = np.concatenate([[0], np.cumsum(length[:-1], dtype=np.int64)]).astype(np.int64)
         end = start + int(place[-1]) + column + 1
         free = self.sample(unit, seed + np.uint64(3), np.array([end]))
-        log_prob = before[prefix] + float(self.log_prob[start + place[-1], column])
+        arcs = self.arc(start + place, length)
+        log_prob = before[prefix] + float(self.log_prob[arcs[-1]])
         return (
             np.concatenate([place, free.at]),
             np.concatenate([length, free.length]),
-            np.concatenate([self.piece[start + place, length - 1], free.piece]),
+            np.concatenate([self.piece[arcs], free.piece]),
             log_prob + float(free.log_prob[0]),
         )
 
@@ -328,10 +347,11 @@ class Lattice:
         at = np.concatenate([p[0] for p in paths])
         length = np.concatenate([p[1] for p in paths])
         nodes = np.repeat(self.starts[units], counts) + at
-        taken = self.log_prob[nodes, length - 1].astype(np.float64)
+        own = self.arc(nodes, length)
+        taken, piece = self.log_prob[own].astype(np.float64), self.piece[own]
         before = np.cumsum(taken) - taken
         before -= np.repeat(before[offsets[:-1]], counts)
-        others = np.exp(self.log_prob[nodes].astype(np.float64))
+        others = np.exp(self.rows(nodes, int(self.length.max())))
         others[np.arange(len(nodes)), length - 1] = 0
         leave = np.exp(before) * others.sum(axis=1)
         run = np.concatenate([[0.0], np.cumsum(leave)])
@@ -346,7 +366,8 @@ class Lattice:
         rows = np.cumsum(others[step], axis=1)
         column = (rows < (u[1] * rows[:, -1])[:, None]).sum(axis=1)
         free = self.sample(units, seeds + np.uint64(3), nodes[step] + column + 1)
-        log_prob = before[step] + self.log_prob[nodes[step], column] + free.log_prob
+        turn = self.arc(nodes[step], column + 1)
+        log_prob = before[step] + self.log_prob[turn] + free.log_prob
         out = []
         for i, s in enumerate(step.tolist()):
             kept = slice(offsets[i], s)
@@ -358,8 +379,8 @@ class Lattice:
                     np.append(np.append(length[kept], np.int16(c + 1)), free.length[own]),
                     np.concatenate(
                         [
-                            self.piece[nodes[kept], length[kept] - 1],
-                            self.piece[nodes[s], c : c + 1],
+                            piece[kept],
+                            self.piece[turn[i : i + 1]],
                             free.piece[own],
                         ]
                     ),
@@ -369,6 +390,101 @@ class Lattice:
         return out
 
 
+def walked(starts, begin, ends, seeds, step) -> Paths:
+    """One path per unit from node ``begin`` to its end by ``step``; draw s of a
+    path comes from its seed and s."""
+    here = begin.copy()
+    log_prob = np.zeros(len(here))
+    active = np.flatnonzero(here < ends)
+    steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    while len(active):
+        nodes = here[active]
+        u = uniform(mix(seeds[active] + np.uint64(len(steps) + 1)))
+        length, gained, piece = step(nodes, u)
+        log_prob[active] += gained
+        steps.append((active, nodes, length, piece))
+        nodes = nodes + length
+        here[active] = nodes
+        active = active[nodes < ends[active]]
+    counts = np.zeros(len(here), np.int64)
+    for own, *_ in steps:
+        counts[own] += 1
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    at = np.zeros(offsets[-1], np.int64)
+    length = np.zeros(offsets[-1], np.int16)
+    piece = np.zeros(offsets[-1], np.int32)
+    for s, (own, nodes, lengths, pieces) in enumerate(steps):
+        place = offsets[own] + s
+        at[place] = nodes - starts[own]
+        length[place] = lengths
+        piece[place] = pieces
+    return Paths(offsets, at, length, piece, log_prob)
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of the spans, one span behind the other."""
+    offsets = np.cumsum(lengths) - lengths
+    return np.repeat(starts - offsets, lengths) + np.arange(lengths.sum())
+
+
+class Kept(Arcs):
+    """Lattices of units by hash."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.hashes = np.zeros(0, np.uint64)  # sorted, as are the columns that go with them
+        self.heads, self.sizes, self.seen = (np.zeros(0, np.int64) for _ in range(3))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Where these hashes are, -1 for those that are not."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def add(self, hashes: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> None:
+        """Lattices of further units, built some at a time."""
+        starts = np.cumsum(sizes) - sizes
+        cuts = np.flatnonzero(np.diff(starts // LATTICE_BYTES)) + 1
+        found = []
+        for own in np.split(np.arange(len(sizes)), cuts):
+            begin, end = starts[own[0]], starts[own[-1]] + sizes[own[-1]]
+            found.append(Lattice(self.vocabulary, data[begin:end], sizes[own]))
+        parts = [self, *found]
+        shifts = np.cumsum([0, *(len(p.length) for p in parts[:-1])])
+        heads = len(self.first) + starts
+        self.first = np.concatenate([p.first + np.int32(shift) for p, shift in zip(parts, shifts)])
+        for name in ("count", "length", "piece", "log_prob", "below"):
+            setattr(self, name, np.concatenate([getattr(p, name) for p in parts]))
+        hashes = np.concatenate([self.hashes, hashes])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.heads = np.concatenate([self.heads, heads])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
+        self.seen = np.concatenate([self.seen, np.zeros(len(sizes), np.int64)])[order]
+
+    def trim(self, limit: int) -> None:
+        """Above one and a half ``limit`` bytes of units, keep the most frequent within it."""
+        if 2 * len(self.first) <= 3 * limit:
+            return
+        order = np.argsort(-self.seen, kind="stable")
+        rows = np.sort(order[np.cumsum(self.sizes[order]) <= limit])
+        nodes = spans(self.heads[rows], self.sizes[rows])
+        self.count = self.count[nodes]
+        counts = self.count.astype(np.int64)
+        arcs = spans(self.first[nodes], counts)
+        self.first = (np.cumsum(counts) - counts).astype(np.int32)
+        for name in ("length", "piece", "log_prob", "below"):
+            setattr(self, name, getattr(self, name)[arcs])
+        self.hashes, self.sizes, self.seen = self.hashes[rows], self.sizes[rows], self.seen[rows]
+        self.heads = np.cumsum(self.sizes) - self.sizes
+
+    def sample(self, units: np.ndarray, seeds: np.ndarray) -> Paths:
+        starts = self.heads[units]
+        return walked(starts, starts, starts + self.sizes[units], seeds, self.step)
+
+
 def unit_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the units of all texts, and the offsets of the texts in them."""
     n = len(data)
@@ -388,32 +504,61 @@ def cut_gumbel(location: np.ndarray, limit, u: np.ndarray) -> np.ndarray:
         return -np.logaddexp(-limit, noise - location)
 
 
+@dataclass
+class Units:
+    """The units of some texts: spans of ``data``, their hashes and seeds."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    seeds: np.ndarray
+
+    def bytes_of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return gathered(self.data, self.starts[units], self.ends[units] - self.starts[units])
+
+
+@dataclass
+class Draw:
+    """One path each of some units, the ids by unit, and which units decode to
+    their bytes."""
+
+    paths: Paths
+    ids: np.ndarray
+    offsets: np.ndarray
+    right: np.ndarray
+
+
 class Sampler:
     def __init__(self, vocabulary: Vocabulary, samples: int, seed: int):
         self.vocabulary, self.samples, self.seed = vocabulary, samples, seed
-
-    def draws(
-        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: np.ndarray
-    ) -> list[Paths]:
-        """``samples`` independent paths for every unit, from ``seeds`` by unit.
-        Lattices are built for distinct units, some at a time."""
-        hashes = hash_spans(data, starts, ends)[0]
-        _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-        lengths = (ends - starts)[first]
-        group = np.cumsum(lengths) // LATTICE_BYTES
-        parts: list[list[Paths]] = [[] for _ in range(self.samples)]
-        members: list[np.ndarray] = []
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(len(first) + 1))
-        for g in np.unique(group):
-            own = np.flatnonzero(group == g)
-            lattice = Lattice(self.vocabulary, *gathered(data, starts[first[own]], lengths[own]))
-            units = order[bounds[own[0]] : bounds[own[-1] + 1]]
-            members.append(units)
-            for k in range(self.samples):
-                shifted = mix(seeds[units] + np.uint64((k + 1) << 12))
-                parts[k].append(lattice.sample(kind[units] - own[0], shifted))
-        return [in_order(members, p, len(starts)) for p in parts]
+        self.kept = Kept(vocabulary)
+
+    def draw(self, all_: Units, units: np.ndarray, sample: int) -> Draw:
+        """An independent path for each of these units, from its seed. The lattices
+        of distinct units are taken from those kept or built, some at a time."""
+        seeds = mix(all_.seeds[units] + np.uint64((sample + 1) << 12))
+        names, first, kind, seen = np.unique(
+            all_.hashes[units], return_index=True, return_inverse=True, return_counts=True
+        )
+        first = units[first]
+        group = (np.cumsum(all_.ends[first] - all_.starts[first]) - 1) // (KEPT_BYTES // 2)
+        members, parts = [], []
+        for g in range(int(group[-1]) + 1 if len(group) else 0):
+            kinds = np.flatnonzero(group == g)
+            if not len(kinds):
+                continue
+            new = kinds[self.kept.find(names[kinds]) < 0]
+            if len(new):
+                self.kept.add(names[new], *all_.bytes_of(first[new]))
+            rows = self.kept.find(names[kinds])
+            self.kept.seen[rows] += seen[kinds]
+            own = np.flatnonzero(group[kind] == g)
+            members.append(own)
+            parts.append(self.kept.sample(rows[kind[own] - kinds[0]], seeds[own]))
+            self.kept.trim(KEPT_BYTES)
+        paths = parts[0] if len(parts) == 1 else in_order(members, parts, len(units))
+        return self.spelled(paths, all_, units)
 
     def run(self, texts: list[str], keys: list) -> list[list[tuple]]:
         """For each text, its samples (ids, log probability, Gumbel value,
@@ -429,37 +574,35 @@ class Sampler:
             return [[] for _ in texts]
         place = np.arange(len(starts)) - np.repeat(bounds[:-1], counts)
         seeds = mix(np.repeat(row_seeds, counts) + (place.astype(np.uint64) << np.uint64(16)))
-        draws = self.draws(data, starts, ends, seeds)
-        spelled = [self.spelled(d, data, starts, ends) for d in draws]
-        first = cut_values(draws[0].log_prob, bounds, row_seeds, seeds)
+        units = Units(data, starts, ends, hash_spans(data, starts, ends)[0], seeds)
+        draw = self.draw(units, np.arange(len(starts)), 0)
+        first = cut_values(draw.paths.log_prob, bounds, row_seeds, seeds)
         searches = {
-            i: _Search(i, bounds, draws, first, seeds, self.samples)
+            i: _Search(i, bounds, draw, first, seeds, self.samples)
             for i in np.flatnonzero(counts).tolist()
         }
         for sample in range(1, self.samples):
             open_ = list(searches.values())
             # A set that turns out to hold no other path is dropped for the next one.
             while popped := [(s, *best) for s in open_ if (best := s.pop()) is not None]:
-                open_ = self.branch(popped, sample, data, starts, ends, row_seeds)
+                open_ = self.branch(popped, sample, units, row_seeds)
         out: list[list[tuple]] = [[] for _ in texts]
         for i, search in searches.items():
-            out[i] = search.results(spelled)
+            out[i] = search.results()
         return out
 
-    def spelled(self, paths: Paths, data, starts, ends) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of all units, their offsets by unit, and which units decode
-        to their bytes."""
-        unit = np.repeat(np.arange(len(starts)), np.diff(paths.offsets))
-        ids, counts = self.ids(paths.at + starts[unit], paths.length, paths.piece, data)
+    def spelled(self, paths: Paths, all_: Units, units: np.ndarray) -> Draw:
+        own, lengths = all_.bytes_of(units)
+        begins = np.cumsum(lengths) - lengths
+        counts = np.diff(paths.offsets)
+        ids, counts = self.ids(paths.at + np.repeat(begins, counts), paths.length, paths.piece, own)
         per_arc = np.concatenate([[0], np.cumsum(counts)])
         again = self.vocabulary.spelled(ids)
-        if len(again) == len(data):
-            wrong = np.searchsorted(starts, np.flatnonzero(again != data), "right") - 1
-            right = np.ones(len(starts), bool)
-            right[wrong] = False
-        else:
-            right = np.zeros(len(starts), bool)
-        return ids, per_arc[paths.offsets], right
+        right = np.zeros(len(units), bool)
+        if len(again) == len(own):
+            right[:] = True
+            right[np.searchsorted(begins, np.flatnonzero(again != own), "right") - 1] = False
+        return Draw(paths, ids, per_arc[paths.offsets], right)
 
     def ids(self, at, length, piece, data) -> tuple[np.ndarray, np.ndarray]:
         """Ids of arcs, and how many each has; ``at`` is the arc's first byte."""
@@ -474,26 +617,30 @@ class Sampler:
         out[of_byte] = self.vocabulary.byte_ids[data[byte_at[of_byte]]]
         return out, counts
 
-    def branch(self, popped: list[tuple], sample: int, data, starts, ends, row_seeds) -> list:
+    def branch(self, popped: list[tuple], sample: int, all_: Units, row_seeds) -> list:
         """Complete the best path of every popped set: a unit that differs from
-        all paths gone before, then the sample's own draws. Returns the searches
-        whose set has no other path."""
+        all paths gone before, then draws of the units behind it. Returns the
+        searches whose set has no other path."""
         units = np.array([s.base + unit for s, _, _, unit in popped])
-        lengths = ends[units] - starts[units]
-        lattice = Lattice(self.vocabulary, *gathered(data, starts[units], lengths))
+        lattice = Lattice(self.vocabulary, *all_.bytes_of(units))
         seeds = mix(row_seeds[[s.i for s, *_ in popped]] + np.uint64(sample << 40))
         gone = [s.gone(parent, unit) for s, _, parent, unit in popped]
         found = lattice.differing(np.arange(len(popped)), gone, mix(seeds))
+        left = np.array([s.n - unit - 1 for s, _, _, unit in popped])
+        left[[arcs is None for arcs in found]] = 0
+        draw = self.draw(all_, spans(units + 1, left), sample) if left.any() else None
+        row = np.cumsum(left) - left
         empty = []
         for w, arcs in enumerate(found):
             search, value, parent, unit = popped[w]
             if arcs is None:
                 empty.append(search)
                 continue
-            ids, _ = self.ids(arcs[0] + starts[units[w]], arcs[1], arcs[2], data)
-            own = data[starts[units[w]] : ends[units[w]]]
-            right = np.array_equal(self.vocabulary.spelled(ids), own)
-            search.add(value, parent, unit, arcs, ids, right, gone[w], sample)
+            begin, end = all_.starts[units[w]], all_.ends[units[w]]
+            ids, _ = self.ids(arcs[0] + begin, arcs[1], arcs[2], all_.data)
+            right = np.array_equal(self.vocabulary.spelled(ids), all_.data[begin:end])
+            behind = (draw, int(row[w]) - unit - 1)
+            search.add(value, parent, unit, arcs, ids, right, gone[w], behind)
         return empty
 
 
@@ -526,13 +673,14 @@ class _Search:
     """The search in one text: its samples so far, and the queue of sets of
     paths, each by its Gumbel value, the sample it branches from and the unit."""
 
-    def __init__(self, i, bounds, draws, first, seeds, samples):
+    def __init__(self, i, bounds, draw, first, seeds, samples):
         self.i, self.base, self.n = i, int(bounds[i]), int(bounds[i + 1] - bounds[i])
         own = slice(self.base, self.base + self.n)
-        self.draws, self.samples = draws, samples
+        # A draw for each sample, and what is to be added to a unit to get its row there.
+        self.draws, self.samples = [(draw, self.base)], samples
         self.seeds = seeds[own]
         self.values = [float(first[0][i])]
-        self.log_probs = [draws[0].log_prob[own]]
+        self.log_probs = [draw.paths.log_prob[own]]
         # A path is a list of (draw, first unit, last unit + 1), or (ids, arcs, ...) for one unit.
         self.paths: list[list] = [[(0, 0, self.n)]]
         self.sets: dict[tuple, list] = {}
@@ -562,20 +710,23 @@ class _Search:
         source = next(s for s, b, e in self.paths[sample] if b <= unit < e)
         if isinstance(source, tuple):
             return source[0]
-        draw = self.draws[source]
-        own = slice(draw.offsets[self.base + unit], draw.offsets[self.base + unit + 1])
-        return draw.at[own], draw.length[own], draw.piece[own], draw.log_prob[self.base + unit]
+        draw, shift = self.draws[source]
+        paths, row = draw.paths, shift + unit
+        own = slice(paths.offsets[row], paths.offsets[row + 1])
+        return paths.at[own], paths.length[own], paths.piece[own], paths.log_prob[row]
 
-    def add(self, value, parent, unit, arcs, ids, right, gone, sample) -> None:
+    def add(self, value, parent, unit, arcs, ids, right, gone, behind) -> None:
         gone.append(arcs)
+        draw, shift = behind
+        self.draws.append(behind)
         head = [(s, b, min(e, unit)) for s, b, e in self.paths[parent] if b < unit]
         self.paths.append(
-            [*head, ((arcs, ids, right), unit, unit + 1), (sample, unit + 1, self.n)]
+            [*head, ((arcs, ids, right), unit, unit + 1), (len(self.draws) - 1, unit + 1, self.n)]
         )
         log_prob = self.log_probs[parent].copy()
         log_prob[unit] = arcs[3]
-        behind = slice(self.base + unit + 1, self.base + self.n)
-        log_prob[unit + 1 :] = self.draws[sample].log_prob[behind]
+        if unit + 1 < self.n:
+            log_prob[unit + 1 :] = draw.paths.log_prob[shift + unit + 1 : shift + self.n]
         self.log_probs.append(log_prob)
         self.values.append(value)
         rest = left_over(log_prob[unit:])
@@ -585,7 +736,7 @@ class _Search:
         u = uniform(mix(self.seeds[unit:] + np.uint64((len(self.paths) << 8) + 11)))
         self.enqueue(cut_gumbel(before + rest, value, u), len(self.paths) - 1, unit)
 
-    def results(self, spelled: list[tuple]) -> list[tuple]:
+    def results(self) -> list[tuple]:
         kappa = max((q[0] for q in self.queue), default=-np.inf)
         out = []
         for path, log_prob, value in zip(self.paths, self.log_probs, self.values):
@@ -596,11 +747,11 @@ class _Search:
                 if isinstance(source, tuple):
                     parts.append(source[1])
                     right &= source[2]
-                else:
-                    ids, offsets, same = spelled[source]
-                    a, b = self.base + begin, self.base + end
-                    parts.append(ids[offsets[a] : offsets[b]])
-                    right &= bool(same[a:b].all())
+                elif begin < end:
+                    draw, shift = self.draws[source]
+                    a, b = shift + begin, shift + end
+                    parts.append(draw.ids[draw.offsets[a] : draw.offsets[b]])
+                    right &= bool(draw.right[a:b].all())
             out.append((np.concatenate(parts), total, value, inclusion, right))
         return out
 
@@ -609,8 +760,7 @@ def gathered(
     data: np.ndarray, starts: np.ndarray, lengths: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of the spans, one behind the other, and the lengths."""
-    offsets = np.cumsum(lengths) - lengths
-    return data[np.repeat(starts - offsets, lengths) + np.arange(lengths.sum())], lengths
+    return data[spans(starts, lengths)], lengths
 
 
 def in_order(members: list[np.ndarray], parts: list[Paths], n: int) -> Paths:

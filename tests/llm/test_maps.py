@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from contestlab.llm import quality, toxicity
+from contestlab.llm import quality, segmentation, toxicity
 from contestlab.llm.samples import labelled_sample
 from contestlab.llm.segmentation import Sampler, Vocabulary, sampled_encodings
 from contestlab.llm.token_counts import Counter, token_counts, vocabulary_path
@@ -213,3 +213,24 @@ def test_decoding_is_the_library_s(vocabulary):
     for text, samples in zip(texts, Sampler(vocabulary, 2, 1).run(texts, list(range(len(texts))))):
         for ids, *_ in samples:
             assert library.decode(ids.tolist()) == text.replace("▁", " ")
+
+
+def test_kept_lattices_change_no_sample(vocabulary, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["hat", "the", "counting", "é漢字", "\U0001f600", "x" * 70, "a,b", "\n"]
+    texts = [" ".join(rng.choice(words, 1 + int(n))) for n in rng.integers(0, 40, 60)]
+    texts += [" ".join(rng.integers(0, 99999, 30).astype(str)) for _ in range(20)]
+
+    def samples(limit, per_run):
+        monkeypatch.setattr(segmentation, "KEPT_BYTES", limit)
+        sampler = Sampler(vocabulary, 3, 1)
+        out = []
+        for at in range(0, len(texts), per_run):
+            part = slice(at, at + per_run)
+            out += sampler.run(texts[part], list(range(len(texts)))[part])
+        assert len(sampler.kept.first) <= max(1.5 * limit, 0)
+        return [[(s[0].tolist(), *s[1:]) for s in own] for own in out]
+
+    whole = samples(1 << 20, len(texts))
+    assert samples(1 << 20, 7) == whole
+    assert samples(200, 7) == whole  # lattices are dropped and built again, groups are small
