@@ -1,11 +1,11 @@
 """Phrase collocations, counted with HAT-tries.
 
-Three passes read the texts. The first counts words, the second pairs of
-frequent words, by 40-bit codes that several pairs may share; the third counts,
-exactly, phrases all of whose pairs have frequent codes. A phrase is never more
-frequent than its parts, so no other can be a candidate. What is frequent goes to
-the next pass as a bitmap of fixed size; a rare word or pair that passes it by
-mistake costs time only.
+Four passes read the texts. The first counts words, the second pairs of frequent
+words, the third triples of frequent pairs, both by 40-bit codes that several may
+share; the fourth counts, exactly, phrases all of whose pairs and triples have
+frequent codes. A phrase is never more frequent than its parts, so no other can be
+a candidate. What is frequent goes to the next pass as a bitmap of fixed size; a
+rare word, pair or triple that passes it by mistake costs time only.
 
 A task counts phrases in a trie of word ids whose leaves are hash containers: a
 container of many phrases bursts into a node with a container for each next
@@ -18,9 +18,11 @@ there.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
 from zlib import crc32
 
 import numpy as np
@@ -46,25 +48,31 @@ CHUNK_BYTES = 1 << 20
 TRIE_ENTRIES = 600_000
 BURST_ENTRIES = 4096
 HELD_WORDS = 400_000
+HELD_CODES = 1 << 22
 RUN_ROWS = 50_000
 _ID_BITS = 21
-_STEP = 65_599  # of pairs' codes
+_STEP = 65_599  # of the codes of pairs and triples
 _CODE_BITS = 40
 
 # Words are split at spaces and tabs, pieces at these signs and at line ends.
-_TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
+_SIGNS = b".,;:!?\n\x0b\x0c\r"
 _EDGE = re.compile(rb"[ \t.,;:!?\n-\r]")
-_SIGNS = frozenset(b".,;:!?\n\x0b\x0c\r")
+_SIGN = b"."  # stands for all of them
+_PLAIN = bytes.maketrans(
+    _SIGNS + b"\t" + ascii_uppercase.encode(),
+    _SIGN * len(_SIGNS) + b" " + ascii_lowercase.encode(),
+)
 
 
 def tokens(data: bytes, chunk: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
-    """Words and signs of lower-cased ``data`` in order, some at a time; it is cut
-    beside a sign or white space only."""
+    """Words of lower-cased ``data`` in order, and ``_SIGN`` where a piece ends, some
+    at a time; it is cut beside a sign or white space only."""
     start = 0
     while start < len(data):
         edge = _EDGE.search(data, start + chunk)
         end = edge.start() if edge else len(data)
-        yield _TOKEN.findall(data[start:end].lower())
+        plain = data[start:end].translate(_PLAIN)
+        yield plain.replace(_SIGN, b" " + _SIGN + b" ").split()
         start = end
 
 
@@ -95,7 +103,7 @@ def word_runs(texts: DataFrame, held: int = HELD_WORDS) -> DataFrame:
 
         def emptied() -> Iterator[pa.RecordBatch]:
             for lang, own in words.items():
-                found = [w for w in own if len(w) > 1 or w[0] not in _SIGNS]
+                found = [w for w in own if w != _SIGN]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang] * len(found), pa.string()),
@@ -137,8 +145,10 @@ def frequent_words(words: DataFrame, bits: int = FILTER_BITS) -> Broadcast:
 
 
 def frequent_pairs(runs: DataFrame, least: int, bits: int = FILTER_BITS) -> Broadcast:
-    """The pairs, in runs by code, whose code occurs often enough."""
-    codes = runs.groupBy("code").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    """The pairs or triples, in runs by code, whose code occurs often enough. A run
+    has a code once, so runs are dealt by code as they are."""
+    sums = runs.repartition("code").groupBy("code").agg(F.sum("f").alias("f"))
+    codes = sums.where(F.col("f") >= least)
     return bitmap_of(codes.select(F.col("code").alias("at")), bits)
 
 
@@ -149,13 +159,12 @@ class _Ids(dict):
     def __init__(self, lang: str, bitmap: np.ndarray, bits: int):
         self.seed, self.bitmap, self.bits = crc32(lang.encode() + b"\n"), bitmap, bits
         self.words: list[bytes] = [b""]
-        self.codes: list[int] = [0]
+        self.codes = array("q", [0])
 
     def __missing__(self, token: bytes) -> int:
         code = crc32(token, self.seed)
         at = code % (1 << self.bits)
-        known = int(self.bitmap[at >> 6]) >> (at & 63) & 1
-        if known and (len(token) > 1 or token[0] not in _SIGNS):
+        if token != _SIGN and int(self.bitmap[at >> 6]) >> (at & 63) & 1:
             self.words.append(token)
             self.codes.append(code)
             self[token] = len(self.words) - 1
@@ -163,16 +172,48 @@ class _Ids(dict):
             self[token] = 0
         return self[token]
 
-
-    def pair_codes(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        codes = np.array(self.codes, np.int64)
-        return (codes[first] * _STEP + codes[second]) % (1 << _CODE_BITS)
-
-    def pairs(self, own: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-        """Which ids make a frequent pair with the id behind them."""
-        at = self.pair_codes(own[:-1], own[1:]) % (1 << self.bits)
-        known = bitmap[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
-        return (known > 0) & (own[:-1] > 0) & (own[1:] > 0)
+    def codes_of(self, own: np.ndarray, size: int) -> np.ndarray:
+        """The codes of all windows of ``size`` ids."""
+        n = max(0, len(own) - size + 1)
+        one = np.frombuffer(self.codes, np.int64)[own]
+        out = one[:n]
+        for k in range(1, size):
+            out = (out * _STEP + one[k : n + k]) % (1 << _CODE_BITS)
+        return out
+
+    def marked(self, own: np.ndarray, known: list[np.ndarray]) -> list[np.ndarray]:
+        """Which windows of two ids, of three, ... are frequent by the bitmaps ``known``
+        of those sizes, and so are all windows inside; at last, which windows of one id
+        more have frequent windows inside."""
+        marks = (own[:-1] > 0) & (own[1:] > 0)
+        out = []
+        for size, bitmap in enumerate(known, 2):
+            at = self.codes_of(own, size) % (1 << self.bits)
+            marks = marks & (bitmap[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) > 0)
+            out.append(marks)
+            marks = marks[:-1] & marks[1:]
+        return [*out, marks]
+
+
+def numbered(
+    batches: Iterable[pa.RecordBatch], bitmap: np.ndarray, bits: int, held: int, chunk: int
+) -> Iterator[tuple[int, str, _Ids, np.ndarray, int]]:
+    """(era, lang, ids, own, seen): the texts as ids, a chunk at a time. ``own`` begins
+    with the last ``seen`` words of the chunk before. A new era gives all ids anew."""
+    era, known = 0, {}
+    for piece in slices(batches, "text"):
+        for lang, data in by_lang(piece):
+            behind: list[bytes] = []
+            for part in tokens(data, chunk):
+                if sum(map(len, known.values())) > held:
+                    era += 1
+                    known.clear()
+                if lang not in known:
+                    known[lang] = _Ids(lang, bitmap, bits)
+                found = behind + part
+                own = np.fromiter(map(known[lang].__getitem__, found), np.int64, len(found))
+                yield era, lang, known[lang], own, len(behind)
+                behind = found[-(LONGEST - 1) :]
 
 
 def starts_of(joined: np.ndarray, size: int, seen: int) -> np.ndarray:
@@ -291,11 +332,38 @@ def sorted_run(
         )
 
 
-def code_run(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(codes)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(codes[order]), pa.array(counts[order])], names=["code", "f"]
-    )
+def code_runs(
+    texts: DataFrame,
+    frequent: Broadcast,
+    known: tuple[Broadcast, ...] = (),
+    bits: int = FILTER_BITS,
+    entries: int = HELD_CODES,
+    held: int = HELD_WORDS,
+    chunk: int = CHUNK_BYTES,
+) -> DataFrame:
+    """Counts by code, in sorted runs, of the pairs of frequent words; with the frequent
+    pairs ``known``, of the triples made of them."""
+    size = len(known) + 2
+
+    def run(codes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, counts = np.unique(np.concatenate(codes), return_counts=True)
+        batch = pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], names=["code", "f"])
+        for at in range(0, len(found), RUN_ROWS):
+            yield batch.slice(at, RUN_ROWS)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps = [k.value for k in known]
+        codes, n = [np.zeros(0, np.int64)], 0
+        for _, _, ids, own, seen in numbered(batches, frequent.value, bits, held, chunk):
+            at = starts_of(ids.marked(own, maps)[-1], 2, seen - size + 2)
+            codes.append(ids.codes_of(own, size)[at])
+            n += len(at)
+            if n > entries:
+                yield from run(codes)
+                codes, n = [np.zeros(0, np.int64)], 0
+        yield from run(codes)
+
+    return texts.mapInArrow(count, "code bigint, f bigint")
 
 
 def phrase_runs(
@@ -306,56 +374,46 @@ def phrase_runs(
     entries: int = TRIE_ENTRIES,
     held: int = HELD_WORDS,
     chunk: int = CHUNK_BYTES,
+    triples: Broadcast | None = None,
 ) -> DataFrame:
-    """Runs of subtrees: counts of pairs of frequent words by code, or with frequent
-    ``pairs``, counts of the phrases of two words to ``LONGEST`` made of them."""
-    sizes = range(2, 3 if pairs is None else LONGEST + 1)
+    """Runs of subtrees: counts of the phrases of two words to ``LONGEST`` made of
+    frequent ``pairs`` and, where given, ``triples``. Without either, the counts by
+    code that tell which pairs are frequent."""
+    if pairs is None:
+        return code_runs(texts, frequent, (), bits, entries, held, chunk)
+    known = [pairs] if triples is None else [pairs, triples]
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps = [k.value for k in known]
         tries: dict[str, tuple[_Ids, HatTrie]] = {}
+        last = 0
 
         def spilled(keep: int) -> Iterator[pa.RecordBatch]:
             for lang, (ids, trie) in tries.items():
-                if pairs is None:
-                    first, rest, counts = trie.spill(keep)
-                    yield code_run(ids.pair_codes(first, rest >> 2 * _ID_BITS), counts)
-                else:
-                    yield from sorted_run(lang, ids.words, trie.spill(keep))
-
-        for piece in slices(batches, "text"):
-            for lang, data in by_lang(piece):
-                if lang not in tries:
-                    tries[lang] = _Ids(lang, frequent.value, bits), HatTrie()
-                ids, trie = tries[lang]
-                behind = np.zeros(0, np.int64)
-                for part in tokens(data, chunk):
-                    own = np.fromiter(map(ids.__getitem__, part), np.int64, len(part))
-                    own, seen = np.concatenate([behind, own]), len(behind)
-                    if pairs is None:
-                        joined = (own[:-1] > 0) & (own[1:] > 0)
-                    else:
-                        joined = ids.pairs(own, pairs.value)
-                    first, rest = [], []
-                    for size in sizes:
-                        at = starts_of(joined, size, seen)
-                        packed = np.zeros(len(at), np.int64)
-                        for k in range(1, size):
-                            packed |= own[at + k] << (3 - k) * _ID_BITS
-                        first.append(own[at])
-                        rest.append(packed)
-                    trie.add(np.concatenate(first), np.concatenate(rest))
-                    behind = own[-(LONGEST - 1) :]
-                    if sum(t.entries for _, t in tries.values()) > entries:
-                        yield from spilled(entries // 2 // len(tries))
-                    if sum(len(i) for i, _ in tries.values()) > held:
-                        yield from spilled(0)  # ids are given anew
-                        last = [ids.words[i] for i in behind.tolist()]
-                        tries.clear()
-                        tries[lang] = ids, trie = _Ids(lang, frequent.value, bits), HatTrie()
-                        behind = np.array([ids[w] if w else 0 for w in last], np.int64)
+                yield from sorted_run(lang, ids.words, trie.spill(keep))
+
+        for era, lang, ids, own, seen in numbered(batches, frequent.value, bits, held, chunk):
+            if era != last:
+                yield from spilled(0)
+                tries.clear()
+                last = era
+            _, trie = tries.setdefault(lang, (ids, HatTrie()))
+            marks = ids.marked(own, maps)
+            first, rest = [], []
+            for size in range(2, LONGEST + 1):
+                level = min(size, len(marks) + 1)
+                at = starts_of(marks[level - 2], size - level + 2, seen - level + 2)
+                packed = np.zeros(len(at), np.int64)
+                for k in range(1, size):
+                    packed |= own[at + k] << (3 - k) * _ID_BITS
+                first.append(own[at])
+                rest.append(packed)
+            trie.add(np.concatenate(first), np.concatenate(rest))
+            if sum(t.entries for _, t in tries.values()) > entries:
+                yield from spilled(entries // 2 // len(tries))
         yield from spilled(0)
 
-    return texts.mapInArrow(count, "code bigint, f bigint" if pairs is None else RUN)
+    return texts.mapInArrow(count, RUN)
 
 
 def merged(runs: DataFrame, least: int) -> DataFrame:
@@ -381,8 +439,9 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, least: int) -> Counts:
     every = written(word_runs(texts).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     words = every.where(F.col("f") >= least)
     known = frequent_words(words)
-    pairs = frequent_pairs(phrase_runs(texts, known), least)
-    long = merged(phrase_runs(texts, known, pairs), least)
+    pairs = frequent_pairs(code_runs(texts, known), least)
+    triples = frequent_pairs(code_runs(texts, known, (pairs,)), least)
+    long = merged(phrase_runs(texts, known, pairs, triples=triples), least)
     size = (F.length(F.regexp_replace("phrase", "[^ ]", "")) + 1).alias("size")
     grams = words.unionByName(long).select("lang", "phrase", size, "f")
     return Counts(every.groupBy("lang").agg(F.sum("f").alias("n")), written(grams, "grams"))

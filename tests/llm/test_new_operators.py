@@ -97,6 +97,28 @@ def test_a_trie_that_bursts_and_spills_counts_alike(spark):
     assert small == counted() and len(small) > 300
 
 
+def test_triples_by_code_lose_no_frequent_phrase(spark):
+    """Whatever the chunks, runs and dictionaries, and however many triples share a bit."""
+    texts = phrases.texts_of(docs_of(spark, corpus()), "text", "lang")
+    words = phrases.word_runs(texts).groupBy("lang", "phrase").sum("f")
+    known = phrases.frequent_words(words, 12)
+
+    def counted(least, **small):
+        pairs = phrases.frequent_pairs(phrases.code_runs(texts, known, (), 12, **small), least, 12)
+        runs = phrases.code_runs(texts, known, (pairs,), 12, **small)
+        triples = phrases.frequent_pairs(runs, least, 12)
+        long = phrases.phrase_runs(texts, known, pairs, 12, triples=triples, **small)
+        return {tuple(r) for r in phrases.merged(long, least).collect()}
+
+    pairs = phrases.frequent_pairs(phrases.code_runs(texts, known, (), 12), 1, 12)
+    plain = phrases.phrase_runs(texts, known, pairs, 12)
+    every = {tuple(r) for r in phrases.merged(plain, 1).collect()}
+    for least in (1, 6, 30):
+        often = {r for r in every if r[2] >= least}
+        assert counted(least) == often
+        assert counted(least, entries=20, held=7, chunk=16) == often
+
+
 def test_trie_bursts_and_keeps_counts():
     trie = phrases.HatTrie(burst=3)
     rng = np.random.default_rng(0)
