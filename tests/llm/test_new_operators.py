@@ -148,6 +148,18 @@ def test_runs_are_sorted_and_a_rare_word_ends_a_phrase():
     assert phrases.starts_of(joined[:1], 3, 0).tolist() == []
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_words_and_signs_of_all_characters(chunk):
+    rng = random.Random(5)
+    signs = [*map(chr, range(256)), "\u2028", "\u3000", "😀", *" \t.,;:!?\n\r" * 6]
+    text = "".join(rng.choice(signs) for _ in range(20000))
+    lower = {i: i + 32 for i in range(65, 91)}
+    plain = re.findall("[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]", text.translate(lower))
+    plain = ["." if re.fullmatch("[.,;:!?\n-\r]", w) else w for w in plain]
+    found = [w for part in phrases.tokens(text.encode(), chunk) for w in part]
+    assert [w.decode() for w in found] == plain
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     big = 3 * 10**14
     rows = [("en", "x", 1, big + 1), ("en", "y", 1, big), ("en", "x y", 2, big)]
