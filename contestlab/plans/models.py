@@ -41,7 +41,7 @@ from contestlab.operators.metrics import (
 )
 from contestlab.plans.features import AVERAGES, RATES, categorical
 from contestlab.sources.jobs import PARALLELISM, at_once
-from contestlab.sources.scratch import fit_partitions, laid_out, written
+from contestlab.sources.scratch import TASK_ROWS, fit_partitions, laid_out, written
 
 FEATURE_SETS = {"base": AVERAGES, "smart": AVERAGES + RATES}
 HIDDEN = (10, 5)
@@ -162,7 +162,7 @@ def prepare(
     return Prepared(
         vectors=vectors,
         key=c.key,
-        partitions=partitions or fit_partitions(rows),
+        partitions=partitions or fit_partitions(rows, TASK_ROWS),
         stages=stages,
         inputs=len(categorical(c)) + len(FEATURE_SETS[feature_set]),
         # Each indexed column has one more category, for unseen values.
@@ -337,7 +337,7 @@ def fit_documented_model(
     pipeline and the table it was fitted on."""
     table = written(documented_table(matches, neutral, c), "documented")
     rows = table.where("is_train").count()
-    train = laid_out(table.where("is_train"), c.key, fit_partitions(rows))
+    train = laid_out(table.where("is_train"), c.key, fit_partitions(rows, TASK_ROWS))
     columns = [c.city, c.side_a, c.side_b]
     encoding = one_hot(columns).fit(train)
     assembler = VectorAssembler(

@@ -44,7 +44,7 @@ from contestlab.operators.rates import (
 from contestlab.plans.features import AVERAGES, RATES, Table, score_lookups
 from contestlab.plans.models import alphabetical_indexer, encode_unseen, indexed_name
 from contestlab.sources.jobs import at_once
-from contestlab.sources.scratch import fit_partitions, laid_out, written
+from contestlab.sources.scratch import TASK_ROWS, fit_partitions, laid_out, written
 
 NUMBERS = AVERAGES + RATES
 
@@ -189,7 +189,7 @@ def fit_request_model(
     """
     indexer, vectors, dropped = request_vectors(features, c=c, missing=missing)
     rows = vectors.where("is_train").count()
-    train = laid_out(vectors.where("is_train"), c.key, fit_partitions(rows))
+    train = laid_out(vectors.where("is_train"), c.key, fit_partitions(rows, TASK_ROWS))
     scale = scaling(train, rows)
     regression = LogisticRegression(
         maxIter=200,

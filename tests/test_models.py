@@ -268,3 +268,10 @@ def test_a_stored_layout_is_read_back_partition_for_partition(spark):
     assert len(parts) == out.partitions == 8 and all(p == sorted(p) for p in parts)
     assert "Exchange" not in physical(out.train)
     assert "Exchange" not in physical(out.vectors)
+
+
+def test_a_task_of_a_fit_has_a_bounded_share_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "TASK_ROWS", 20)
+    out = models.prepare(models.split_table(planted(spark, 400)))
+    assert out.partitions == out.train.rdd.getNumPartitions() == 20
+    assert max(len(p) for p in out.train.rdd.glom().collect()) < 45
