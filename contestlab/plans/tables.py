@@ -41,6 +41,13 @@ def node_table(model: Model, spark: SparkSession) -> MeasuredTable:
     return measured(table, ["tree", "node"])
 
 
+def dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``keys``, in as many parts as shuffles have: each becomes many
+    below, and sums by the keys and more then stay where the row is."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *keys)
+
+
 def leaves(
     rows: DataFrame, nodes: MeasuredTable, trees: int, depth: int, vector: str = "features"
 ) -> DataFrame:
@@ -70,7 +77,9 @@ def forest_probability(
 ) -> DataFrame:
     """(keys, name): the mean over the trees of the share of wins in a row's leaf."""
     nodes = node_table(model, rows.sparkSession)
-    found = leaves(rows.select(*keys, "features"), nodes, model.getNumTrees, model.getMaxDepth())
+    found = leaves(
+        dealt(rows.select(*keys, "features"), keys), nodes, model.getNumTrees, model.getMaxDepth()
+    )
     share = F.get("stats", F.lit(1)) / F.aggregate("stats", F.lit(0.0), lambda a, x: a + x)
     return found.groupBy(*keys).agg(F.avg(share).alias(name))
 
@@ -81,7 +90,9 @@ def boosted_margin(
     """(keys, name): the weighted sum over the trees of a row's leaves."""
     nodes = node_table(model, rows.sparkSession)
     weights = F.array(*map(F.lit, model.treeWeights))
-    found = leaves(rows.select(*keys, "features"), nodes, len(model.treeWeights), model.getMaxDepth())
+    found = leaves(
+        dealt(rows.select(*keys, "features"), keys), nodes, len(model.treeWeights), model.getMaxDepth()
+    )
     weighted = F.col("prediction") * F.get(weights, F.col("tree"))
     return found.groupBy(*keys).agg(F.sum(weighted).alias(name))
 
@@ -105,9 +116,11 @@ def perceptron_probability(
     with the layer's weights, summed per target, and bent by the logistic curve."""
     weights = weight_table(model, rows.sparkSession)
     last = len(model.getLayers()) - 2
-    signal = rows.select(
-        *keys, F.posexplode(vector_to_array("features")).alias("source", "x")
-    ).where("x <> 0 OR source = 0")
+    signal = (
+        dealt(rows.select(*keys, "features"), keys)
+        .select(*keys, F.posexplode(vector_to_array("features")).alias("source", "x"))
+        .where("x <> 0 OR source = 0")
+    )
     for layer in range(last + 1):
         own = weights.where(F.col("layer") == layer)
         bias = own.where("source = -1").select("target", F.col("weight").alias("bias"))

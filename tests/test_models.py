@@ -275,3 +275,14 @@ def test_a_task_of_a_fit_has_a_bounded_share_of_the_rows(spark, monkeypatch):
     out = models.prepare(models.split_table(planted(spark, 400)))
     assert out.partitions == out.train.rdd.getNumPartitions() == 20
     assert max(len(p) for p in out.train.rdd.glom().collect()) < 45
+
+
+def test_answers_from_tables_shuffle_every_row_once(prepared, fitted):
+    keys = ["match_id", "label"]
+    parts = int(prepared.test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = tables.perceptron_probability(prepared.test, fitted["perceptron"], keys)
+    forest = tables.forest_probability(prepared.test, fitted["random_forest"], keys)
+    for plan in (physical(found), physical(forest)):
+        plan = plan[plan.index("== Physical Plan") :]
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert plan.count(f", {parts}), REPARTITION_BY_NUM") == 1
