@@ -286,3 +286,8 @@ def test_answers_from_tables_shuffle_every_row_once(prepared, fitted):
         plan = plan[plan.index("== Physical Plan") :]
         assert plan.count("Exchange hashpartitioning") == 1
         assert plan.count(f", {parts}), REPARTITION_BY_NUM") == 1
+
+
+def test_fits_on_many_rows_wait_for_one_another():
+    assert [models.fits_at_once(p) for p in (8, 9, 16, 36, 216)] == [5, 4, 2, 1, 1]
+    assert models.fits_at_once(8, 1) == models.fits_at_once(500, 3) == 1
