@@ -1,4 +1,4 @@
-"""Bounded samples of labelled texts to fit classifiers on."""
+"""Labelled texts to fit classifiers on: bounded samples, and all of them."""
 
 from __future__ import annotations
 
@@ -67,3 +67,48 @@ def labelled_sample(
         else pa.array([], pa.large_string()),
         table.column("y").to_numpy().astype(np.float32),
     )
+
+
+@dataclass(frozen=True)
+class Labelled:
+    """All labelled texts that a label may be learned from: how many there are, how
+    many have label 1, and their bytes. The rules are those of ``labelled_sample``,
+    but for the bound on a text."""
+
+    docs: DataFrame
+    labels: DataFrame
+    label: str
+    rows: int
+    positives: int
+    bytes: int
+
+    def table(self, parts: int, where: Column | None = None) -> DataFrame:
+        """(doc_id, text, y): a row per id, dealt by id to ``parts`` partitions and
+        sorted in them, whatever the machine."""
+        texts = _learned_from(self.docs, quoted("text")).select("doc_id", "text")
+        known = _known(self.labels, self.label)
+        if where is not None:
+            texts, known = texts.where(where), known.where(where)
+        met = texts.repartition(parts, "doc_id").join(known.repartition(parts, "doc_id"), "doc_id")
+        one = met.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
+        return one.sortWithinPartitions("doc_id")
+
+
+def _learned_from(df: DataFrame, value: Column) -> DataFrame:
+    return df.where(~held_out() & quoted("doc_id").isNotNull() & value.isNotNull())
+
+
+def _known(labels: DataFrame, label: str) -> DataFrame:
+    known = _learned_from(labels, quoted(label)).groupBy("doc_id")
+    return known.agg(F.max(quoted(label)).cast("int").alias("y"))
+
+
+def all_labelled(docs: DataFrame, labels: DataFrame, label: str) -> Labelled:
+    sizes = _learned_from(docs, quoted("text")).select(
+        "doc_id", F.octet_length(quoted("text")).cast("bigint").alias("size")
+    )
+    longest = sizes.groupBy("doc_id").agg(F.max("size").alias("size"))
+    found = longest.join(_known(labels, label), "doc_id").agg(
+        F.count("*"), F.count_if(F.col("y") > 0), F.coalesce(F.sum("size"), F.lit(0))
+    )
+    return Labelled(docs, labels, label, *found.first())

@@ -5,13 +5,14 @@ import itertools
 import math
 import re
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from contestlab.llm import quality, segmentation, toxicity
-from contestlab.llm.samples import labelled_sample
+from contestlab.llm.samples import all_labelled, labelled_sample
 from contestlab.llm.segmentation import Sampler, Vocabulary, sampled_encodings
 from contestlab.llm.token_counts import Counter, token_counts, vocabulary_path
 from contestlab.llm.words import batch_words, shingles
@@ -101,6 +102,56 @@ def test_classifiers_on_held_out_rows(spark, planted, module, scores, column, ru
     assert scores(planted.limit(0), labels).count() == 0
 
 
+def test_network_is_fitted_on_all_labelled_rows(spark, planted, monkeypatch):
+    """Groups: every bucket of enough labelled texts is known, the words of
+    rows outside of the sample are learned, and the files' layout changes nothing."""
+    monkeypatch.setattr(toxicity, "labelled_sample", partial(labelled_sample, rows=60))
+    monkeypatch.setattr(toxicity, "GROUP_ROWS", 200)
+    labels = labels_of(spark, planted, "toxic", lambda t: "vile" in t)
+    sample = labelled_sample(planted, labels, "toxic", rows=60)
+    known = all_labelled(planted, labels.unionByName(labels), "toxic")
+    rows = known.table(3).toArrow()
+    texts = rows.column("text").combine_chunks()
+    assert known.rows == rows.num_rows > 300 and known.positives == sum(rows.column("y").to_pylist())
+    assert known.bytes == sum(len(t.encode()) for t in texts.to_pylist())
+    net = toxicity.fit_all(planted, labels)
+    having = toxicity.tokenized(texts)[3]
+    assert np.array_equal(net.rows[:-1] > 0, having >= toxicity.MIN_TEXTS)
+    assert not np.array_equal(toxicity.fit(sample).rows, net.rows)
+    again = toxicity.fit_all(planted.repartition(5), labels.repartition(3))
+    for a, b in zip(vars(net).values(), vars(again).values()):
+        assert all(map(np.array_equal, a, b)) if isinstance(a, list) else np.array_equal(a, b)
+    held = [r["text"] for r in planted.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    right = (net.scores(pa.array(held)) >= 0.5) == np.array(["vile" in t for t in held])
+    assert right.mean() > 0.8
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(2)
+    slots, weights = np.arange(7, 5000, 9), rng.integers(0, 1 << 31, 555)
+    values = rng.integers(-(1 << 30), 1 << 30, (555, toxicity.DIMENSIONS)).astype(np.int32)
+    values[:, 0] = rng.integers(-2, 3, 555)
+    found = toxicity._unpacked(toxicity._packed(slots, weights, values))
+    assert all(map(np.array_equal, found, (slots, weights, values)))
+
+
+def test_a_long_text_is_fitted_on_by_parts(monkeypatch):
+    rng = np.random.default_rng(1)
+    kept = [rng.normal(0, 0.3, (50, toxicity.DIMENSIONS)).astype(np.float32)]
+    kept += [rng.normal(0, 0.3, (w, toxicity.DIMENSIONS, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS]
+    shifts = [np.zeros(toxicity.FILTERS, np.float32) for _ in toxicity.WIDTHS]
+    net = toxicity.Network(None, kept[0], kept[1:], shifts, None, None, None)
+    for n in (21, 39, 40, 41, 42, 100):
+        tokens = rng.integers(0, 50, (n, 1 + len(toxicity.PREFIXES)))
+        raw, picked = toxicity._largest(net, tokens, np.array([0, n]))
+        monkeypatch.setattr(toxicity, "PART_WORDS", 20)
+        parts, own = toxicity._largest_by_parts(net, tokens)
+        assert np.allclose(raw, parts, atol=1e-5)
+        assert all(np.array_equal(a, b) for x, y in zip(picked, own) for a, b in zip(x, y))
+    batches = list(toxicity._batches(np.arange(5), np.array([9, 9, 9, 50, 1])))
+    assert [b.tolist() for b in batches] == [[0, 1], [2], [3], [4]]
+
+
 def test_sample_leaves_held_out_rows_out(spark, planted):
     labels = labels_of(spark, planted, "toxic", lambda t: "vile" in t)
     sample = labelled_sample(planted, labels.unionByName(labels), "toxic", rows=50)
