@@ -189,7 +189,7 @@ def over_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="split_pair",
 )
 def split_pair_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_pair(fx.performance(spark, sf_dir)).drop("Second_Innings_Score")
+    return split_pair(fx.performance(spark, sf_dir)).drop("match_id", "Second_Innings_Score")
 
 
 @registered(
