@@ -19,6 +19,7 @@ from contestlab.llm.licenses import license_scan
 from contestlab.llm.mixing import Mix, fit, mixed
 from contestlab.llm.neighbours import nearest_neighbours
 from contestlab.llm.topk import top_scores
+from contestlab.llm.words import _BASE, CHUNK_BYTES, powers
 
 SCHEMA = "doc_id bigint, text string, source string, size string, _key string"
 
@@ -138,6 +139,41 @@ def test_draws_agree_as_often_as_texts_are_similar():
     assert agree.mean() == pytest.approx(similar, abs=0.08)
 
 
+def test_draws_beyond_their_bound_are_not_drawn(monkeypatch):
+    rng = np.random.default_rng(3)
+    draws = N.Draws.table(64, 1)
+    drawn = []
+    plain = N.Draws._drawn
+    monkeypatch.setattr(
+        N.Draws, "_drawn", staticmethod(lambda r, *x: drawn.append(r.size) or plain(r, *x))
+    )
+    for n, heaviest in ((1, 0), (64, 3), (65, 3), (1088, 0), (5000, 0), (5000, 9)):
+        features = np.sort(rng.integers(0, 2**63, n).astype(np.uint64))
+        logs = rng.uniform(0, heaviest, n).astype(np.float32)
+        row, turn = features % np.uint64(N.DRAW_ROWS), (features >> np.uint64(40)) % np.uint64(64)
+        at = (row * np.uint64(128) + turn).astype(np.int64)[:, None] + np.arange(64)
+        level = np.floor(logs[:, None] / draws.r[at] + draws.b[at])
+        value = draws.log_c[at] - draws.r[at] * (level - draws.b[at] + 1)
+        least, columns = value.argmin(axis=0), np.arange(64)
+        levels = level[least, columns].astype(np.int64).astype(np.uint64)
+        drawn.clear()
+        assert (draws.sample(features, logs) == N.mix(features[least] ^ N.mix(levels))).all()
+        assert sum(drawn) <= max(64 * 64, n * 64 // 4) + 64 * 64
+
+
+def test_bands_of_several_texts_are_those_of_each():
+    own = np.arange(3 * 64, dtype=np.uint64).reshape(3, 64)
+    setting = N.Setting()
+    assert N.band_hashes(own, setting) == [N.band_hashes(x, setting) for x in own]
+
+
+def test_powers_are_computed_once():
+    few, many = powers(_BASE, 5), powers(_BASE, CHUNK_BYTES + 100)
+    assert few.tolist() == [pow(int(_BASE), k, 1 << 64) for k in range(5)]
+    assert (many[:5] == few).all() and int(many[-1]) == pow(int(_BASE), CHUNK_BYTES + 99, 1 << 64)
+    assert np.shares_memory(few, powers(_BASE, 7)) and not few.flags.writeable
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]
