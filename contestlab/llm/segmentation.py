@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,9 @@ from contestlab.llm.words import _BASE, _INVERSE, hash_spans, mix, powers, text_
 
 SAMPLES = 2
 SEED = 7
-SLICE_BYTES = 1 << 20
-LATTICE_BYTES = 1 << 16
-KEPT_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+LATTICE_BYTES = 60_000  # of units whose nodes mostly have 16-bit numbers, which sort fastest
+KEPT_BYTES = 3 << 19
 RANK_SHIFT = 10.0
 MARK = "▁"
 _SLOT_BITS = 20
@@ -115,6 +116,10 @@ class Vocabulary:
             np.concatenate([[0], np.cumsum([len(d) for d in decoded])]),
         )
 
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        return np.diff(self.starts)
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The pieces with these hashes, -1 where there is none."""
         mask = np.uint64((1 << _SLOT_BITS) - 1)
@@ -130,12 +135,7 @@ class Vocabulary:
 
     def spelled(self, ids: np.ndarray) -> np.ndarray:
         """The bytes that the ids stand for."""
-        lengths = self.starts[ids + 1] - self.starts[ids]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(
-            self.starts[ids] - ends + lengths, lengths
-        )
-        return self.decoded[at]
+        return self.decoded[spans(self.starts[ids], self.lengths[ids])]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text that the ids stand for, without the space put before it."""
@@ -164,44 +164,10 @@ class Paths:
     log_prob: np.ndarray
 
 
-class Arcs:
-    """The possible arcs of some nodes: by node the first and how many, by arc its
-    length, log probability, piece, and the probability of the node's arcs before it."""
-
-    def __init__(self):
-        self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int16)
-        self.length, self.piece = np.zeros(0, np.int16), np.zeros(0, np.int32)
-        self.log_prob, self.below = np.zeros(0, np.float32), np.zeros(0, np.float32)
-
-    def step(self, nodes: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The length, log probability and piece of an arc per node, by its probability."""
-        arc = self.first[nodes] + self.count[nodes] - 1
-        above = np.flatnonzero(self.below[arc] > u)
-        while len(above):
-            arc[above] -= 1
-            above = above[self.below[arc[above]] > u[above]]
-        return self.length[arc], self.log_prob[arc], self.piece[arc]
-
-    def arc(self, nodes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """The arcs of these lengths, one per node."""
-        arc = self.first[nodes]
-        other = np.flatnonzero(self.length[arc] != lengths)
-        while len(other):
-            arc[other] += 1
-            other = other[self.length[arc[other]] != lengths[other]]
-        return arc
-
-    def rows(self, nodes: np.ndarray, width: int) -> np.ndarray:
-        """Log probabilities by node and arc length - 1."""
-        out = np.full((len(nodes), width), -np.inf)
-        counts = self.count[nodes].astype(np.int64)
-        arcs = spans(self.first[nodes], counts)
-        out[np.repeat(np.arange(len(nodes)), counts), self.length[arcs] - 1] = self.log_prob[arcs]
-        return out
-
-
-class Lattice(Arcs):
-    """The lattices of some units, each a span of ``data``."""
+class Lattice:
+    """The lattices of some units, each a span of ``data``: by node its first arc and how
+    many, by arc its length, log probability, piece, and the probability of the node's arcs
+    before it."""
 
     def __init__(self, vocabulary: Vocabulary, data: np.ndarray, lengths: np.ndarray):
         self.starts = np.cumsum(lengths) - lengths
@@ -272,6 +238,32 @@ class Lattice(Arcs):
         before = np.cumsum(share) - share
         self.below = (before - np.repeat(before[first[:-1]], counts)).astype(np.float32)
 
+    def step(self, nodes: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The length, log probability and piece of an arc per node, by its probability."""
+        arc = self.first[nodes] + self.count[nodes] - 1
+        above = np.flatnonzero(self.below[arc] > u)
+        while len(above):
+            arc[above] -= 1
+            above = above[self.below[arc[above]] > u[above]]
+        return self.length[arc], self.log_prob[arc], self.piece[arc]
+
+    def arc(self, nodes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The arcs of these lengths, one per node."""
+        arc = self.first[nodes]
+        other = np.flatnonzero(self.length[arc] != lengths)
+        while len(other):
+            arc[other] += 1
+            other = other[self.length[arc[other]] != lengths[other]]
+        return arc
+
+    def rows(self, nodes: np.ndarray, width: int) -> np.ndarray:
+        """Log probabilities by node and arc length - 1."""
+        out = np.full((len(nodes), width), -np.inf)
+        counts = self.count[nodes].astype(np.int64)
+        arcs = spans(self.first[nodes], counts)
+        out[np.repeat(np.arange(len(nodes)), counts), self.length[arcs] - 1] = self.log_prob[arcs]
+        return out
+
     def sample(
         self, units: np.ndarray, seeds: np.ndarray, begin: np.ndarray | None = None
     ) -> Paths:
@@ -422,19 +414,56 @@ def walked(starts, begin, ends, seeds, step) -> Paths:
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """All places of the spans, one span behind the other."""
-    offsets = np.cumsum(lengths) - lengths
-    return np.repeat(starts - offsets, lengths) + np.arange(lengths.sum())
+    """All places of the spans, one span behind the other; in 32 bits if they fit."""
+    ends = np.cumsum(lengths)
+    n = int(ends[-1]) if len(ends) else 0
+    shifts = starts - (ends - lengths)
+    small = n < 1 << 30 and (not n or int(starts.max()) < 1 << 30)
+    kind = np.int32 if small else np.int64
+    out = np.repeat(shifts.astype(kind), lengths)
+    out += np.arange(n, dtype=kind)
+    return out
+
 
+# An arc in 16 bytes, so that a step reads one place of memory; moved as a number.
+_ARC = np.dtype([("below", "f4"), ("log_prob", "f4"), ("piece", "i4"), ("length", "i2"), ("", "i2")])
+_MOVED = np.complex128
 
-class Kept(Arcs):
+
+class Kept:
     """Lattices of units by hash."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.vocabulary = vocabulary
+        self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int16)
+        self.arcs = np.zeros(0, _MOVED)
         self.hashes = np.zeros(0, np.uint64)  # sorted, as are the columns that go with them
         self.heads, self.sizes, self.seen = (np.zeros(0, np.int64) for _ in range(3))
+        self.room: dict[str, np.ndarray] = {}  # what the columns of nodes and arcs lie in
+
+    def step(self, nodes: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The length, log probability and piece of an arc per node, by its probability."""
+        arc = self.first[nodes] + self.count[nodes] - 1
+        moved = self.arcs[arc]
+        own = moved.view(_ARC)
+        above = np.flatnonzero(own["below"] > u)
+        while len(above):
+            arc[above] -= 1
+            moved[above] = self.arcs[arc[above]]
+            above = above[own["below"][above] > u[above]]
+        return own["length"], own["log_prob"], own["piece"]
+
+    def extend(self, name: str, parts: list[np.ndarray]) -> None:
+        """Put ``parts`` behind a column, in its room where that is large enough."""
+        own = getattr(self, name)
+        n, size = len(own), len(own) + sum(map(len, parts))
+        room = self.room.get(name)
+        if room is None or len(room) < size:
+            room = self.room[name] = np.empty(size + size // 2, own.dtype)
+        if own.base is not room:
+            room[:n] = own
+        np.concatenate(parts, out=room[n:size])
+        setattr(self, name, room[:size])
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Where these hashes are, -1 for those that are not."""
@@ -451,12 +480,15 @@ class Kept(Arcs):
         for own in np.split(np.arange(len(sizes)), cuts):
             begin, end = starts[own[0]], starts[own[-1]] + sizes[own[-1]]
             found.append(Lattice(self.vocabulary, data[begin:end], sizes[own]))
-        parts = [self, *found]
-        shifts = np.cumsum([0, *(len(p.length) for p in parts[:-1])])
+        shifts = len(self.arcs) + np.cumsum([0, *(len(p.length) for p in found[:-1])])
         heads = len(self.first) + starts
-        self.first = np.concatenate([p.first + np.int32(shift) for p, shift in zip(parts, shifts)])
-        for name in ("count", "length", "piece", "log_prob", "below"):
-            setattr(self, name, np.concatenate([getattr(p, name) for p in parts]))
+        self.extend("first", [p.first + np.int32(shift) for p, shift in zip(found, shifts)])
+        self.extend("count", [p.count for p in found])
+        packed = [np.zeros(len(p.length), _ARC) for p in found]
+        for p, own in zip(found, packed):
+            for name in ("below", "log_prob", "piece", "length"):
+                own[name] = getattr(p, name)
+        self.extend("arcs", [own.view(_MOVED) for own in packed])
         hashes = np.concatenate([self.hashes, hashes])
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
@@ -475,8 +507,7 @@ class Kept(Arcs):
         counts = self.count.astype(np.int64)
         arcs = spans(self.first[nodes], counts)
         self.first = (np.cumsum(counts) - counts).astype(np.int32)
-        for name in ("length", "piece", "log_prob", "below"):
-            setattr(self, name, getattr(self, name)[arcs])
+        self.arcs = self.arcs[arcs]
         self.hashes, self.sizes, self.seen = self.hashes[rows], self.sizes[rows], self.seen[rows]
         self.heads = np.cumsum(self.sizes) - self.sizes
 
@@ -506,16 +537,22 @@ def cut_gumbel(location: np.ndarray, limit, u: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Units:
-    """The units of some texts: spans of ``data``, their hashes and seeds."""
+    """The units of some texts: spans of ``data``, one behind the other, and their seeds;
+    the hashes of the distinct ones, one unit of each, and which of them a unit is."""
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
-    hashes: np.ndarray
     seeds: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+    kind: np.ndarray
 
     def bytes_of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return gathered(self.data, self.starts[units], self.ends[units] - self.starts[units])
+        lengths = self.ends[units] - self.starts[units]
+        if len(units) == len(self.starts) and (units == np.arange(len(units))).all():
+            return self.data, lengths
+        return gathered(self.data, self.starts[units], lengths)
 
 
 @dataclass
@@ -538,10 +575,11 @@ class Sampler:
         """An independent path for each of these units, from its seed. The lattices
         of distinct units are taken from those kept or built, some at a time."""
         seeds = mix(all_.seeds[units] + np.uint64((sample + 1) << 12))
-        names, first, kind, seen = np.unique(
-            all_.hashes[units], return_index=True, return_inverse=True, return_counts=True
-        )
-        first = units[first]
+        kind = all_.kind[units]
+        seen = np.bincount(kind, minlength=len(all_.hashes))
+        there = seen > 0
+        names, first, seen = all_.hashes[there], all_.first[there], seen[there]
+        kind = (np.cumsum(there) - 1)[kind]
         group = (np.cumsum(all_.ends[first] - all_.starts[first]) - 1) // (KEPT_BYTES // 2)
         members, parts = [], []
         for g in range(int(group[-1]) + 1 if len(group) else 0):
@@ -574,7 +612,9 @@ class Sampler:
             return [[] for _ in texts]
         place = np.arange(len(starts)) - np.repeat(bounds[:-1], counts)
         seeds = mix(np.repeat(row_seeds, counts) + (place.astype(np.uint64) << np.uint64(16)))
-        units = Units(data, starts, ends, hash_spans(data, starts, ends)[0], seeds)
+        hashes = hash_spans(data, starts, ends)[0]
+        distinct = np.unique(hashes, return_index=True, return_inverse=True)
+        units = Units(data, starts, ends, seeds, *distinct)
         draw = self.draw(units, np.arange(len(starts)), 0)
         first = cut_values(draw.paths.log_prob, bounds, row_seeds, seeds)
         searches = {
@@ -787,6 +827,12 @@ def row_seed(key, seed: int) -> int:
     return int.from_bytes(digest, "little")
 
 
+@lru_cache(maxsize=1)
+def _sampler(model: str, samples: int, seed: int) -> Sampler:
+    """The vocabulary and kept lattices, once for all tasks of a worker."""
+    return Sampler(Vocabulary.load(model), samples, seed)
+
+
 FIELDS = (
     "sample int, n_pieces int, log_prob double, perturbed double, inclusion double,"
     " round_trip boolean, ids array<int>"
@@ -816,8 +862,7 @@ def sampled_encodings(
     rows = bounded_batches(df.select(quoted(key), quoted(text)))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary.load(model)
-        sampler = Sampler(vocabulary, samples, seed)
+        sampler = _sampler(model, samples, seed)
         for piece in slices(batches, text, SLICE_BYTES):
             texts = [t or "" for t in piece.column(text).to_pylist()]
             found = sampler.run(texts, piece.column(key).to_pylist())

@@ -285,3 +285,38 @@ def test_kept_lattices_change_no_sample(vocabulary, monkeypatch):
     whole = samples(1 << 20, len(texts))
     assert samples(1 << 20, 7) == whole
     assert samples(200, 7) == whole  # lattices are dropped and built again, groups are small
+
+
+def test_kept_lattices_stay_in_their_room(vocabulary):
+    kept = segmentation.Kept(vocabulary)
+    units = [[b" the", b" hat"], [b" counting"], [b" x", b"\n"]]
+    for own in units:
+        data = np.frombuffer(b"".join(own), np.uint8)
+        room = kept.room.get("arcs")
+        names = np.arange(len(kept.hashes), len(kept.hashes) + len(own), dtype=np.uint64)
+        kept.add(names, data, np.array([len(u) for u in own]))
+        fits = room is not None and len(room) >= len(kept.arcs)
+        assert kept.arcs.base is kept.room["arcs"] and (not fits or kept.arcs.base is room)
+    every = sum(units, [])
+    data = np.frombuffer(b"".join(every), np.uint8)
+    one = segmentation.Lattice(vocabulary, data, np.array([len(u) for u in every]))
+    nodes = np.repeat(np.arange(len(data)), 50)
+    u = np.tile((np.arange(50) + 0.5) / 50, len(data))
+    for a, b in zip(kept.step(nodes, u), one.step(nodes, u)):
+        assert a.tolist() == pytest.approx(b.tolist(), abs=1e-6)
+
+
+def test_places_of_spans():
+    for starts in ([5, 0, 9], [1 << 40, 3, 1 << 31]):
+        got = segmentation.spans(np.array(starts), np.array([2, 0, 3]))
+        assert got.tolist() == [starts[0], starts[0] + 1, *range(starts[2], starts[2] + 3)]
+    assert len(segmentation.spans(np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
+
+
+def test_distinct_units_are_found_once_for_all_samples(vocabulary, monkeypatch):
+    found = []
+    plain = np.unique
+    monkeypatch.setattr(np, "unique", lambda x, *a, **k: found.append(len(x)) or plain(x, *a, **k))
+    texts = ["the hat counts " * 40, "the the hat x"]
+    assert all(len(own) == 4 for own in Sampler(vocabulary, 4, 1).run(texts, [1, 2]))
+    assert len(found) == 1
