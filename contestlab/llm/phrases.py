@@ -50,6 +50,8 @@ BURST_ENTRIES = 4096
 HELD_WORDS = 400_000
 HELD_CODES = 1 << 22
 RUN_ROWS = 50_000
+PART_BITS = 6  # codes are dealt to at least so many parts, as a power of two
+PART_WORDS = 1 << 20  # of all texts, per part
 _ID_BITS = 21
 _STEP = 65_599  # of the codes of pairs and triples
 _CODE_BITS = 40
@@ -144,12 +146,82 @@ def frequent_words(words: DataFrame, bits: int = FILTER_BITS) -> Broadcast:
     return bitmap_of(words.select(code.alias("at")), bits)
 
 
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of numbers of up to ``_CODE_BITS`` bits, the lowest seven bits first, the
+    highest bit set in all but a number's last byte; and where each number ends."""
+    sizes = np.ones(len(values), np.int64)
+    for shift in range(7, _CODE_BITS, 7):
+        sizes += values >= 1 << shift
+    ends = np.cumsum(sizes)
+    out = np.empty(ends[-1] if len(ends) else 0, np.uint8)
+    left, at, own = sizes, ends - sizes, values
+    while len(own):
+        more = left > 1
+        out[at] = own & 127 | more.astype(np.int64) << 7
+        left, at, own = left[more] - 1, at[more] + 1, own[more] >> 7
+    return out, ends
+
+
+def numbers_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers whose ``varints`` these are, and where each ends."""
+    ends = np.flatnonzero(data < 128) + 1
+    starts = np.append(0, ends[:-1])
+    place = np.arange(len(data)) - np.repeat(starts, ends - starts)
+    return np.add.reduceat((data & 127).astype(np.int64) << 7 * place, starts), ends
+
+
+BLOCK = "part int, part_bits int, codes binary, n binary"
+
+
+def code_blocks(codes: np.ndarray, part_bits: int) -> Iterator[pa.RecordBatch]:
+    """Counts of codes: a block for each part, the codes with the same lowest
+    ``part_bits``, of what is above those: steps from one to the next, and counts."""
+    high = _CODE_BITS - part_bits
+    turned = (codes & (1 << part_bits) - 1) << high | codes >> part_bits
+    turned, counts = np.unique(turned, return_counts=True)
+    if not len(turned):
+        return
+    parts, rest = turned >> high, turned & (1 << high) - 1
+    cuts = np.flatnonzero(np.diff(parts, prepend=-1))
+    steps = np.diff(rest, prepend=0)
+    steps[cuts] = rest[cuts]
+    columns = []
+    for values in (steps, counts):
+        data, ends = varints(values)
+        offsets = np.append(0, np.append(ends[cuts[1:] - 1], ends[-1])).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        columns.append(pa.Array.from_buffers(pa.binary(), len(cuts), buffers))
+    kinds = pa.array(parts[cuts], pa.int32()), pa.array([part_bits] * len(cuts), pa.int32())
+    batch = pa.RecordBatch.from_arrays([*kinds, *columns], names=["part", "part_bits", "codes", "n"])
+    rows = max(1, len(cuts) * RUN_ROWS // len(turned))
+    for at in range(0, len(cuts), rows):
+        yield batch.slice(at, rows)
+
+
+def summed_codes(blocks: pa.Table, least: int) -> np.ndarray:
+    """The codes of a part that its blocks have often enough together."""
+    part, part_bits = (blocks.column(c)[0].as_py() for c in ("part", "part_bits"))
+    own, counts = blocks.column("codes").to_pylist(), blocks.column("n").to_pylist()
+    steps, ends = numbers_of(np.frombuffer(b"".join(own), np.uint8))
+    n = numbers_of(np.frombuffer(b"".join(counts), np.uint8))[0]
+    # Steps add up within a block.
+    run = np.cumsum(steps)
+    firsts = np.searchsorted(ends, np.cumsum([0, *map(len, own[:-1])]), "right")
+    run -= np.repeat(run[firsts] - steps[firsts], np.diff(np.append(firsts, len(steps))))
+    order = np.argsort(run)
+    run, n = run[order], n[order]
+    at = np.flatnonzero(np.diff(run, prepend=-1))
+    often = np.add.reduceat(n, at) >= least
+    return run[at[often]] << part_bits | part
+
+
 def frequent_pairs(runs: DataFrame, least: int, bits: int = FILTER_BITS) -> Broadcast:
-    """The pairs or triples, in runs by code, whose code occurs often enough. A run
-    has a code once, so runs are dealt by code as they are."""
-    sums = runs.repartition("code").groupBy("code").agg(F.sum("f").alias("f"))
-    codes = sums.where(F.col("f") >= least)
-    return bitmap_of(codes.select(F.col("code").alias("at")), bits)
+    """The pairs or triples, in blocks by part, whose code occurs often enough."""
+
+    def often(blocks: pa.Table) -> pa.Table:
+        return pa.table({"at": pa.array(summed_codes(blocks, least), pa.int64())})
+
+    return bitmap_of(runs.groupBy("part").applyInArrow(often, "at bigint"), bits)
 
 
 class _Ids(dict):
@@ -340,17 +412,12 @@ def code_runs(
     entries: int = HELD_CODES,
     held: int = HELD_WORDS,
     chunk: int = CHUNK_BYTES,
+    part_bits: int = PART_BITS,
 ) -> DataFrame:
-    """Counts by code, in sorted runs, of the pairs of frequent words; with the frequent
+    """Counts by code, in blocks, of the pairs of frequent words; with the frequent
     pairs ``known``, of the triples made of them."""
     size = len(known) + 2
 
-    def run(codes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found, counts = np.unique(np.concatenate(codes), return_counts=True)
-        batch = pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], names=["code", "f"])
-        for at in range(0, len(found), RUN_ROWS):
-            yield batch.slice(at, RUN_ROWS)
-
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [k.value for k in known]
         codes, n = [np.zeros(0, np.int64)], 0
@@ -359,11 +426,11 @@ def code_runs(
             codes.append(ids.codes_of(own, size)[at])
             n += len(at)
             if n > entries:
-                yield from run(codes)
+                yield from code_blocks(np.concatenate(codes), part_bits)
                 codes, n = [np.zeros(0, np.int64)], 0
-        yield from run(codes)
+        yield from code_blocks(np.concatenate(codes), part_bits)
 
-    return texts.mapInArrow(count, "code bigint, f bigint")
+    return texts.mapInArrow(count, BLOCK)
 
 
 def phrase_runs(
@@ -439,8 +506,10 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, least: int) -> Counts:
     every = written(word_runs(texts).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     words = every.where(F.col("f") >= least)
     known = frequent_words(words)
-    pairs = frequent_pairs(code_runs(texts, known), least)
-    triples = frequent_pairs(code_runs(texts, known, (pairs,)), least)
+    total = every.agg(F.sum("f")).first()[0] or 0
+    part_bits = max(PART_BITS, (total // PART_WORDS).bit_length())
+    pairs = frequent_pairs(code_runs(texts, known, part_bits=part_bits), least)
+    triples = frequent_pairs(code_runs(texts, known, (pairs,), part_bits=part_bits), least)
     long = merged(phrase_runs(texts, known, pairs, triples=triples), least)
     size = (F.length(F.regexp_replace("phrase", "[^ ]", "")) + 1).alias("size")
     grams = words.unionByName(long).select("lang", "phrase", size, "f")

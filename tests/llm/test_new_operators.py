@@ -6,6 +6,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from contestlab.llm import byte_pairs, phrases, whitening
@@ -341,3 +343,24 @@ def test_digests_of_the_query(spark, codec, tmp_path):
         packed = b"".join(i.to_bytes(4, "little") for i in ids)
         assert r["ids_sha256"] == hashlib.sha256(packed).hexdigest() and r["n_tokens"] == len(ids)
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_code_blocks_are_small_and_whole():
+    rng = np.random.default_rng(2)
+    odd = np.array([0, 0, 1, 127, 128, (1 << 40) - 1, (1 << 40) - 1], np.int64)
+    runs = [odd, rng.integers(0, 1 << 40, 200_000), np.zeros(0, np.int64), np.full(1000, 77)]
+    runs += [odd, np.repeat(rng.integers(0, 1 << 20, 500), 40)]
+    for part_bits in (6, 11):
+        batches = [b for codes in runs for b in phrases.code_blocks(codes, part_bits)]
+        table = pa.Table.from_batches(batches)
+        got = {1: [], 4: [], 1000: []}
+        for part in set(table.column("part").to_pylist()):
+            own = table.filter(pc.equal(table.column("part"), part))
+            for least in got:
+                got[least] += phrases.summed_codes(own, least).tolist()
+        codes, n = np.unique(np.concatenate(runs), return_counts=True)
+        for least, found in got.items():
+            assert sorted(found) == codes[n >= least].tolist()
+    (*_, big) = phrases.varints(np.diff(np.unique(runs[1])))
+    assert big[-1] < 5 * 200_000  # a code and its count took 16 bytes
+    assert list(phrases.code_blocks(np.zeros(0, np.int64), 6)) == []
