@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +76,35 @@ def test_near_duplicates_equal_brute_force(spark):
     assert N.keepers(docs.limit(0)).count() == 0
 
 
+def test_packed_features_come_back_and_take_less_room():
+    rng = np.random.default_rng(6)
+    features = np.sort(rng.integers(0, 1 << 64, 500_000, np.uint64))[100_000:103_000]
+    for own in (features, features[:1], features[:0], np.array([0, 1, (1 << 64) - 1], np.uint64)):
+        counts = np.arange(len(own)) + 1
+        assert N._unpacked_features(pa.array([N._packed_features(own)]))[0].tolist() == own.tolist()
+        assert N._unpacked_counts(pa.array([N._packed(counts)]))[0].tolist() == counts.tolist()
+    lz4 = pa.Codec("lz4_raw")
+    plain, packed = (len(lz4.compress(x)) for x in (features.tobytes(), N._packed_features(features)))
+    assert packed < 0.8 * plain
+
+
+def test_shuffles_go_with_the_job_that_made_them(spark):
+    def shuffled():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        files = env.blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    there, before = spark.conf.get(setting), shuffled()
+    N.text_classes(docs_of(spark, corpus()))
+    left = time.time() + 10  # they are deleted in the background
+    while (more := shuffled() - before) and time.time() < left:
+        time.sleep(0.2)
+    assert not more
+    assert spark.conf.get(setting) == there
+
+
 def test_weights_are_the_runs_own_frequencies(spark):
     # A third of the rows are copies of one text at plain similarity 0.8 to 0.86.
     rng = random.Random(8)
