@@ -430,8 +430,16 @@ _ARC = np.dtype([("below", "f4"), ("log_prob", "f4"), ("piece", "i4"), ("length"
 _MOVED = np.complex128
 
 
+def _lots(sizes: np.ndarray) -> list[np.ndarray]:
+    """The places of units that stand one behind the other, some at a time."""
+    if not len(sizes):
+        return []
+    lots = (np.cumsum(sizes) - sizes) // LATTICE_BYTES
+    return np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(lots)) + 1)
+
+
 class Kept:
-    """Lattices of units by hash."""
+    """Lattices of units by hash. Nodes and arcs stand in the order of the units' places."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -453,16 +461,15 @@ class Kept:
             above = above[own["below"][above] > u[above]]
         return own["length"], own["log_prob"], own["piece"]
 
-    def extend(self, name: str, parts: list[np.ndarray]) -> None:
-        """Put ``parts`` behind a column, in its room where that is large enough."""
+    def extend(self, name: str, part: np.ndarray) -> None:
+        """Put ``part`` behind a column, in its room where that is large enough."""
         own = getattr(self, name)
-        n, size = len(own), len(own) + sum(map(len, parts))
+        n, size = len(own), len(own) + len(part)
         room = self.room.get(name)
         if room is None or len(room) < size:
             room = self.room[name] = np.empty(size + size // 2, own.dtype)
-        if own.base is not room:
             room[:n] = own
-        np.concatenate(parts, out=room[n:size])
+        room[n:size] = part
         setattr(self, name, room[:size])
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -475,20 +482,19 @@ class Kept:
     def add(self, hashes: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> None:
         """Lattices of further units, built some at a time."""
         starts = np.cumsum(sizes) - sizes
-        cuts = np.flatnonzero(np.diff(starts // LATTICE_BYTES)) + 1
-        found = []
-        for own in np.split(np.arange(len(sizes)), cuts):
-            begin, end = starts[own[0]], starts[own[-1]] + sizes[own[-1]]
-            found.append(Lattice(self.vocabulary, data[begin:end], sizes[own]))
-        shifts = len(self.arcs) + np.cumsum([0, *(len(p.length) for p in found[:-1])])
         heads = len(self.first) + starts
-        self.extend("first", [p.first + np.int32(shift) for p, shift in zip(found, shifts)])
-        self.extend("count", [p.count for p in found])
-        packed = [np.zeros(len(p.length), _ARC) for p in found]
-        for p, own in zip(found, packed):
+        for own in _lots(sizes):
+            begin, end = starts[own[0]], starts[own[-1]] + sizes[own[-1]]
+            lattice = Lattice(self.vocabulary, data[begin:end], sizes[own])
+            # Arcs in the order of their nodes, so that ``trim`` can move both forward.
+            counts = lattice.count.astype(np.int64)
+            arcs = spans(lattice.first, counts)
+            packed = np.zeros(len(arcs), _ARC)
             for name in ("below", "log_prob", "piece", "length"):
-                own[name] = getattr(p, name)
-        self.extend("arcs", [own.view(_MOVED) for own in packed])
+                packed[name] = getattr(lattice, name)[arcs]
+            self.extend("first", (len(self.arcs) + np.cumsum(counts) - counts).astype(np.int32))
+            self.extend("count", lattice.count)
+            self.extend("arcs", packed.view(_MOVED))
         hashes = np.concatenate([self.hashes, hashes])
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
@@ -502,14 +508,23 @@ class Kept:
             return
         order = np.argsort(-self.seen, kind="stable")
         rows = np.sort(order[np.cumsum(self.sizes[order]) <= limit])
-        nodes = spans(self.heads[rows], self.sizes[rows])
-        self.count = self.count[nodes]
-        counts = self.count.astype(np.int64)
-        arcs = spans(self.first[nodes], counts)
-        self.first = (np.cumsum(counts) - counts).astype(np.int32)
-        self.arcs = self.arcs[arcs]
+        # By place, so that units move forward only: some at a time, nothing is held twice.
+        place = np.argsort(self.heads[rows], kind="stable")
+        heads, sizes = self.heads[rows[place]], self.sizes[rows[place]]
+        n = m = 0
+        for own in _lots(sizes):
+            nodes = spans(heads[own], sizes[own])
+            counts = self.count[nodes].astype(np.int64)
+            arcs = self.arcs[spans(self.first[nodes], counts)]
+            end = n + len(nodes)
+            self.count[n:end] = counts
+            self.first[n:end] = m + np.cumsum(counts) - counts
+            self.arcs[m : m + len(arcs)] = arcs
+            n, m = end, m + len(arcs)
+        self.first, self.count, self.arcs = self.first[:n], self.count[:n], self.arcs[:m]
         self.hashes, self.sizes, self.seen = self.hashes[rows], self.sizes[rows], self.seen[rows]
-        self.heads = np.cumsum(self.sizes) - self.sizes
+        self.heads = np.empty(len(rows), np.int64)
+        self.heads[place] = np.cumsum(sizes) - sizes
 
     def sample(self, units: np.ndarray, seeds: np.ndarray) -> Paths:
         starts = self.heads[units]
@@ -567,8 +582,9 @@ class Draw:
 
 
 class Sampler:
-    def __init__(self, vocabulary: Vocabulary, samples: int, seed: int):
+    def __init__(self, vocabulary: Vocabulary, samples: int, seed: int, kept_bytes: int | None = None):
         self.vocabulary, self.samples, self.seed = vocabulary, samples, seed
+        self.kept_bytes = KEPT_BYTES if kept_bytes is None else kept_bytes
         self.kept = Kept(vocabulary)
 
     def draw(self, all_: Units, units: np.ndarray, sample: int) -> Draw:
@@ -580,7 +596,7 @@ class Sampler:
         there = seen > 0
         names, first, seen = all_.hashes[there], all_.first[there], seen[there]
         kind = (np.cumsum(there) - 1)[kind]
-        group = (np.cumsum(all_.ends[first] - all_.starts[first]) - 1) // (KEPT_BYTES // 2)
+        group = (np.cumsum(all_.ends[first] - all_.starts[first]) - 1) // (self.kept_bytes // 2)
         members, parts = [], []
         for g in range(int(group[-1]) + 1 if len(group) else 0):
             kinds = np.flatnonzero(group == g)
@@ -594,7 +610,7 @@ class Sampler:
             own = np.flatnonzero(group[kind] == g)
             members.append(own)
             parts.append(self.kept.sample(rows[kind[own] - kinds[0]], seeds[own]))
-            self.kept.trim(KEPT_BYTES)
+            self.kept.trim(self.kept_bytes)
         paths = parts[0] if len(parts) == 1 else in_order(members, parts, len(units))
         return self.spelled(paths, all_, units)
 
@@ -828,9 +844,9 @@ def row_seed(key, seed: int) -> int:
 
 
 @lru_cache(maxsize=1)
-def _sampler(model: str, samples: int, seed: int) -> Sampler:
+def _sampler(model: str, samples: int, seed: int, kept_bytes: int | None = None) -> Sampler:
     """The vocabulary and kept lattices, once for all tasks of a worker."""
-    return Sampler(Vocabulary.load(model), samples, seed)
+    return Sampler(Vocabulary.load(model), samples, seed, kept_bytes)
 
 
 FIELDS = (
@@ -846,6 +862,8 @@ def sampled_encodings(
     text: str = "text",
     samples: int = SAMPLES,
     seed: int = SEED,
+    kept_bytes: int | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """(key, sample, n_pieces, log_prob, perturbed, inclusion, round_trip, ids):
     up to ``samples`` distinct segmentations per row, drawn without replacement
@@ -857,13 +875,15 @@ def sampled_encodings(
     space and U+2581 alike, so one such sign counts as a space. Null and empty
     texts give one row, sample 0, without ids; a text with fewer segmentations
     gives fewer rows. Rows with the same key and text get the same samples, a
-    null key counts as a key. Other columns are ignored.
+    null key counts as a key. Other columns are ignored. ``kept_bytes`` of units
+    whose lattices a worker keeps, and ``slice_bytes`` of texts sampled together, change
+    memory and time, not the result.
     """
     rows = bounded_batches(df.select(quoted(key), quoted(text)))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = _sampler(model, samples, seed)
-        for piece in slices(batches, text, SLICE_BYTES):
+        sampler = _sampler(model, samples, seed, kept_bytes)
+        for piece in slices(batches, text, slice_bytes):
             texts = [t or "" for t in piece.column(text).to_pylist()]
             found = sampler.run(texts, piece.column(key).to_pylist())
             place, fields, ids = [], [], []

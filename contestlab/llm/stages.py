@@ -12,6 +12,10 @@ from contestlab.llm.segmentation import sampled_encodings
 from contestlab.llm.tables import fresh, quoted, read
 from contestlab.llm.token_counts import vocabulary_path
 
+# Of the encoding; half the defaults.
+KEPT_BYTES = 3 << 18
+SLICE_BYTES = 1 << 18
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
@@ -42,5 +46,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sampled segmentations of every document."""
-    return sampled_encodings(docs, vocabulary_path("piece_bpe_32k.model"))
+    """The sampled segmentations of every document. Workers take less memory, and more
+    time, than by default: the executor holds what the stages before have left."""
+    model = vocabulary_path("piece_bpe_32k.model")
+    return sampled_encodings(docs, model, kept_bytes=KEPT_BYTES, slice_bytes=SLICE_BYTES)

@@ -4,6 +4,7 @@ import dataclasses
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from functools import partial
 
@@ -306,6 +307,53 @@ def test_kept_lattices_stay_in_their_room(vocabulary):
         assert a.tolist() == pytest.approx(b.tolist(), abs=1e-6)
 
 
+def test_kept_lattices_are_held_once(vocabulary, monkeypatch):
+    """Adding and trimming take little beside the arcs that are kept."""
+    monkeypatch.setattr(segmentation, "LATTICE_BYTES", 2000)
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(3, 12, 12_000)
+    data = rng.choice(np.frombuffer(b"hatcountinge", np.uint8), int(sizes.sum()))
+    names = np.sort(rng.integers(0, 1 << 63, len(sizes)).astype(np.uint64))
+    kept = segmentation.Kept(vocabulary)
+    kept.add(names[:1], data[: sizes[0]], sizes[:1])
+    kept.room = {c: np.empty(1 << 20, getattr(kept, c).dtype) for c in ("first", "count", "arcs")}
+    for name, room in kept.room.items():
+        room[: len(getattr(kept, name))] = getattr(kept, name)
+        setattr(kept, name, room[: len(getattr(kept, name))])
+
+    def taken(work):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak
+
+    added = taken(lambda: kept.add(names[1:], data[sizes[0] :], sizes[1:]))
+    assert kept.arcs.base is kept.room["arcs"]
+    assert added < 0.75 * kept.arcs.nbytes
+    kept.seen[:] = rng.permutation(len(names))
+    best = np.argsort(-kept.seen)
+    most = set(kept.hashes[best[np.cumsum(kept.sizes[best]) <= len(data) * 2 // 3 - 1]].tolist())
+    trimmed = taken(lambda: kept.trim(len(data) * 2 // 3 - 1))
+    assert trimmed < 0.75 * kept.arcs.nbytes and kept.arcs.base is kept.room["arcs"]
+    assert set(kept.hashes.tolist()) == most
+    one = segmentation.Kept(vocabulary)
+    starts = np.cumsum(sizes) - sizes
+    rows = np.searchsorted(names, kept.hashes)
+    one.add(kept.hashes, data[segmentation.spans(starts[rows], sizes[rows])], sizes[rows])
+    seeds = np.arange(len(rows), dtype=np.uint64)
+    a, b = (k.sample(np.arange(len(rows)), seeds) for k in (kept, one))
+    assert all(map(np.array_equal, vars(a).values(), vars(b).values()))
+
+
+def test_less_memory_gives_the_same_samples(spark):
+    texts = [(i, " ".join("w%d" % (k * k % (i + 7)) for k in range(200))) for i in range(30)]
+    docs = spark.createDataFrame([*texts, (99, None)], "doc_id bigint, text string").coalesce(1)
+    model = vocabulary_path("piece_bpe_32k.model")
+    plain = sampled_encodings(docs, model).collect()
+    assert sampled_encodings(docs, model, kept_bytes=600, slice_bytes=500).collect() == plain
+
+
 def test_places_of_spans():
     for starts in ([5, 0, 9], [1 << 40, 3, 1 << 31]):
         got = segmentation.spans(np.array(starts), np.array([2, 0, 3]))
