@@ -105,6 +105,24 @@ def test_shuffles_go_with_the_job_that_made_them(spark):
     assert spark.conf.get(setting) == there
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Spark would broadcast every table, and any that it does broadcast is an error."""
+    wanted = {"spark.sql.autoBroadcastJoinThreshold": "1g", "spark.sql.maxBroadcastTableSize": "1"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_near_duplicates_broadcast_nothing_unmeasured(spark, no_broadcast):
+    docs = docs_of(spark, corpus())
+    found = N.text_classes(docs).several.collect()
+    assert {r["class_id"] for r in found} >= set(range(0, 125, 5))
+
+
 def test_weights_are_the_runs_own_frequencies(spark):
     # A third of the rows are copies of one text at plain similarity 0.8 to 0.86.
     rng = random.Random(8)
