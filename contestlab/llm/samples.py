@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contestlab.llm.tables import quoted
+from contestlab.llm.tables import quoted, shuffled_join
 
 SAMPLE_ROWS = 6000
 SAMPLE_TEXT_BYTES = 64 << 10
@@ -48,11 +48,13 @@ def labelled_sample(
     own = quoted("doc_id")
     usable = (F.octet_length(quoted("text")) <= text_bytes) & own.isNotNull() & ~held_out()
     texts = docs.where(usable)
-    known = (
+    given = (
         labels.where(~held_out() & quoted(label).isNotNull())
         .groupBy("doc_id")
         .agg(F.max(quoted(label)).cast("int").alias("y"))
-        .join(texts.select("doc_id"), "doc_id", "left_semi")
+    )
+    known = (
+        shuffled_join(given, texts.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
         .limit(rows)
     )
@@ -89,7 +91,8 @@ class Labelled:
         known = _known(self.labels, self.label)
         if where is not None:
             texts, known = texts.where(where), known.where(where)
-        met = texts.repartition(parts, "doc_id").join(known.repartition(parts, "doc_id"), "doc_id")
+        known = known.repartition(parts, "doc_id")
+        met = shuffled_join(texts.repartition(parts, "doc_id"), known, "doc_id")
         one = met.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
         return one.sortWithinPartitions("doc_id")
 
@@ -108,7 +111,7 @@ def all_labelled(docs: DataFrame, labels: DataFrame, label: str) -> Labelled:
         "doc_id", F.octet_length(quoted("text")).cast("bigint").alias("size")
     )
     longest = sizes.groupBy("doc_id").agg(F.max("size").alias("size"))
-    found = longest.join(_known(labels, label), "doc_id").agg(
+    found = shuffled_join(longest, _known(labels, label), "doc_id").agg(
         F.count("*"), F.count_if(F.col("y") > 0), F.coalesce(F.sum("size"), F.lit(0))
     )
     return Labelled(docs, labels, label, *found.first())

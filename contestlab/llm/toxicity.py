@@ -378,7 +378,6 @@ GROUP_STEPS = 60  # a small group takes more epochs
 SCALE = 1 << 14  # of the whole numbers that are summed, in whatever order
 BLOCK = 1 << 12  # parameters that are shuffled together
 STEPS = 1000  # of an answer's unit, where answers are counted
-_SUMS = [f"v{d}" for d in range(DIMENSIONS)]
 
 
 def _set_aside() -> Column:
@@ -443,7 +442,8 @@ def _trained_group(
 
 
 def _added(table: pa.Table) -> pa.Table:
-    """(slot, weight, sums) of one block, over all groups."""
+    """The slots of one block and their means over all groups, packed: what reaches the
+    driver is a row a block, and four bytes a parameter."""
     start = table.column("block")[0].as_py() * BLOCK
     total, sums = np.zeros(BLOCK, np.int64), np.zeros((BLOCK, DIMENSIONS), np.int64)
     for data in table.column("packed"):
@@ -452,8 +452,11 @@ def _added(table: pa.Table) -> pa.Table:
         sums[slots - start] += weights[:, None] * values
     slots = np.arange(start, start + BLOCK)
     kept = np.where(slots < BUCKETS, total >= MIN_TEXTS, total > 0)
-    columns = [slots[kept], total[kept], *sums[kept].T]
-    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["slot", "weight", *_SUMS])
+    weights = np.maximum(total[kept], 1) * float(SCALE)
+    means = (sums[kept] / weights[:, None]).astype("<f4")
+    columns = [[start // BLOCK], [slots[kept].astype("<i4").tobytes()], [means.tobytes()]]
+    types = [pa.int32(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "slots", "means"])
 
 
 def _mean_of_groups(net: Network, known: Labelled) -> Network:
@@ -478,14 +481,13 @@ def _mean_of_groups(net: Network, known: Labelled) -> Network:
 
     rows = bounded_batches(known.table(groups)).select("text", "y", _set_aside().alias("aside"))
     parts = rows.mapInArrow(trained, "block int, packed binary").groupBy("block")
-    names = ", ".join(f"{c} bigint" for c in ("slot", "weight", *_SUMS))
-    # At most a row per bucket, whatever the number of rows.
-    found = parts.applyInArrow(_added, names).toArrow().sort_by("slot")
+    # At most a slot per bucket, whatever the number of rows.
+    found = parts.applyInArrow(_added, "block int, slots binary, means binary").toArrow()
     given.destroy()
-    slots = found.column("slot").to_numpy()
-    weights = np.maximum(found.column("weight").to_numpy(), 1) * float(SCALE)
-    means = np.stack([found.column(v).to_numpy() / weights for v in _SUMS], axis=1)
-    means = means.astype(np.float32)
+    found = found.sort_by("block")
+    slots = np.concatenate([np.frombuffer(x, "<i4") for x in found.column("slots").to_pylist()])
+    means = np.concatenate([np.frombuffer(x, "<f4") for x in found.column("means").to_pylist()])
+    means = means.reshape(-1, DIMENSIONS)
     own = slots < BUCKETS
     table = np.zeros(BUCKETS + 1, np.int32)
     table[slots[own]] = np.arange(1, own.sum() + 1)

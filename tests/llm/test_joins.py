@@ -19,6 +19,7 @@ from contestlab.llm.components import components
 from contestlab.llm.licenses import license_scan
 from contestlab.llm.mixing import Mix, fit, mixed
 from contestlab.llm.neighbours import nearest_neighbours
+from contestlab.llm.samples import all_labelled
 from contestlab.llm.topk import top_scores
 from contestlab.llm.words import _BASE, CHUNK_BYTES, powers
 
@@ -123,6 +124,13 @@ def test_near_duplicates_broadcast_nothing_unmeasured(spark, no_broadcast):
     assert {r["class_id"] for r in found} >= set(range(0, 125, 5))
 
 
+def test_labelled_texts_are_found_without_broadcast(spark, no_broadcast):
+    docs = docs_of(spark, corpus())
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id bigint, toxic int")
+    known = all_labelled(docs, labels, "toxic")
+    assert known.rows > 40 and known.table(3).count() == known.rows
+
+
 def test_weights_are_the_runs_own_frequencies(spark):
     # A third of the rows are copies of one text at plain similarity 0.8 to 0.86.
     rng = random.Random(8)

@@ -136,6 +136,27 @@ def test_packed_numbers_come_back():
     assert all(map(np.array_equal, found, (slots, weights, values)))
 
 
+def test_means_of_a_block_come_packed():
+    rng = np.random.default_rng(4)
+    start, both = 5 * toxicity.BLOCK, []
+    total = np.zeros(toxicity.BLOCK, np.int64)
+    sums = np.zeros((toxicity.BLOCK, toxicity.DIMENSIONS), np.int64)
+    for _ in range(3):
+        slots = start + np.flatnonzero(rng.random(toxicity.BLOCK) < 0.5)
+        weights = rng.integers(0, 4, len(slots))
+        values = rng.integers(-(1 << 18), 1 << 18, (len(slots), toxicity.DIMENSIONS)).astype(np.int32)
+        both.append(toxicity._packed(slots, weights, values))
+        total[slots - start] += weights
+        sums[slots - start] += weights[:, None] * values
+    found = toxicity._added(pa.table({"block": pa.array([5] * 3, pa.int32()), "packed": both}))
+    kept = np.flatnonzero(total >= toxicity.MIN_TEXTS)
+    assert found.column("block").to_pylist() == [5]
+    assert np.array_equal(np.frombuffer(found.column("slots")[0].as_py(), "<i4"), start + kept)
+    means = np.frombuffer(found.column("means")[0].as_py(), "<f4").reshape(len(kept), -1)
+    assert np.array_equal(means, (sums[kept] / (total[kept, None] * float(toxicity.SCALE))).astype(np.float32))
+    assert found.nbytes < 40 * len(kept)
+
+
 def test_a_long_text_is_fitted_on_by_parts(monkeypatch):
     rng = np.random.default_rng(1)
     kept = [rng.normal(0, 0.3, (50, toxicity.DIMENSIONS)).astype(np.float32)]
