@@ -5,8 +5,9 @@ Each shard orders its documents so that neighbours share their heaviest term and
 cuts them into blocks; a block keeps the largest and smallest weight of every
 term and a forward index (its documents' weights). The sum over terms of the
 most that a block can add bounds the score of all its documents. A query's
-blocks come in the order of these bounds, and are scored until the next bound is
-below the query's k-th score.
+blocks of largest bounds are scored first; of the others, those whose bound is not
+below the query's k-th score by then. Where most queries need most of some blocks, these are
+scored by one matrix product.
 """
 
 from __future__ import annotations
@@ -23,7 +24,11 @@ HITS = 5
 QUERY_EVERY = 50
 SCALE = 256
 BLOCK = 64
-ROUND = 4  # blocks scored for a query before its bound is looked at again
+FIRST = 4  # blocks scored for a query before any bound is looked at
+GROUP = 8  # blocks scored together before bounds are looked at again
+DENSE = 0.25  # part of a group's queries and blocks from which all are scored
+QUERY_ROWS = 2048
+_SMALL = 1 << 24  # sums below are exact in single precision
 _LARGEST = 1 << 53  # sums below are exact in doubles
 _NOTHING = -float(1 << 60)
 
@@ -32,6 +37,8 @@ def build(ids: np.ndarray, values: np.ndarray) -> dict:
     heaviest = np.abs(values).argmax(axis=1)
     order = np.lexsort((ids, values[np.arange(len(ids)), heaviest], heaviest))
     ids, values = ids[order], values[order]
+    if np.abs(values).max() < _SMALL:
+        values = values.astype(np.float32)
     starts = np.arange(0, len(ids), BLOCK)
     return {
         "ids": ids,
@@ -47,20 +54,41 @@ def searcher(k: int):
         reach = np.abs(queries).sum(axis=1).max() * max(1.0, np.abs(values).max())
         if reach >= _LARGEST:
             raise ArithmeticError("components too large for exact scores")
+        # Whole numbers, all of whose sums the type holds, whatever their order.
+        kind = np.float32 if reach < _SMALL else np.float64
+        queries, values, most, least = (x.astype(kind, copy=False) for x in (queries, values, most, least))
         bounds = np.maximum(queries, 0) @ most.T + np.minimum(queries, 0) @ least.T
-        order = np.argsort(-bounds, axis=1, kind="stable")
         best = Best(query_ids, k, np.float64, _NOTHING)
-        rows = np.arange(len(query_ids))
-        for at in range(0, len(most), ROUND):
+        first = min(FIRST, len(most))
+        leading = np.argpartition(-bounds, first - 1, axis=1)[:, :first]
+        for block in np.unique(leading):
+            own = np.flatnonzero((leading == block).any(axis=1))
+            docs = slice(block * BLOCK, (block + 1) * BLOCK)
+            best.offer(own, ids[docs], queries[own] @ values[docs].T)
+        # No bound is left of what has been scored.
+        np.put_along_axis(bounds, leading, -np.inf, axis=1)
+
+        def score(rows: np.ndarray, blocks: np.ndarray) -> None:
+            docs = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            docs = docs[docs < len(ids)]
+            scores = queries[rows] @ values[docs].T
+            row, column = np.nonzero(scores >= best.scores[rows, -1:].astype(kind))
+            new = bounds[rows[row], docs[column] // BLOCK] > -np.inf
+            row, column = row[new], column[new]
+            best.offer_few(rows[row], ids[docs[column]], scores[row, column])
+
+        order = np.argsort(-bounds.max(axis=0), kind="stable")
+        for at in range(0, len(order), GROUP):
+            blocks = order[at : at + GROUP]
             # A bound equal to the k-th score may hide a tie with a smaller id.
-            rows = rows[bounds[rows, order[rows, at]] >= best.scores[rows, -1]]
-            if not len(rows):
-                break
-            now = order[rows, at : at + ROUND]
-            for block in np.unique(now):
-                own = rows[(now == block).any(axis=1)]
-                docs = slice(block * BLOCK, (block + 1) * BLOCK)
-                best.offer(own, ids[docs], queries[own] @ values[docs].T)
+            open_ = bounds[:, blocks] >= best.scores[:, -1:]
+            if open_.sum() >= DENSE * open_.size:
+                score(np.flatnonzero(open_.any(axis=1)), blocks)
+                continue
+            for n in np.flatnonzero(open_.any(axis=0)):
+                own = np.flatnonzero(open_[:, n])
+                own = own[bounds[own, blocks[n]] >= best.scores[own, -1]]
+                score(own, blocks[n : n + 1])
         place, found, scores = best.found()
         return place, found, scores.astype(np.int64)
 
@@ -88,7 +116,7 @@ def top_scores(
         "v", F.transform("v", lambda x: F.floor(x * scale).cast("double"))
     )
     is_query = F.col("vec_id") % query_every == 0
-    return nearest(rows, is_query, k, build, searcher(k), "bigint", shard_rows)
+    return nearest(rows, is_query, k, build, searcher(k), "bigint", shard_rows, QUERY_ROWS)
 
 
 ORACLE = f"""

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from contestlab.llm import neighbours, stages
+from contestlab.llm import neighbours, stages, topk
 from contestlab.llm import near_dedup as N
 from contestlab.llm.chat import Branches, escaped, formatted, loss_text, turns_of, unescaped
 from contestlab.llm.components import components
@@ -400,6 +400,33 @@ def test_vector_searches_equal_brute_force(spark, shard_rows):
     assert top_scores(df.limit(0)).count() == 0 and nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_query_blocks_are_not_broadcast(spark, no_broadcast):
+    rows, df = vectors_of(spark)
+
+    def whole(a, b):
+        return int(np.floor(256 * a) @ np.floor(256 * b))
+
+    got = top_scores(df, shard_rows=40).collect()
+    assert sorted(map(tuple, got)) == plain_top(rows, 50, 5, whole, finite)
+
+
+@pytest.mark.parametrize("scale", [1, 60, 1 << 20])
+def test_pruned_and_joint_blocks_find_the_same(scale):
+    rng = np.random.default_rng(8)
+    centres = rng.integers(-scale, scale + 1, (8, 16))
+    near = centres[rng.integers(0, 8, 1500)] + rng.integers(-1, 2, (1500, 16))
+    for values in (near.astype(float), rng.integers(-scale, scale + 1, (1500, 16)).astype(float)):
+        ids = rng.permutation(1500)
+        index, place = topk.build(ids, values), np.arange(0, 1500, 15)
+        where, found, scores = topk.searcher(5)(index, ids[place], values[place])
+        every = values[place] @ values.T
+        every[np.arange(len(place)), place] = -np.inf
+        order = np.lexsort((np.broadcast_to(ids, every.shape), -every), axis=1)[:, :5]
+        assert where.tolist() == np.repeat(np.arange(len(place)), 5).tolist()
+        assert found.tolist() == ids[order].ravel().tolist()
+        assert scores.tolist() == np.take_along_axis(every, order, axis=1).ravel().tolist()
+
+
 def test_smaller_factor_keeps_most_neighbours():
     rng = np.random.default_rng(3)
     values = rng.normal(0, 1, (12, 6))[rng.integers(0, 12, 2000)] + rng.normal(0, 0.2, (2000, 6))
